@@ -11,9 +11,26 @@ from pyspark.sql import functions as F
 # Fixed value: accepted e-mail form.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
-# Fixed value: the characters Unicode counts as white space, so that tokens are
-# the same whether a text holds plain or no-break spaces.
-WHITE_SPACE = "\t\n\u000b\f\r\u001c-\u001f \u0085   -     　"
+# Code points Unicode counts as white space, so that tokens are the
+# same whether a text holds plain or no-break spaces.
+WHITE_SPACE = "".join(
+    map(
+        chr,
+        [
+            *range(0x09, 0x0E),
+            *range(0x1C, 0x21),
+            0x85,
+            0xA0,
+            0x1680,
+            *range(0x2000, 0x200B),
+            0x2028,
+            0x2029,
+            0x202F,
+            0x205F,
+            0x3000,
+        ],
+    )
+)
 
 # Timestamp forms, tried in this order.
 TIMESTAMP_FORMATS = (

@@ -166,15 +166,10 @@ def try_cast_cols(df: DataFrame, columns: Sequence[str], as_type: str = "double"
     return df.withColumns({c: F.col(c).try_cast(as_type) for c in columns if c in df.columns})
 
 
-def with_flags(df: DataFrame, flags: Mapping[str, str], default: Mapping[str, bool] | None = None) -> DataFrame:
-    """Boolean columns from SQL predicates.
-
-    A predicate is only used when ``default`` has no value for that flag; pass a
-    default for flags whose input column is missing.
-    """
-    default = default or {}
+def with_flags(df: DataFrame, flags: Mapping[str, str | Column]) -> DataFrame:
+    """Boolean columns from SQL predicates or column expressions."""
     return df.withColumns(
-        {n: F.lit(default[n]) if n in default else F.expr(text) for n, text in flags.items()}
+        {name: F.expr(test) if isinstance(test, str) else test for name, test in flags.items()}
     )
 
 

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """A row must satisfy ``passes``, else it is quarantined with ``reason``.
+    """A row must satisfy the SQL predicate ``passes``, else it is quarantined.
 
-    Both are SQL expressions over the prepared columns. A NULL outcome counts as
-    failed, and so does a missing column named in ``needs``.
+    A NULL outcome counts as failed, and so does a missing column named in
+    ``needs``. The reject reason is ``reason``, followed by the row's value of
+    ``shows`` if that is given.
     """
 
     name: str
     passes: str
     reason: str
     needs: tuple[str, ...] = ()
+    shows: str | None = None
 
 
 @dataclass(frozen=True)
@@ -50,24 +52,16 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def reject_reason(rules: Sequence[Rule], columns: Sequence[str]) -> Column:
-    """Reason of the first failed rule, NULL when all passed.
-
-    A reason may embed values; where such a column is missing altogether, the
-    reason shows ``null`` in its place.
-    """
-    reason = None
-    for rule in rules:
-        missing = [c for c in rule.needs if c not in columns]
-        text = F.expr(rule.reason if not missing else _without(rule.reason, missing))
-        failed = ~F.col(rule.name)
-        reason = F.when(failed, text) if reason is None else reason.when(failed, text)
-    return reason
+    """Reason of the first failed rule, NULL when all passed."""
 
+    def text(rule: Rule) -> Column:
+        if rule.shows is None:
+            return F.lit(rule.reason)
+        shown = F.col(rule.shows).cast("string") if rule.shows in columns else F.lit(None)
+        return F.concat(F.lit(rule.reason), F.coalesce(shown, F.lit("null")))
 
-def _without(reason: str, missing: Sequence[str]) -> str:
-    for name in missing:
-        reason = reason.replace(f"`{name}`", "cast(null as string)")
-    return reason
+    # coalesce stops at the first rule that yields a reason.
+    return F.coalesce(*(F.when(~F.col(rule.name), text(rule)) for rule in rules))
 
 
 def tag_rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -84,11 +78,6 @@ def split_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, D
     return clean.drop("_reject_reason", *(r.name for r in rules)), rejected
 
 
-def usable(df: DataFrame, expectations: Sequence[Expectation]) -> list[Expectation]:
-    """Expectations whose column exists (``holds`` may use only that column)."""
-    return [e for e in expectations if e.column in df.columns]
-
-
 def expect_all(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """Failed and total rows per expectation, from one pass over the data."""
     names = [e.name for e in expectations]
