@@ -283,6 +283,22 @@ DOMAINS = {
 }
 
 
+# Lists that keep the order of their group; all others go by size.
+IN_GROUP_ORDER = ("premium_buckets", "vehicles_involved_distribution")
+SIZE_COLUMNS = ("count", "policy_count", "claim_count", "listings")
+
+
+def _json_value(name: str, frame: DataFrame) -> Column:
+    row = F.struct(*frame.columns)
+    if name.endswith("overview"):
+        return F.first(row)
+    if name in IN_GROUP_ORDER:
+        return F.sort_array(F.collect_list(row))
+    size = next(c for c in frame.columns if c in SIZE_COLUMNS)
+    by_size = F.sort_array(F.collect_list(F.struct((-F.col(size)).alias("k"), row.alias("v"))))
+    return F.transform(by_size, lambda item: item["v"])
+
+
 def as_json(figures: dict[str, DataFrame]) -> DataFrame:
     """One row ``kpi_json``: every frame under its name.
 
@@ -291,11 +307,10 @@ def as_json(figures: dict[str, DataFrame]) -> DataFrame:
     into the single output row, so nothing is joined or collected.
     """
     spark = next(iter(figures.values())).sparkSession
-    parts = []
-    for name, frame in figures.items():
-        row = F.struct(*frame.columns)
-        packed = F.first(row) if name.endswith("overview") else F.sort_array(F.collect_list(row))
-        parts.append(frame.agg(packed.alias("v")).scalar().alias(name))
+    parts = [
+        frame.agg(_json_value(name, frame).alias("v")).scalar().alias(name)
+        for name, frame in figures.items()
+    ]
     return spark.range(1).select(F.to_json(F.struct(*parts)).alias("kpi_json"))
 
 
