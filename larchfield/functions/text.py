@@ -47,6 +47,11 @@ def is_valid_email(column: str | Column) -> Column:
     return F.coalesce(column.rlike(EMAIL_PATTERN), F.lit(False))
 
 
+def stripped(column: str | Column) -> Column:
+    """Text without white space at either end."""
+    return F.trim(column, F.lit(WHITE_SPACE))
+
+
 def tokens(text: str | Column) -> Column:
     """White-space separated tokens; an empty or blank text has none."""
     return F.regexp_extract_all(text, F.lit(f"[^{WHITE_SPACE}]+"), F.lit(0))

@@ -170,7 +170,7 @@ def enrich_claims(
 
 
 def injury_ratio() -> Column:
-    return F.col("injury_claim") / (F.col("vehicle_claim") + 1.0)
+    return F.try_divide(F.col("injury_claim"), F.col("vehicle_claim") + 1.0)
 
 
 def is_ghost_injury() -> Column:
@@ -256,8 +256,8 @@ def r3(population: Column) -> Column:
 
 def _points(*tests: Column) -> Column:
     """How many tests hold; an unknown test does not."""
-    return sum((F.coalesce(t.cast("double"), F.lit(0.0)) for t in tests[1:]),
-               F.coalesce(tests[0].cast("double"), F.lit(0.0)))
+    points = [F.coalesce(t.cast("double"), F.lit(0.0)) for t in tests]
+    return sum(points[1:], points[0])
 
 
 def _test(df: DataFrame, column: str, test: Column) -> Column:
@@ -486,7 +486,6 @@ def score_histogram(
         F.count_if(points < thresholds.high).alias("_high"),
     )
     totals = counts.agg(
-        F.first(F.lit(1)).alias("one"),
         F.sum("_n").alias("n"),
         F.sum("_medium").alias("medium"),
         F.sum("_high").alias("high"),
