@@ -38,7 +38,7 @@ def dq_prompt(log: DataFrame, target: str = "prompt") -> DataFrame:
     """Ask for a plain-language explanation of each logged issue."""
     severity = F.coalesce(literal_map(SEVERITY_TEXT)[F.lower("severity")], _text("severity"))
     percent = F.when(F.col("affected_ratio").isNull(), "N/A").otherwise(
-        F.format_string("%.1f%%", F.col("affected_ratio") * 100)
+        F.concat(F.format_number(F.col("affected_ratio") * 100, 1), F.lit("%"))
     )
     facts = _facts(
         {
@@ -67,7 +67,7 @@ def brief_prompt(scored: DataFrame, target: str = "prompt") -> DataFrame:
     def rule(column: str) -> Column:
         if column not in scored.columns:
             return F.lit("0.000")
-        return F.format_string("%.3f", F.coalesce(F.col(column), F.lit(0.0)))
+        return F.format_number(F.coalesce(F.col(column), F.lit(0.0)), 3)
 
     def known(column: str) -> Column:
         return _text(column) if column in scored.columns else F.lit("None")
@@ -98,7 +98,7 @@ def brief_prompt(scored: DataFrame, target: str = "prompt") -> DataFrame:
             "Claims of this customer": known("customer_claim_count"),
             "Region": known("customer_region"),
             "Policy limits": known("policy_csl"),
-            "Score": F.format_string("%.1f / 100", F.col("anomaly_score")),
+            "Score": F.concat(F.format_number("anomaly_score", 1), F.lit(" / 100")),
             "Tier": known("priority_tier"),
             "Rules triggered": triggered,
             "R1 amount": rule("r1_amount_zscore"),

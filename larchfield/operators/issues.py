@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larchfield.functions.text import literal_map
 from larchfield.operators.quality import Expectation
 from larchfield.operators.ranking import global_row_number
 
@@ -39,15 +38,49 @@ ISSUE_COLUMNS = (
 )
 
 
-def issue_id(*parts: str) -> Column:
-    return F.md5(F.concat_ws("|", *parts))
-
-
 def _ratio(part: Column, whole: Column) -> Column:
     """Share with four places; 0 of 0 is the count itself over one."""
     return F.round(part / F.greatest(whole, F.lit(1)), 4)
 
 
+def _quarantine_fields(table: str, reason: Column, affected: Column, total: Column) -> dict[str, Column]:
+    column = F.get(F.split(reason, " "), F.lit(1))
+    return {
+        "issue_id": F.md5(F.concat_ws("|", F.lit(table), reason)),
+        "table_name": F.lit(table),
+        "column_name": column,
+        "rule_name": F.get(F.split(reason, ":"), F.lit(0)),
+        "issue_description": reason,
+        "severity": F.lit(QUARANTINED),
+        "affected_records": affected,
+        "affected_ratio": _ratio(affected, total),
+        "suggested_fix": F.when(column.contains("id"), FIX_KEYS)
+        .when(reason.contains("null"), FIX_NULLS)
+        .when(reason.contains("exceeds"), FIX_OUTLIERS)
+        .otherwise(FIX_OTHER),
+    }
+
+
+def _warning_fields(
+    table: str, expectation: Expectation, affected: Column, total: Column
+) -> dict[str, Column]:
+    return {
+        "issue_id": F.md5(F.lit(f"{table}|{expectation.name}")),
+        "table_name": F.lit(table),
+        "column_name": F.lit(expectation.column),
+        "rule_name": F.lit(expectation.name),
+        "issue_description": F.lit(expectation.description),
+        "severity": F.lit(PASSED),
+        "affected_records": affected,
+        "affected_ratio": _ratio(affected, total),
+        "suggested_fix": F.lit(expectation.fix),
+    }
+
+
+def _issue(fields: dict[str, Column]) -> Column:
+    return F.struct(*(fields[name].alias(name) for name in ISSUE_COLUMNS))
+
+
 def quarantine_stats(quarantine: DataFrame, clean: DataFrame, table: str) -> DataFrame:
     """One issue per reject reason with its share of all records.
 
@@ -55,58 +88,45 @@ def quarantine_stats(quarantine: DataFrame, clean: DataFrame, table: str) -> Dat
     file footers, and no join is needed to attach them.
     """
     records = quarantine.agg(F.count(F.lit(1))).scalar() + clean.agg(F.count(F.lit(1))).scalar()
-    reason = F.col("issue_description")
-    return (
-        quarantine.groupBy(F.col("_reject_reason").alias("issue_description"))
-        .agg(F.count(F.lit(1)).alias("affected_records"))
-        .withColumns(
-            {
-                "table_name": F.lit(table),
-                "severity": F.lit(QUARANTINED),
-                "column_name": F.get(F.split(reason, " "), F.lit(1)),
-                "rule_name": F.get(F.split(reason, ":"), F.lit(0)),
-                "affected_ratio": _ratio(F.col("affected_records"), records),
-            }
-        )
-        .withColumns(
-            {
-                "issue_id": issue_id("table_name", "issue_description"),
-                "suggested_fix": F.when(F.col("column_name").contains("id"), FIX_KEYS)
-                .when(reason.contains("null"), FIX_NULLS)
-                .when(reason.contains("exceeds"), FIX_OUTLIERS)
-                .otherwise(FIX_OTHER),
-            }
-        )
-        .select(*ISSUE_COLUMNS)
-    )
+    counts = quarantine.groupBy("_reject_reason").agg(F.count(F.lit(1)).alias("_n"))
+    fields = _quarantine_fields(table, F.col("_reject_reason"), F.col("_n"), records)
+    return counts.select(*(fields[name].alias(name) for name in ISSUE_COLUMNS))
 
 
 def warning_stats(df: DataFrame, table: str, expectations: Sequence[Expectation]) -> DataFrame:
     """One issue per expectation that some kept record breaks, from one pass."""
-
-    def lookup(field: str) -> Column:
-        return literal_map({e.name: getattr(e, field) for e in expectations})[F.col("rule_name")]
-
     counts = df.agg(
         F.count(F.lit(1)).alias("_records"),
         *(F.count_if(e.broken()).alias(e.name) for e in expectations),
     )
-    return (
-        counts.unpivot("_records", [e.name for e in expectations], "rule_name", "affected_records")
-        .filter("affected_records > 0")
-        .withColumns(
-            {
-                "table_name": F.lit(table),
-                "severity": F.lit(PASSED),
-                "column_name": lookup("column"),
-                "issue_description": lookup("description"),
-                "suggested_fix": lookup("fix"),
-                "affected_ratio": _ratio(F.col("affected_records"), F.col("_records")),
-            }
-        )
-        .withColumn("issue_id", issue_id("table_name", "rule_name"))
-        .select(*ISSUE_COLUMNS)
+    found = F.array(
+        *(_issue(_warning_fields(table, e, F.col(e.name), F.col("_records"))) for e in expectations)
+    )
+    return counts.select(F.inline(found)).filter("affected_records > 0")
+
+
+def entity_issues(
+    tagged: DataFrame, table: str, expectations: Sequence[Expectation] = ()
+) -> DataFrame:
+    """Both kinds of issues of one entity from a single pass over its tagged rows.
+
+    Rows are counted per reject reason; clean rows are the group without reason,
+    and only there do broken expectations count.
+    """
+    counts = tagged.groupBy("_reject_reason").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *(F.count_if(e.broken()).alias(e.name) for e in expectations),
     )
+    total = counts.agg(F.sum("_n")).scalar()
+    reason = F.col("_reject_reason")
+    rejected = _issue(_quarantine_fields(table, reason, F.col("_n"), total))
+    warned = [
+        _issue(_warning_fields(table, e, F.col(e.name), F.col("_n"))) for e in expectations
+    ]
+    found = F.when(reason.isNotNull(), F.array(rejected))
+    if warned:
+        found = found.otherwise(F.array(*warned))
+    return counts.select(F.inline(found)).filter("affected_records > 0")
 
 
 def missing_file_issue(spark: SparkSession, table: str, file_name: str) -> DataFrame:

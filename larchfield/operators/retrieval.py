@@ -383,10 +383,10 @@ def rag_prompt(
     """
     # Fixed value: the head of a source block.
     block = F.format_string(
-        "[SOURCE %d | Policy %s | score=%.3f]\n%s",
+        "[SOURCE %d | Policy %s | score=%s]\n%s",
         F.col("rank"),
         F.col(source).cast("string"),
-        F.col("score"),
+        F.format_number("score", 3),
         F.col(text),
     )
     head = instructions or (
