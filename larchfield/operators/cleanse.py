@@ -100,10 +100,14 @@ def parse_timestamps(
 def flag_corrupt(
     df: DataFrame, columns: Sequence[str], pattern: str = CORRUPT_DATE, flag: str = "_is_corrupt_date"
 ) -> DataFrame:
-    """True when any of the texts matches. Call it before the dates are parsed."""
+    """True when any of the texts matches. Call it before the dates are parsed.
+
+    Only string columns are looked at; a date that has a date type is whole.
+    """
+    texts = {name for name, dtype in df.dtypes if dtype == "string"}
     corrupt = F.lit(False)
-    for name in (c for c in columns if c in df.columns):
-        corrupt = corrupt | F.coalesce(F.col(name).cast("string").rlike(pattern), F.lit(False))
+    for name in (c for c in columns if c in texts):
+        corrupt = corrupt | F.coalesce(F.col(name).rlike(pattern), F.lit(False))
     return df.withColumn(flag, corrupt)
 
 

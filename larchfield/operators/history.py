@@ -50,17 +50,18 @@ def scd2(
     the start of the key's next bucket. Only these bucket starts, three narrow
     columns, are ordered per key.
     """
-    versions = versions.filter(F.col(seq).isNotNull())
-    if tiebreak:
-        versions = first_per(versions, [*keys, seq], tiebreak)
-    tagged = versions.withColumn("_bucket", seq_bucket(versions, seq) if bucket is None else bucket)
+    bucket = seq_bucket(versions, seq) if bucket is None else bucket
+    tagged = versions.filter(F.col(seq).isNotNull()).withColumn("_bucket", bucket)
 
+    # Ties do not move a bucket's start, so the starts need no tie-break.
     starts = tagged.groupBy(*keys, "_bucket").agg(F.min(seq).alias("_start"))
     next_start = F.lead("_start").over(Window.partitionBy(*keys).orderBy("_bucket"))
     markers = starts.select(
         *keys, "_bucket", next_start.alias(seq), F.lit(True).alias("_marker")
     ).filter(F.col(seq).isNotNull())
 
+    if tiebreak:
+        tagged = first_per(tagged, [*keys, seq], tiebreak)
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(seq)
     return (
         tagged.withColumn("_marker", F.lit(False))

@@ -136,36 +136,44 @@ def token_stats(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def chunk(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
-    """Overlapping windows of ``size`` tokens as ``(chunk_index, chunk_text)`` rows.
+    """Overlapping windows of ``size`` tokens, one row per window.
 
     A text of at most ``size`` tokens is one chunk and stays exactly as it is.
     Otherwise windows start every ``size - overlap`` tokens, the last one being
-    the first to reach the end. Other columns are kept.
+    the first to reach the end. Adds ``chunk_index``, ``chunk_text`` and
+    ``chunk_token_count``; other columns are kept.
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and less than size")
     step = size - overlap
-    count = F.size("_tokens")
-    last = F.ceil((count - size) / step).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.array_join(F.slice("_tokens", i * step + 1, size), " "),
-    )
-    pieces = F.when(count <= size, F.array(F.col(text))).otherwise(windows)
+
+    def piece(content: Column, count: Column) -> Column:
+        return F.struct(content.alias("chunk_text"), count.alias("chunk_token_count"))
+
+    def windows(words: Column) -> Column:
+        count = F.size(words)
+        last = F.ceil((count - size) / step).cast("int")
+        cut = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: piece(
+                F.array_join(F.slice(words, i * step + 1, size), " "),
+                F.least(F.lit(size), count - i * step),
+            ),
+        )
+        return F.when(count <= size, F.array(piece(F.col(text), count))).otherwise(cut)
+
+    # As a lambda argument the token array is computed once per text, not per window.
+    pieces = F.get(F.transform(F.array(tokens(text)), windows), F.lit(0))
     kept = [c for c in df.columns if c != text]
-    return df.withColumn("_tokens", tokens(text)).select(
-        *kept, F.posexplode(pieces).alias("chunk_index", "chunk_text")
+    return df.select(*kept, F.posexplode(pieces).alias("chunk_index", "_piece")).select(
+        *kept, "chunk_index", "_piece.*"
     )
 
 
 def build_corpus(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
-    """Chunks with the sizes they were cut with and their token counts."""
+    """Chunks together with the sizes they were cut with."""
     return chunk(df, text, size, overlap).withColumns(
-        {
-            "chunk_size_tokens": F.lit(size),
-            "overlap_tokens": F.lit(overlap),
-            "chunk_token_count": token_count("chunk_text"),
-        }
+        {"chunk_size_tokens": F.lit(size), "overlap_tokens": F.lit(overlap)}
     )
 
 

@@ -323,13 +323,16 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
     ``stats`` is the table from ``fit_stats``. Severities are joined without a
     hint: the table's true size decides between broadcast and shuffle.
     """
-    population = _population(stats)
+    population = F.col("_population")
     peers = stats.filter("scope = 'severity'").select(
         F.col("incident_severity").alias("_peer_severity"),
         F.col("amount_mean").alias("_peer_mean"),
         F.col("amount_std").alias("_peer_std"),
     )
-    joined = df.join(peers, F.col("incident_severity") == F.col("_peer_severity"), "left")
+    # The subquery is one column, so that it is planned and run once for all rules.
+    joined = df.withColumn("_population", _population(stats)).join(
+        peers, F.col("incident_severity") == F.col("_peer_severity"), "left"
+    )
     values = (
         r1(population),
         r2(population),
@@ -341,7 +344,7 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
         r8(df, population),
     )
     return joined.withColumns(dict(zip(RULES, values))).drop(
-        "_peer_severity", "_peer_mean", "_peer_std"
+        "_population", "_peer_severity", "_peer_mean", "_peer_std"
     )
 
 
@@ -349,24 +352,46 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def rule_moments(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
-    """One row: range and deviation of each column, correlation of each pair."""
+    """One row: range and deviation of each column, correlation of each pair.
+
+    A single pass keeps sums, ranges and sums of products; all of them merge
+    across tasks. Deviations and correlations are arithmetic on that row. A
+    column without range has correlation NULL with every other.
+    """
+    span = range(len(columns))
+    pairs = list(combinations(span, 2))
     filled = df.select(*(F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in columns))
-    return filled.agg(
-        *(F.stddev_pop(c).alias(f"std_{i}") for i, c in enumerate(columns)),
+    sums = filled.agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)),
         *((F.max(c) - F.min(c)).alias(f"range_{i}") for i, c in enumerate(columns)),
+        *(F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"cross_{i}_{j}")
+          for i, j in [*((i, i) for i in span), *pairs]),
+    )
+
+    def covariance(i: int, j: int) -> Column:
+        mean_product = F.try_divide(F.col(f"cross_{i}_{j}"), F.col("n"))
+        return mean_product - F.col(f"mean_{i}") * F.col(f"mean_{j}")
+
+    spread = sums.withColumns(
+        {
+            f"std_{i}": F.when(F.col(f"range_{i}") > 0, F.sqrt(covariance(i, i))).otherwise(0.0)
+            for i in span
+        }
+    )
+    return spread.select(
+        *(f"std_{i}" for i in span),
+        *(f"range_{i}" for i in span),
         *(
-            F.corr(columns[i], columns[j]).alias(f"corr_{i}_{j}")
-            for i, j in combinations(range(len(columns)), 2)
+            F.try_divide(covariance(i, j), F.nullif(F.col(f"std_{i}") * F.col(f"std_{j}"), F.lit(0.0)))
+            .alias(f"corr_{i}_{j}")
+            for i, j in pairs
         ),
     )
 
 
 def _pair(i: int, j: int) -> Column:
-    """Correlation of two columns; a constant column correlates with nothing."""
-    if i == j:
-        return F.lit(1.0)
-    value = F.col(f"corr_{min(i, j)}_{max(i, j)}")
-    return F.when(~F.isnan(value), value)
+    return F.lit(1.0) if i == j else F.col(f"corr_{min(i, j)}_{max(i, j)}")
 
 
 def weights_row(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
@@ -382,9 +407,11 @@ def weights_row(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
         spread = F.coalesce(F.try_divide(F.col(f"std_{i}"), F.col(f"range_{i}")), F.lit(0.0))
         conflicts = [F.coalesce(1 - _pair(i, j), F.lit(0.0)) for j in range(count) if j != i]
         information.append(spread * sum(conflicts[1:], conflicts[0]))
-    total = sum(information[1:], information[0])
-    return rule_moments(df, columns).select(
-        *(F.coalesce(F.try_divide(c, total), F.lit(0.0)).alias(n) for n, c in zip(columns, information))
+    return (
+        rule_moments(df, columns)
+        .select(*(c.alias(n) for n, c in zip(columns, information)))
+        .withColumn("_total", sum(map(F.col, columns[1:]), F.col(columns[0])))
+        .select(*(F.coalesce(F.try_divide(n, "_total"), F.lit(0.0)).alias(n) for n in columns))
     )
 
 
@@ -423,7 +450,8 @@ def weighted_score(
     """Score 0..100 and tier from fixed weights or a one-row weight frame."""
     if isinstance(weights, DataFrame):
         row = weights.agg(F.first(F.struct(*weights.columns))).scalar()
-        of = {name: row[name] for name in weights.columns}
+        df = df.withColumn("_weights", row)
+        of = {name: F.col("_weights")[name] for name in weights.columns}
     else:
         if abs(sum(weights.values()) - 1.0) > 1e-9:
             raise ValueError("weights must sum to 1")
@@ -437,7 +465,7 @@ def weighted_score(
         F.when(points >= thresholds.high, "HIGH")
         .when(points >= thresholds.medium, "MEDIUM")
         .otherwise("LOW"),
-    )
+    ).drop("_weights")
 
 
 def triggered_rules(df: DataFrame, target: str = "triggered_rules") -> DataFrame:

@@ -17,7 +17,7 @@ from larchfield.operators.quality import split_quarantine, tag_rejects
 from larchfield.operators.scoring import score_claims
 from larchfield.operators.star import build_dim, fact_car_sales, fact_claims
 from larchfield.plans.entities import ENTITIES
-from larchfield.plans.inventory import aging_inventory, alert_scored, demand_signal
+from larchfield.plans.inventory import aging_inventory, demand_signal, redistribution
 
 # The day on which unsold listings are judged; listings end two weeks earlier.
 AS_OF = "2001-08-15 00:00:00"
@@ -244,8 +244,8 @@ class Lake:
         return demand_signal(self.fact_sales, self.dim_car, DEMAND_DAYS)
 
     @cached_property
-    def alerts(self) -> DataFrame:
-        return alert_scored(self.aging, self.demand, FAST_DAYS)
+    def moves(self) -> DataFrame:
+        return redistribution(self.aging, self.demand, FAST_DAYS)
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larchfield.functions.numeric import share_pct
 from larchfield.operators.ranking import global_rank_desc
+from larchfield.session import materialise
 
 # Ageing tiers by days on market, and the revenue share at risk.
 TIERS = (("CRITICAL", 90), ("HIGH", 60), ("WATCH", 30))
@@ -88,11 +89,10 @@ def demand_signal(
     )
 
 
-def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) -> DataFrame:
-    """Stuck cars with every other region where their kind sells fast.
+def redistribution(aging: DataFrame, demand: DataFrame, fast_days: float = 21) -> DataFrame:
+    """Stuck cars with every other region where their kind sells fast, and a risk score.
 
-    One car gives one row per such region, or one row without region. The
-    priority is SQL ``rank()`` by risk score over all rows.
+    One car gives one row per such region, or one row without region.
     """
     kind = ["model", "fuel", "transmission"]
     fast = demand.filter(F.col("median_days_to_sell") <= fast_days).select(
@@ -109,7 +109,7 @@ def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) ->
         "round((days_on_market / 90.0) * 50 + (original_selling_price / 1000000.0) * 30"
         " + if(demand_region is not null, 20, 0), 1)"
     )
-    scored = stuck.join(fast, match, "left").select(
+    return stuck.join(fast, match, "left").select(
         "sales_id",
         F.col("region").alias("stuck_region"),
         "state",
@@ -126,6 +126,15 @@ def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) ->
         "demand_median_days",
         score.alias("risk_score"),
     )
+
+
+def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) -> DataFrame:
+    """``redistribution`` with SQL ``rank()`` by risk over all rows and an action text.
+
+    Writes the scored rows to the scratch folder, because the rank reads them
+    twice: once narrow for the distribution of scores, once to attach ranks.
+    """
+    scored = materialise(redistribution(aging, demand, fast_days), "alerts")
     action = F.when(
         F.col("demand_region").isNotNull(),
         F.concat(

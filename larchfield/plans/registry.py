@@ -13,7 +13,7 @@ from larchfield.operators import cleanse, completion, history, issues, quality,
 from larchfield.operators.star import asof_dim_join
 from larchfield.plans import inventory, kpis, marts
 from larchfield.plans.entities import CUSTOMER_SYNONYMS, ENTITIES, KGM_TO_NM, REGIONS, STATES
-from larchfield.plans.fixtures import Lake
+from larchfield.plans.fixtures import FAST_DAYS, Lake
 from larchfield.session import apply_runtime_defaults, scratch_path
 from larchfield.sources.files import any_case, ingest_new_files, ingest_stream, string_schema
 from larchfield.sources.tables import reconcile, table_counts
@@ -509,12 +509,12 @@ def demand_signal(lake: Lake) -> DataFrame:
 
 @query
 def alert_scored(lake: Lake) -> DataFrame:
-    return lake.alerts
+    return inventory.alert_scored(lake.aging, lake.demand, FAST_DAYS)
 
 
 @query
 def alert_summary(lake: Lake) -> DataFrame:
-    return inventory.alert_summary(lake.alerts)
+    return inventory.alert_summary(lake.moves)
 
 
 @query
@@ -524,12 +524,12 @@ def alert_totals(lake: Lake) -> DataFrame:
 
 @query
 def alert_regions(lake: Lake) -> DataFrame:
-    return inventory.alert_regions(lake.alerts)
+    return inventory.alert_regions(lake.moves)
 
 
 @query
 def alert_digest(lake: Lake) -> DataFrame:
-    return inventory.alert_digest(lake.alerts, lake.aging)
+    return inventory.alert_digest(lake.moves, lake.aging)
 
 
 @query
