@@ -167,12 +167,15 @@ class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name]

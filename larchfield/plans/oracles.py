@@ -330,6 +330,17 @@ def _tier(score: str) -> str:
     )
 
 
+def _enriched(claims: str) -> str:
+    return f"""
+        SELECT a.*, p.customer_id, p.policy_csl, c.region AS customer_region,
+               coalesce(CASE WHEN p.customer_id IS NOT NULL
+                             THEN count(*) OVER (PARTITION BY p.customer_id) END, 1)
+                   AS customer_claim_count
+        FROM {claims} a
+        LEFT JOIN dim_policy p ON a.policyid = p.policy_number
+        LEFT JOIN now_customers c ON p.customer_id = c.customer_id"""
+
+
 STEPS |= {
     "amounts": """
         SELECT *, coalesce(injury, 0) + coalesce(vehicle, 0) + coalesce(property, 0)
@@ -340,14 +351,7 @@ STEPS |= {
                coalesce(CASE WHEN bodily_injuries > 0 THEN injury / bodily_injuries
                              ELSE injury END, 0) AS person_cost
         FROM claims_c""",
-    "enriched": """
-        SELECT a.*, p.customer_id, p.policy_csl, c.region AS customer_region,
-               coalesce(CASE WHEN p.customer_id IS NOT NULL
-                             THEN count(*) OVER (PARTITION BY p.customer_id) END, 1)
-                   AS customer_claim_count
-        FROM amounts a
-        LEFT JOIN dim_policy p ON a.policyid = p.policy_number
-        LEFT JOIN now_customers c ON p.customer_id = c.customer_id""",
+    "enriched": _enriched("amounts"),
     "population": f"SELECT {_FIGURES} FROM amounts",
     "peers": f"""SELECT incident_severity, {_FIGURES} FROM amounts
                  WHERE incident_severity IS NOT NULL GROUP BY incident_severity""",
@@ -390,9 +394,7 @@ STEPS |= {
         FROM (SELECT r.*, round(100 * ({_WEIGHTED}), 2) AS anomaly_score,
                      round(100 * ({_BUSINESS}), 2) AS anomaly_score_bw
               FROM rules r CROSS JOIN weights)""",
-    "gold_scores": """
-        SELECT s.*, e.customer_id, e.policy_csl, e.customer_region, e.customer_claim_count
-        FROM scored s JOIN enriched e USING (claimid)""",
+    "gold_scores": _enriched("scored"),
 }
 
 # --- text and vectors ---

@@ -16,7 +16,7 @@ from larchfield.plans.entities import CUSTOMER_SYNONYMS, ENTITIES, KGM_TO_NM, RE
 from larchfield.plans.fixtures import FAST_DAYS, Lake
 from larchfield.session import apply_runtime_defaults, scratch_path
 from larchfield.sources.files import any_case, ingest_new_files, ingest_stream, string_schema
-from larchfield.sources.tables import reconcile, table_counts
+from larchfield.sources.tables import overwrite_table, reconcile, table_counts
 from larchfield.streaming.history import scd2_stream
 
 Query = Callable[[Lake], DataFrame]
@@ -608,15 +608,17 @@ def method_agreement(lake: Lake) -> DataFrame:
 
 
 def gold_scores(lake: Lake) -> DataFrame:
+    """The scores table, written like any gold table before reports read it."""
     enriched = scoring.enrich_claims(lake.scored, lake.dim_policy, lake.dim_customer)
-    return scoring.score_output(enriched, "run-1")
+    scores = scoring.score_output(enriched, "run-1")
+    return overwrite_table(scores, scratch_path(lake.spark, "claim_anomaly_scores"))
 
 
 @query
 def flagged_claims(lake: Lake) -> DataFrame:
     scores = gold_scores(lake)
-    briefs = lake.clean("claims").select(
-        "claimid", F.concat(F.lit("Brief on "), "claimid").alias("ai_investigation_brief")
+    briefs = scores.select("claimid").distinct().withColumn(
+        "ai_investigation_brief", F.concat(F.lit("Brief on "), "claimid")
     )
     flagged = scoring.flagged_claims(scores, briefs).drop("_gold_load_ts")
     return rounded(
@@ -819,8 +821,7 @@ def dq_explanations(lake: Lake) -> DataFrame:
 
 @query
 def brief_prompt(lake: Lake) -> DataFrame:
-    enriched = scoring.enrich_claims(lake.scored, lake.dim_policy, lake.dim_customer)
-    flagged = enriched.filter(scoring.is_flagged())
+    flagged = gold_scores(lake).filter("is_flagged")
     return completion.brief_prompt(flagged).select("claimid", "prompt")
 
 

@@ -15,6 +15,9 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode; wide stages
+    # that would exceed it run much faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
