@@ -243,10 +243,14 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 def _best(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> pd.DataFrame:
-    """The k best rows of one block for each query; equal scores go by id."""
+    """The k best rows of one block for each query; equal scores go by id.
+
+    Scores are cut to 12 decimals: the last bits of a matrix product depend on
+    where a row lies in its block, and copies of a vector must tie.
+    """
     found_queries, found_ids, found_scores = [], [], []
     for start in range(0, len(query_ids), 256):
-        scores = queries[start : start + 256] @ vectors.T
+        scores = np.round(queries[start : start + 256] @ vectors.T, 12)
         for query_id, row in zip(query_ids[start : start + 256], scores):
             # All rows that reach the k-th best score, so that ties are decided by id.
             near = (

@@ -607,16 +607,15 @@ def method_agreement(lake: Lake) -> DataFrame:
     return scoring.method_agreement(lake.scored)
 
 
-def gold_scores(lake: Lake) -> DataFrame:
-    """The scores table, written like any gold table before reports read it."""
+def scored_table(lake: Lake) -> DataFrame:
+    """Enriched scores, written like any gold table before reports read them."""
     enriched = scoring.enrich_claims(lake.scored, lake.dim_policy, lake.dim_customer)
-    scores = scoring.score_output(enriched, "run-1")
-    return overwrite_table(scores, scratch_path(lake.spark, "claim_anomaly_scores"))
+    return overwrite_table(enriched, scratch_path(lake.spark, "scored-claims"))
 
 
 @query
 def flagged_claims(lake: Lake) -> DataFrame:
-    scores = gold_scores(lake)
+    scores = scoring.score_output(scored_table(lake), "run-1")
     briefs = scores.select("claimid").distinct().withColumn(
         "ai_investigation_brief", F.concat(F.lit("Brief on "), "claimid")
     )
@@ -821,7 +820,7 @@ def dq_explanations(lake: Lake) -> DataFrame:
 
 @query
 def brief_prompt(lake: Lake) -> DataFrame:
-    flagged = gold_scores(lake).filter("is_flagged")
+    flagged = scored_table(lake).filter(scoring.is_flagged())
     return completion.brief_prompt(flagged).select("claimid", "prompt")
 
 
