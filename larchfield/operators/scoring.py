@@ -223,40 +223,54 @@ def fit_stats(df: DataFrame) -> DataFrame:
     return materialise(population_stats(df), "claim-stats")
 
 
+# Lowest deviation each rule divides by.
+FLOORS = {"amount": 0.0, "peer": 1.0, "ratio": 0.001, "ghost": 1.0, "per_person": 1.0}
+
+
+def _scale(measure: str, floor: str) -> Column:
+    """Factor that turns a distance from the mean into units of two deviations."""
+    return 0.5 / F.greatest(f"{measure}_std", F.lit(FLOORS[floor]))
+
+
 def _population(stats: DataFrame) -> Column:
-    """The overall row as one struct value."""
-    names = [c for c in stats.columns if c.endswith(("_mean", "_std"))]
-    return stats.filter("scope = 'all'").agg(F.first(F.struct(*names))).scalar()
+    """Means and scales over all claims as one struct value."""
+    fields = []
+    for measure in ("amount", "ratio", "ghost", "per_person"):
+        fields.append(F.col(f"{measure}_mean"))
+        fields.append(_scale(measure, measure).alias(f"{measure}_scale"))
+    return stats.filter("scope = 'all'").agg(F.first(F.struct(*fields))).scalar()
 
 
 # --- the eight rules --------------------------------------------------------------
+# Divisions by statistics are done once, in the statistics: a checked division
+# per row and rule would bloat the generated code.
 
 
-def z_score(value: Column, mean: Column, std: Column) -> Column:
+def z_score(value: Column, mean: Column, scale: Column) -> Column:
     """Distance above the mean in units of two deviations, limited to 0..1."""
-    return clip01((value - mean) / std / 2.0)
+    return clip01((value - mean) * scale)
 
 
 def r1(population: Column) -> Column:
-    return z_score(F.col("total_claim_amount"), population["amount_mean"], population["amount_std"])
+    return z_score(
+        F.col("total_claim_amount"), population["amount_mean"], population["amount_scale"]
+    )
 
 
 def r2(population: Column) -> Column:
     """Against claims of the same severity, else against all claims."""
-    known = F.col("_peer_mean").isNotNull()
-    mean = F.when(known, F.col("_peer_mean")).otherwise(population["amount_mean"])
-    std = F.when(known, F.greatest("_peer_std", F.lit(1.0))).otherwise(population["amount_std"])
-    return z_score(F.col("total_claim_amount"), mean, std)
+    mean = F.coalesce(F.col("_peer_mean"), population["amount_mean"])
+    scale = F.coalesce(F.col("_peer_scale"), population["amount_scale"])
+    return z_score(F.col("total_claim_amount"), mean, scale)
 
 
 def r3(population: Column) -> Column:
-    std = F.greatest(population["ratio_std"], F.lit(0.001))
-    return z_score(injury_ratio(), population["ratio_mean"], std)
+    return z_score(injury_ratio(), population["ratio_mean"], population["ratio_scale"])
 
 
 def _points(*tests: Column) -> Column:
     """How many tests hold; an unknown test does not."""
-    points = [F.coalesce(t.cast("double"), F.lit(0.0)) for t in tests]
+    points = [F.when(t, 1).otherwise(0) for t in tests]
     return sum(points[1:], points[0])
 
 
@@ -264,35 +278,26 @@ def _test(df: DataFrame, column: str, test: Column) -> Column:
     return test if column in df.columns else F.lit(False)
 
 
-def _no_police(df: DataFrame) -> Column:
-    return _test(
-        df, "police_report_available", F.upper(F.col("police_report_available")) != "YES"
-    )
-
-
 def r4(df: DataFrame) -> Column:
-    """Several vehicles, no witness, no police report."""
+    """Several vehicles, no witness, no police report: points over three."""
+    police = "police_report_available"
     points = _points(
         _test(df, "number_of_vehicles_involved", F.col("number_of_vehicles_involved") > 1),
         _test(df, "witnesses", F.col("witnesses") == 0),
-        _no_police(df),
+        _test(df, police, F.upper(F.col(police)) != "YES"),
     )
-    return F.round(points / 3.0, 4)
+    return F.get(F.array(F.lit(0.0), F.lit(0.3333), F.lit(0.6667), F.lit(1.0)), points)
 
 
 def r5(df: DataFrame) -> Column:
     """Missing papers. Three points over two, so the rule reaches 1.5."""
-    unreported = _test(
-        df,
-        "police_report_available",
-        F.coalesce(F.upper(F.col("police_report_available")) != "YES", F.lit(True)),
-    )
+    police = "police_report_available"
     points = _points(
         _test(df, "property_damage", F.col("property_damage").isNull()),
-        unreported,
+        _test(df, police, F.col(police).isNull() | (F.upper(F.col(police)) != "YES")),
         _test(df, "authorities_contacted", F.lower(F.col("authorities_contacted")) == "none"),
     )
-    return F.round(points / 2.0, 4)
+    return points * F.lit(0.5)
 
 
 def r6(df: DataFrame) -> Column:
@@ -305,16 +310,16 @@ def r6(df: DataFrame) -> Column:
 def r7(df: DataFrame, population: Column) -> Column:
     if "bodily_injuries" not in df.columns:
         return F.lit(0.0)
-    std = F.greatest(population["ghost_std"], F.lit(1.0))
-    peers = z_score(F.col("injury_claim"), population["ghost_mean"], std)
+    peers = z_score(F.col("injury_claim"), population["ghost_mean"], population["ghost_scale"])
     return F.when(is_ghost_injury(), peers).otherwise(0.0)
 
 
 def r8(df: DataFrame, population: Column) -> Column:
     if "bodily_injuries" not in df.columns:
         return F.lit(0.0)
-    std = F.greatest(population["per_person_std"], F.lit(1.0))
-    return z_score(injury_per_person(), population["per_person_mean"], std)
+    return z_score(
+        injury_per_person(), population["per_person_mean"], population["per_person_scale"]
+    )
 
 
 def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
@@ -327,7 +332,7 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
     peers = stats.filter("scope = 'severity'").select(
         F.col("incident_severity").alias("_peer_severity"),
         F.col("amount_mean").alias("_peer_mean"),
-        F.col("amount_std").alias("_peer_std"),
+        _scale("amount", "peer").alias("_peer_scale"),
     )
     # The subquery is one column, so that it is planned and run once for all rules.
     joined = df.withColumn("_population", _population(stats)).join(
@@ -344,7 +349,7 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
         r8(df, population),
     )
     return joined.withColumns(dict(zip(RULES, values))).drop(
-        "_population", "_peer_severity", "_peer_mean", "_peer_std"
+        "_population", "_peer_severity", "_peer_mean", "_peer_scale"
     )
 
 
@@ -354,28 +359,34 @@ def score_rules(df: DataFrame, stats: DataFrame) -> DataFrame:
 def rule_moments(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
     """One row: range and deviation of each column, correlation of each pair.
 
-    A single pass keeps sums, ranges and sums of products; all of them merge
-    across tasks. Deviations and correlations are arithmetic on that row. A
-    column without range has correlation NULL with every other.
+    Without any rows there is no row. A single pass keeps sums, ranges and sums
+    of products; all of them merge across tasks. Deviations and correlations are
+    arithmetic on that row. A column without spread has correlation NULL with
+    every other.
     """
     span = range(len(columns))
     pairs = list(combinations(span, 2))
     filled = df.select(*(F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in columns))
     sums = filled.agg(
         F.count(F.lit(1)).alias("n"),
-        *(F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)),
+        *(F.sum(c).alias(f"sum_{i}") for i, c in enumerate(columns)),
         *((F.max(c) - F.min(c)).alias(f"range_{i}") for i, c in enumerate(columns)),
         *(F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"cross_{i}_{j}")
           for i, j in [*((i, i) for i in span), *pairs]),
     )
 
     def covariance(i: int, j: int) -> Column:
-        mean_product = F.try_divide(F.col(f"cross_{i}_{j}"), F.col("n"))
-        return mean_product - F.col(f"mean_{i}") * F.col(f"mean_{j}")
+        return F.col(f"cross_{i}_{j}") / F.col("n") - F.col(f"mean_{i}") * F.col(f"mean_{j}")
 
-    spread = sums.withColumns(
+    # An empty input has no row to divide by, hence the filter.
+    means = sums.filter("n > 0").withColumns(
+        {f"mean_{i}": F.col(f"sum_{i}") / F.col("n") for i in span}
+    )
+    spread = means.withColumns(
         {
-            f"std_{i}": F.when(F.col(f"range_{i}") > 0, F.sqrt(covariance(i, i))).otherwise(0.0)
+            f"std_{i}": F.when(
+                (F.col(f"range_{i}") > 0) & (covariance(i, i) > 0), F.sqrt(covariance(i, i))
+            ).otherwise(0.0)
             for i in span
         }
     )
@@ -383,8 +394,10 @@ def rule_moments(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
         *(f"std_{i}" for i in span),
         *(f"range_{i}" for i in span),
         *(
-            F.try_divide(covariance(i, j), F.nullif(F.col(f"std_{i}") * F.col(f"std_{j}"), F.lit(0.0)))
-            .alias(f"corr_{i}_{j}")
+            F.when(
+                (F.col(f"std_{i}") > 0) & (F.col(f"std_{j}") > 0),
+                covariance(i, j) / (F.col(f"std_{i}") * F.col(f"std_{j}")),
+            ).alias(f"corr_{i}_{j}")
             for i, j in pairs
         ),
     )
@@ -404,7 +417,9 @@ def weights_row(df: DataFrame, columns: Sequence[str] = RULES) -> DataFrame:
     count = len(columns)
     information = []
     for i in range(count):
-        spread = F.coalesce(F.try_divide(F.col(f"std_{i}"), F.col(f"range_{i}")), F.lit(0.0))
+        spread = F.when(
+            F.col(f"range_{i}") > 0, F.col(f"std_{i}") / F.col(f"range_{i}")
+        ).otherwise(0.0)
         conflicts = [F.coalesce(1 - _pair(i, j), F.lit(0.0)) for j in range(count) if j != i]
         information.append(spread * sum(conflicts[1:], conflicts[0]))
     return (
