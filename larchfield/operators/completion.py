@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -119,6 +119,14 @@ def brief_prompt(scored: DataFrame, target: str = "prompt") -> DataFrame:
     return scored.withColumn(target, F.concat(F.lit(ask), facts))
 
 
+def facts_prompt(
+    df: DataFrame, ask: str, columns: Sequence[str], target: str = "prompt"
+) -> DataFrame:
+    """A request followed by the row's figures, for one answer per aggregate row."""
+    facts = _facts({name: _text(name) for name in columns})
+    return df.withColumn(target, F.concat(F.lit(f"{ask}\n\n"), facts))
+
+
 def insight_prompt(bundle: DataFrame, target: str = "prompt") -> DataFrame:
     """Ask for an executive summary of each KPI bundle row."""
     return bundle.withColumn(

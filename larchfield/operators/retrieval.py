@@ -265,6 +265,12 @@ def _best(
     return pd.DataFrame({"query_id": found_queries, "doc_id": found_ids, "score": found_scores})
 
 
+def _keep(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best rows per query of what a task has found so far."""
+    ordered = found.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
+    return ordered.groupby("query_id", sort=False).head(k)
+
+
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     """The k best candidates per query; the limit also runs before the shuffle."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -288,7 +294,7 @@ def topk_cosine(
 
     ``queries`` has ``query_id, embedding`` and ``corpus`` has ``doc_id,
     embedding``; zero vectors score 0. Each task multiplies one block of vectors
-    with the queries and keeps k rows per query, so no pair leaves a task.
+    with the queries and sends on k rows per query, so no pair leaves a task.
 
     At most ``small_queries`` queries travel to the tasks with the code; this is
     checked by fetching one more than that. Beyond it queries are cut into
@@ -305,11 +311,15 @@ def topk_cosine(
     matrix = _stacked(fetched["embedding"])
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
         for frame in frames:
             if len(frame) and len(wanted):
-                yield _best(
+                found = _best(
                     wanted, matrix, frame["doc_id"].to_numpy(), _stacked(frame["embedding"]), k
                 )
+                best = found if best is None else _keep(pd.concat([best, found]), k)
+        if best is not None:
+            yield best
 
     return _ranked(vectors.mapInPandas(search, result), k)
 

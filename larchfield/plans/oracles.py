@@ -486,7 +486,7 @@ CHECKS: dict[str, str] = {
         FROM events""",
     "reconcile_counts": """SELECT event_type, count(*) AS raw_count, count(*) AS bronze_count,
         '' AS schema_problems, true AS passed FROM events GROUP BY event_type""",
-    "table_counts_report": " UNION ALL ".join(
+    "table_counts": " UNION ALL ".join(
         f"SELECT '{e}' AS table_name, count(*) AS record_count FROM {e}_c"
         for e in ("customers", "claims", "sales", "cars", "policy")
     ),
@@ -564,7 +564,7 @@ CHECKS: dict[str, str] = {
             AS total_warnings FROM issues""",
     # history, dimensions, facts
     "scd2_events": "SELECT * FROM event_versions",
-    "scd2_stream_events": "SELECT * FROM event_versions",
+    "scd2_stream": "SELECT * FROM event_versions",
     "scd2_current": """SELECT user_id, event_id, event_type, value FROM event_versions
         WHERE "__END_AT" IS NULL""",
     "dim_customer": """SELECT customer_sk, customer_id, region, education, marital, job, balance,
@@ -577,7 +577,7 @@ CHECKS: dict[str, str] = {
         is_current FROM dim_car""",
     "fact_claims": "SELECT * FROM fact_claims",
     "fact_car_sales": "SELECT * FROM fact_sales",
-    "asof_join": """SELECT o_orderkey, o_custkey, o_orderdate, customer_sk AS customer_customer_sk,
+    "asof_dim_join": """SELECT o_orderkey, o_custkey, o_orderdate, customer_sk AS customer_customer_sk,
         balance AS customer_balance
         FROM orders LEFT JOIN dim_customer ON o_custkey = customer_id
          AND o_orderdate >= valid_from
@@ -824,6 +824,23 @@ CHECKS: dict[str, str] = {
 for _i, _rule in enumerate(RULES, 1):
     CHECKS[f"rule_r{_i}"] = f"SELECT claimid, round({_rule}, 6) AS {_rule} FROM rules"
 
+CHECKS["fuel_prompt"] = (
+    "SELECT fuel, concat('Assess the underwriting risk of this fuel type in one or two sentences.',"
+    " chr(10), chr(10), "
+    + _fields(
+        {
+            c: _shown(c)
+            for c in ("fuel", "total_vehicles", "avg_km_driven", "avg_power_bhp", "total_claims")
+        }
+    )
+    + f") AS prompt FROM ({CHECKS['fuel_risk']})"
+)
+CHECKS["segment_prompt"] = (
+    "SELECT job, concat('Name one concrete retention or upsell step for this customer segment.',"
+    " chr(10), chr(10), "
+    + _fields({c: _shown(c) for c in ("job", "avg_balance", "carloan_pct", "hhinsurance_pct")})
+    + f") AS prompt FROM ({CHECKS['customer_segments']})"
+)
 CHECKS["brief_prompt"] = (
     "SELECT claimid, concat('Write an investigation brief of at most 400 words on this flagged"
     " insurance claim: why it is suspicious, which risk factors are present, and three to five"

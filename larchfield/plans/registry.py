@@ -28,6 +28,16 @@ def query(build: Query) -> Query:
     return build
 
 
+def query_named(name: str) -> Callable[[Query], Query]:
+    """Register under another name than the function's, which an import may hold."""
+
+    def register(build: Query) -> Query:
+        QUERIES[name] = build
+        return build
+
+    return register
+
+
 def runnable(build: Query) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: build(Lake(apply_runtime_defaults(spark), folder))
 
@@ -99,7 +109,7 @@ def reconcile_counts(lake: Lake) -> DataFrame:
     return reconcile(events_as_text(lake), bronze_events(lake), "event_type")
 
 
-@query
+@query_named("table_counts")
 def table_counts_report(lake: Lake) -> DataFrame:
     return table_counts({name: lake.clean(name) for name in ENTITIES})
 
@@ -343,7 +353,7 @@ def scd2_events(lake: Lake) -> DataFrame:
     return history.scd2(events, ["user_id"], "ts", [F.desc("event_id")]).select(*VERSION_COLUMNS)
 
 
-@query
+@query_named("scd2_stream")
 def scd2_stream_events(lake: Lake) -> DataFrame:
     schema = lake.table("events").schema
     reader = lake.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
@@ -398,7 +408,7 @@ def fact_car_sales(lake: Lake) -> DataFrame:
     return lake.fact_sales
 
 
-@query
+@query_named("asof_dim_join")
 def asof_join(lake: Lake) -> DataFrame:
     orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return asof_dim_join(
@@ -429,18 +439,13 @@ def mart_customer_metrics(lake: Lake) -> DataFrame:
     return marts.mart_customer_metrics(lake.dim_customer)
 
 
-def _register(name: str, build: Query) -> None:
-    build.__name__ = name
-    query(build)
-
-
 for _name, _figure in {
     "kpi_policy_overview": kpis.policy_overview,
     "kpi_policy_states": kpis.policy_states,
     "kpi_policy_csl": kpis.policy_csl,
     "kpi_premium_buckets": kpis.premium_buckets,
 }.items():
-    _register(_name, lambda lake, figure=_figure: figure(lake.current("dim_policy")))
+    query_named(_name)(lambda lake, figure=_figure: figure(lake.current("dim_policy")))
 
 for _name, _figure in {
     "kpi_claims_overview": kpis.claims_overview,
@@ -448,7 +453,7 @@ for _name, _figure in {
     "kpi_claims_states": kpis.claims_states,
     "kpi_claims_vehicles": kpis.claims_vehicles,
 }.items():
-    _register(_name, lambda lake, figure=_figure: figure(lake.fact_claims))
+    query_named(_name)(lambda lake, figure=_figure: figure(lake.fact_claims))
 
 for _name, _figure in {
     "kpi_customer_overview": kpis.customer_overview,
@@ -460,20 +465,20 @@ for _name, _figure in {
     "kpi_customer_dims": kpis.customer_dims,
     "customer_segments": kpis.customer_segments,
 }.items():
-    _register(_name, lambda lake, figure=_figure: figure(lake.current("dim_customer")))
+    query_named(_name)(lambda lake, figure=_figure: figure(lake.current("dim_customer")))
 
 for _name, _figure in {
     "kpi_fleet": kpis.fleet_overview,
     "kpi_fleet_fuel": kpis.fleet_fuel,
     "kpi_fleet_transmission": kpis.fleet_transmission,
 }.items():
-    _register(_name, lambda lake, figure=_figure: figure(lake.current("dim_car")))
+    query_named(_name)(lambda lake, figure=_figure: figure(lake.current("dim_car")))
 
 for _name, _figure in {
     "kpi_sales_overview": kpis.sales_overview,
     "kpi_sales_region": kpis.sales_by_region,
 }.items():
-    _register(_name, lambda lake, figure=_figure: figure(lake.fact_sales))
+    query_named(_name)(lambda lake, figure=_figure: figure(lake.fact_sales))
 
 
 @query
@@ -561,9 +566,8 @@ def claim_stats(lake: Lake) -> DataFrame:
 
 
 for _position, _rule in enumerate(scoring.RULES, 1):
-    _register(
-        f"rule_r{_position}",
-        lambda lake, rule=_rule: rounded(claim_rules(lake).select("claimid", rule), 6, rule),
+    query_named(f"rule_r{_position}")(
+        lambda lake, rule=_rule: rounded(claim_rules(lake).select("claimid", rule), 6, rule)
     )
 
 
@@ -824,6 +828,46 @@ def brief_prompt(lake: Lake) -> DataFrame:
     return completion.brief_prompt(flagged).select("claimid", "prompt")
 
 
+def fuel_figures(lake: Lake) -> DataFrame:
+    return completion.facts_prompt(
+        fuel_risk(lake),
+        "Assess the underwriting risk of this fuel type in one or two sentences.",
+        ["fuel", "total_vehicles", "avg_km_driven", "avg_power_bhp", "total_claims"],
+    )
+
+
+@query
+def fuel_prompt(lake: Lake) -> DataFrame:
+    return fuel_figures(lake).select("fuel", "prompt")
+
+
+@query
+def segment_prompt(lake: Lake) -> DataFrame:
+    segments = kpis.customer_segments(lake.current("dim_customer"))
+    return completion.facts_prompt(
+        segments,
+        "Name one concrete retention or upsell step for this customer segment.",
+        ["job", "avg_balance", "carloan_pct", "hhinsurance_pct"],
+    ).select("job", "prompt")
+
+
+@query
+def business_insights(lake: Lake) -> DataFrame:
+    """Key figures per domain with a stand-in summary each."""
+    prompts = completion.insight_prompt(kpi_bundle(lake).drop("status"))
+    answered = completion.complete(prompts, "prompt", EchoClient, response="raw")
+    return answered.select(
+        "insight_id",
+        "domain",
+        "summary_title",
+        completion.extract_text("raw").alias("executive_summary"),
+        "kpi_json",
+        F.current_timestamp().alias("generation_ts"),
+        F.lit("stand-in").alias("model_name"),
+        F.upper("generation_status").alias("status"),
+    )
+
+
 @query
 def insight_prompt(lake: Lake) -> DataFrame:
     return completion.insight_prompt(kpi_bundle(lake)).select("insight_id", "prompt")

@@ -11,16 +11,24 @@ from larchfield.plans.registry import QUERIES
 from tests.conftest import SF_TINY
 
 # Without a check in SQL: model answers, hashed vectors, JSON bundles.
-WITHOUT_SQL = {"kpi_bundle", "rag_prompt", "embed_chunks", "rag_answers", "dq_explanations", "insight_prompt"}
+WITHOUT_SQL = {
+    "kpi_bundle",
+    "rag_prompt",
+    "embed_chunks",
+    "rag_answers",
+    "dq_explanations",
+    "insight_prompt",
+    "business_insights",
+}
 
 # One query per kind of operator, so that the suite stays short; the driver runs all.
 CHECKED = [
     "ingest_events", "ingest_json_events", "reconcile_counts", "merge_synonyms", "expand_codes",
     "parse_timestamps", "extract_measure", "convert_units", "valid_email", "quarantine_sales",
     "quarantine_policy", "expectations", "dq_issue_log", "dq_issue_seq", "scd2_events",
-    "scd2_stream_events", "dim_customer", "dim_car", "fact_claims", "asof_join",
+    "scd2_stream", "dim_customer", "dim_car", "fact_claims", "asof_dim_join",
     "mart_claim_performance", "mart_unsold_inventory", "kpi_policy_overview", "kpi_customer_dims",
-    "fuel_risk", "demand_signal", "alert_scored", "alert_summary", "alert_regions",
+    "fuel_risk", "fuel_prompt", "segment_prompt", "demand_signal", "alert_scored", "alert_summary", "alert_regions",
     "claims_enriched", "claim_stats", "critic_weights", "anomaly_critic", "score_histogram",
     "flagged_claims", "brief_prompt", "policy_documents", "chunks_small", "corpus_stats",
     "topk_cosine", "confidence_pivot", "latest_per_key", "extract_text",
@@ -63,7 +71,7 @@ def test_every_query_has_a_check_or_a_reason(duck):
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL - {"embed_chunks"}))
 def test_query_without_check_has_rows(spark, name):
     rows = entry_points.queries()[name](spark, SF_TINY).collect()
-    expected = {"kpi_bundle": 4, "insight_prompt": 4, "rag_prompt": 5, "rag_answers": 10}
+    expected = {"kpi_bundle": 4, "business_insights": 4, "insight_prompt": 4, "rag_prompt": 5, "rag_answers": 10}
     assert len(rows) == expected.get(name, len(rows)) > 0
     assert not any("LLM_ERROR" in str(r) for r in rows)
 

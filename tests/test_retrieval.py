@@ -182,3 +182,23 @@ def test_issue_prompt_without_ratio(spark):
     )
     prompt = completion.dq_prompt(log).first().prompt
     assert "Records: 3 (N/A)" in prompt and "What was done: odd severity" in prompt
+
+
+def test_tasks_merge_several_batches(spark):
+    """Small Arrow batches: a task must keep the best over all of its batches."""
+    rng = random.Random(11)
+    corpus = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(300)]
+    queries = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(3)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        found = retrieval.topk_cosine(
+            spark.createDataFrame(queries, "query_id int, embedding array<double>"),
+            spark.createDataFrame(corpus, "doc_id long, embedding array<double>").repartition(2),
+            k=7,
+        )
+        got = {}
+        for r in found.orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.doc_id)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_force(queries, corpus, 7)
