@@ -199,7 +199,7 @@ def corpus_stats(corpus: DataFrame) -> DataFrame:
 
 def hashed_vectors(df: DataFrame, text: str, target: str = "embedding", width: int = 384) -> DataFrame:
     """Unit-length hashed term counts, computed on the JVM without a model."""
-    words = df.withColumn("_words", F.transform(tokens(text), F.lower))
+    words = df.withColumn("_words", tokens(F.lower(text)))
     counted = HashingTF(numFeatures=width, inputCol="_words", outputCol="_counts").transform(words)
     unit = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit").transform(counted)
     return unit.withColumn(target, vector_to_array("_unit", "float32")).drop(
