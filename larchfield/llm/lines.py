@@ -70,7 +70,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         "line-covered",
     )
     marked = docs.withColumn("_key", F.xxhash64("text")).alias("d").join(
-        covered.alias("c"),
+        # What is covered grows with the input, so one plan holds at every size.
+        covered.hint("merge").alias("c"),
         F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._key") == F.col("c.text_key")),
         "left",
     )

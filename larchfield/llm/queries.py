@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larchfield.llm import lines, shards, warc
+from larchfield.llm import language, lines, neighbours, shards, warc
 from larchfield.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,18 @@ FROM t
 """
 
 
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return named.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.pack_shards(table(spark, sf_dir, "documents")).drop("tokens")
