@@ -11,10 +11,11 @@ from pyspark.sql.window import Window
 
 from larchfield.llm.common import materialise
 
-PROJECTIONS = 48
+PROJECTIONS = 96
 COLLISION_SHARE = 0.6
-VERIFIED_SHARE = 0.12
-RATIO = 1.3
+VERIFIED_SHARE = 0.2
+FIRST_WINDOW = 0.9
+RATIO = 1.12
 BLOCK = 8192
 QUERY_BLOCK = 4096
 
@@ -22,40 +23,53 @@ QUERY_BLOCK = 4096
 class CollisionIndex:
     """Projections of one block of vectors, each sorted on its own.
 
-    A query's window on every line begins narrow, centred on the query, and
-    widens by a constant ratio (virtual rehashing). Only what a wider window adds
-    is counted. A vector in the windows of at least ``COLLISION_SHARE`` of the
-    lines is a candidate. Widening ends when ``want`` plus ``VERIFIED_SHARE`` of
+    ``place`` holds every vector's place in each sorted array. A query's window
+    on every line begins narrow, centred on the query, and widens by a constant
+    ratio (virtual rehashing). A window is a range of places, found by binary
+    search. A vector whose places lie in the windows of at least
+    ``COLLISION_SHARE`` of the lines is a candidate. Widening ends when ``want`` plus ``VERIFIED_SHARE`` of
     the block are candidates, or the windows hold the whole block.
     """
 
     def __init__(self, projected: np.ndarray) -> None:
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
-        self.sorted = np.sort(projected, axis=0).T.copy()
         self.size, self.lines = projected.shape
-        spread = projected.std(axis=0)
-        self.unit = max(float(np.median(spread)), 1e-12) * 0.35
-
-    def candidates(self, point: np.ndarray, want: int) -> np.ndarray:
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
+        self.place = np.empty((self.lines, self.size), np.uint16)
+        np.put_along_axis(self.place, order.T, np.arange(self.size, dtype=np.uint16)[None], axis=1)
+        spread = float(np.median(projected.std(axis=0)))
+        self.first = FIRST_WINDOW * max(spread, 1e-12)
+
+    def windows(self, points: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place in each line's window, for all queries at a level."""
+        half = self.first * RATIO**level
+        low = [np.searchsorted(s, p - half, "left") for s, p in zip(self.sorted, points.T, strict=True)]
+        high = [np.searchsorted(s, p + half, "right") for s, p in zip(self.sorted, points.T, strict=True)]
+        return np.array(low).T, np.array(high).T
+
+    def candidates(self, points: np.ndarray, want: int) -> Iterator[np.ndarray]:
+        """For each query the vectors that collide often enough."""
         need = max(1, int(np.ceil(COLLISION_SHARE * self.lines)))
         enough = min(self.size, want + int(VERIFIED_SHARE * self.size))
-        counts = np.zeros(self.size, np.int32)
-        low = np.array([np.searchsorted(s, p) for s, p in zip(self.sorted, point, strict=True)])
-        high = low.copy()
-        half = self.unit
-        while True:
-            fresh = []
-            for line in range(self.lines):
-                left = np.searchsorted(self.sorted[line], point[line] - half, "left")
-                right = np.searchsorted(self.sorted[line], point[line] + half, "right")
-                left, right = min(left, low[line]), max(right, high[line])
-                fresh += [self.order[line, left : low[line]], self.order[line, high[line] : right]]
-                low[line], high[line] = left, right
-            counts += np.bincount(np.concatenate(fresh), minlength=self.size).astype(np.int32)
-            found = np.flatnonzero(counts >= need)
-            if len(found) >= enough or (not low.any() and (high == self.size).all()):
-                return found
-            half *= RATIO
+        offset, inside = np.empty_like(self.place), np.empty(self.place.shape, bool)
+        for begin in range(0, len(points), 512):
+            part = points[begin : begin + 512]
+            levels: list[tuple[np.ndarray, np.ndarray]] = []
+            for row in range(len(part)):
+                level, found = 0, None
+                while found is None:
+                    if level == len(levels):
+                        levels.append(self.windows(part, level))
+                    left, right = levels[level][0][row], levels[level][1][row]
+                    # Places before the window wrap round to large numbers.
+                    np.subtract(self.place, left[:, None].astype(np.uint16), out=offset)
+                    np.less(offset, (right - left)[:, None].astype(np.uint16), out=inside)
+                    counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+                    hit = np.flatnonzero(counts >= need)
+                    if len(hit) >= enough or (not left.any() and (right == self.size).all()):
+                        found = hit
+                    level += 1
+                yield found
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -126,8 +140,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 11) ->
         scaled = points * np.sqrt(top / right["sq"].to_numpy())[:, None]
         projected = scaled @ lines[:-1]
         out = []
-        for q, point, spot in zip(asked, points, projected, strict=True):
-            found = index.candidates(spot, k + 1)
+        for q, point, found in zip(asked, points, index.candidates(projected, k + 1), strict=True):
             found = found[ids[found] != q]
             scores = data[found] @ point
             best = np.lexsort((ids[found], -scores))[:k]
