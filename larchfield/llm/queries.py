@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larchfield.llm import language, lines, neighbours, shards, warc
+from larchfield.llm import language, lines, neighbours, packing, shards, warc
 from larchfield.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ FROM t
 """
 
 
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer())
+    return pieces.drop("queue")
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
