@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larchfield.llm import language, lines, neighbours, packing, shards, warc
+from larchfield.llm import language, lines, minhash, neighbours, packing, shards, warc
 from larchfield.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
