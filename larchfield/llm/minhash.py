@@ -164,7 +164,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def candidate_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to verify in buckets (bucket, key), and the members of large buckets.
+    """Pairs to verify in buckets (bucket, key, used), and the members of large buckets.
 
     In a bucket of up to 32 keys all pairs are taken. In a larger one every
     member is paired with one leader, so that pairs grow with the members and
@@ -185,7 +185,8 @@ def candidate_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.max(F.struct("weight", "key")).alias("top"))
         .select("bucket", F.col("top.key").alias("leader"))
     )
-    led = materialise(large.join(leaders, "bucket").select("bucket", "key", "leader"), "bucket-leaders")
+    led = large.join(leaders, "bucket").select("bucket", "key", "used", "leader")
+    led = materialise(led, "bucket-leaders")
     stars = led.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))
     return pairs.select("a", "b").where("a < b").union(stars.where("a < b")).distinct(), led
 
@@ -270,7 +271,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = signed.where("key is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     nodes = materialise(nodes, "signature-keys")
     exploded = nodes.select("key", F.posexplode("bands").alias("band", "value"))
-    members = exploded.select(F.xxhash64("band", "value").alias("bucket"), "key")
+    members = exploded.select(
+        F.xxhash64("band", "value").alias("bucket"), "key", F.array("band").alias("used")
+    )
     links: list[DataFrame] = []
     texts = None
     for depth in range(BANDS):
@@ -286,10 +289,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         alone = led.join(
             matched, (F.col("key") == F.col("a")) & (F.col("leader") == F.col("b")), "left_anti"
         ).where("key <> leader")
-        again = alone.select("bucket", "key").join(nodes, "key")
+        again = alone.select("bucket", "key", "used").join(nodes, "key")
+        # The order in which bands were used does not matter to the bucket.
         members = materialise(
-            again.select("key", "bucket", F.posexplode("bands").alias("band", "value"))
-            .select(F.xxhash64("bucket", "band", "value").alias("bucket"), "key")
+            again.select("key", "bucket", "used", F.posexplode("bands").alias("band", "value"))
+            .where(~F.array_contains("used", F.col("band")))
+            .select(
+                F.col("bucket").bitwiseXOR(F.xxhash64("band", "value")).alias("bucket"),
+                "key",
+                F.array_sort(F.array_append("used", F.col("band"))).alias("used"),
+            )
             .distinct(),
             "residual-members",
         )
