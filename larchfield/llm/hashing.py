@@ -19,6 +19,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BYTES = np.array(
     [chr(b).isalnum() if b < 128 else True for b in range(256)], dtype=bool
 )
+SYMBOL_BYTES = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)], dtype=bool)
 WORD_PATTERN = re.compile(r"[a-z0-9\u0080-\U0010ffff]+")
 
 
@@ -45,10 +46,22 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     The second array has one entry more than there are rows. Null and empty
     texts have no words.
     """
+    hashes, bounds, _, _, _ = word_spans(texts)
+    return hashes, bounds
+
+
+def word_spans(
+    texts: pa.Array, inside_bytes: np.ndarray = _WORD_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes and row bounds, with the bytes, row offsets and word starts.
+
+    ``inside_bytes`` tells of each byte whether it belongs to a word.
+    """
     data, offsets = text_buffer(pc.utf8_lower(texts))
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = _WORD_BYTES[data]
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), data, offsets, none
+    inside = inside_bytes[data]
     fresh = np.ones(len(data), bool)
     fresh[1:] = ~inside[:-1]
     fresh[offsets[:-1][offsets[:-1] < len(data)]] = True
@@ -62,7 +75,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(size)
     sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-    return mix((sums[ends] - before) * down[starts]), np.searchsorted(starts, offsets)
+    hashes = mix((sums[ends] - before) * down[starts])
+    return hashes, np.searchsorted(starts, offsets), data, offsets, starts
 
 
 def word_hash(word: str) -> int:

@@ -195,8 +195,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
     counts = docs.where("lang is not null").groupBy("lang").count().collect()
     pick = F.lit(False)
     for row in counts:
-        bar = int(min(1.0, 1.5 * per_language / row["count"]) * (2**63 - 1))
-        pick = pick | ((F.col("lang") == row["lang"]) & (F.abs(order) <= bar))
+        bar = min(2**63 - 1, (2**63 - 1) * 3 * per_language // (2 * row["count"]))
+        pick = pick | ((F.col("lang") == row["lang"]) & (F.shiftrightunsigned(order, 1) <= bar))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text"):

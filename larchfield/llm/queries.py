@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larchfield.llm import language, lines, minhash, neighbours, packing, shards, warc
+from larchfield.llm import (
+    contamination,
+    language,
+    licenses,
+    lines,
+    minhash,
+    neighbours,
+    packing,
+    quality,
+    shards,
+    warc,
+)
 from larchfield.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +60,11 @@ FROM t
 """
 
 
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), packing.default_tokenizer())
@@ -108,3 +124,17 @@ SELECT d.doc_id, CASE WHEN r.doc_id IS NULL THEN d.text ELSE r.text END AS text,
        CAST(coalesce(r.lines_removed, 0) AS BIGINT) AS lines_removed
 FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id
 """
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.grade_documents(docs, model).drop("text")
+
+
+@query
+def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "leaked_items", "leak_share")
