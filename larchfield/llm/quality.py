@@ -14,23 +14,32 @@ from larchfield.llm.common import batches_of
 from larchfield.llm.hashing import SYMBOL_BYTES, rows_of, word_hashes, word_spans
 
 BUCKETS = 1 << 18
-PER_GRADE = 2500
-STEPS = 250
+PER_GRADE = 4000
+STEPS = 200
+PENALTY = 2e-4
 SEEN = 5
+REPEATED = 1
 
 
 def sparse(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, bucket and value of the features of each text.
 
-    Features are hashed words and runs of symbols; the value is ln(1 + count) for
-    words and ln(1 + count per 100 words) for symbol runs. Rows are in order.
+    Features are hashed words, runs of symbols, and words that repeat the one
+    before; the value is ln(1 + count) for words and ln(1 + count per 100 words)
+    for the others. Rows are in order.
     """
     words, bounds = word_hashes(texts)
     symbols, symbol_bounds, _, _, _ = word_spans(texts, SYMBOL_BYTES)
-    row = np.concatenate([rows_of(bounds), rows_of(symbol_bounds)]).astype(np.uint64)
-    # Even buckets are words, odd ones symbols.
+    word_row = rows_of(bounds)
+    again = np.flatnonzero((words[1:] == words[:-1]) & (word_row[1:] == word_row[:-1]))
+    row = np.concatenate([word_row, rows_of(symbol_bounds), word_row[again]]).astype(np.uint64)
+    # Even buckets are words, odd ones symbols and repetitions.
     bucket = np.concatenate(
-        [(words >> np.uint64(46)) & ~np.uint64(1), (symbols >> np.uint64(46)) | np.uint64(1)]
+        [
+            (words >> np.uint64(46)) & ~np.uint64(1),
+            (symbols >> np.uint64(46)) | np.uint64(1),
+            np.full(len(again), REPEATED, np.uint64),
+        ]
     )
     key, count = np.unique(row * np.uint64(BUCKETS) + bucket, return_counts=True)
     row, bucket = (key // np.uint64(BUCKETS)).astype(np.int64), (key % np.uint64(BUCKETS)).astype(np.int64)
@@ -41,10 +50,14 @@ def sparse(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class OrdinalModel:
-    """Shared weights and ordered thresholds: P(grade > k) = sigmoid(x w - theta_k)."""
+    """Shared weights and ordered thresholds: P(grade > k) = sigmoid(x w - theta_k).
+
+    ``cut`` is the tail probability from which a document is kept.
+    """
 
     weights: np.ndarray
     thresholds: np.ndarray
+    cut: float = 0.5
 
     def tails(self, texts: pa.Array) -> np.ndarray:
         """Probability that the grade exceeds each threshold, a row per text."""
@@ -80,7 +93,7 @@ def fit_ordinal(
         raised = np.bincount(row, value * weights[column], minlength=len(grade))
         error = (sigmoid(raised[:, None] - cuts[None, :]) - above) * mass[:, None]
         gradient = np.empty_like(params)
-        gradient[:size] = np.bincount(column, value * error.sum(axis=1)[row], minlength=size) + 2e-5 * weights
+        gradient[:size] = np.bincount(column, value * error.sum(axis=1)[row], minlength=size) + PENALTY * weights
         cut_gradient = -error.sum(axis=0)
         tail = np.cumsum(cut_gradient[::-1])[::-1]
         gradient[size] = tail[0]
@@ -152,20 +165,40 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> Ord
     used = common[bucket]
     sampled = np.bincount(grade, minlength=3)
     mass = np.array([counts[g] / sampled[g] for g in grade.tolist()])
+    # Every fifth document tells where to cut; the others are fitted.
+    aside = np.arange(len(found)) % 5 == 0
+    learn = used & ~aside[row]
     fitted, thresholds = fit_ordinal(
-        row[used], column[bucket[used]], value[used], grade, mass, int(common.sum())
+        row[learn], column[bucket[learn]], value[learn], grade, np.where(aside, 0.0, mass), int(common.sum())
     )
     weights = np.zeros(BUCKETS)
     weights[common] = fitted
-    return OrdinalModel(weights, thresholds)
+    raised = np.bincount(row, value * weights[bucket], minlength=len(grade))[aside]
+    top = sigmoid(raised - thresholds[-1])
+    return OrdinalModel(weights, thresholds, best_cut(top, grade[aside] == grade.max()))
+
+
+def best_cut(probability: np.ndarray, good: np.ndarray) -> float:
+    """The probability that parts good from other documents with the fewest errors.
+
+    Errors are counted as shares of either side, which may differ much in number.
+    """
+    if good.all() or not good.any():
+        return 0.5
+    order = np.argsort(probability, kind="stable")
+    lost = np.concatenate([[0], np.cumsum(good[order])]) / good.sum()
+    passed = 1 - np.concatenate([[0], np.cumsum(~good[order])]) / (~good).sum()
+    at = int(np.argmin(lost + passed))
+    edges = np.concatenate([[0.0], probability[order], [1.0]])
+    return float((edges[at] + edges[at + 1]) / 2)
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
     """Expected grade and probability of the top grade of every document.
 
     Adds expected_grade (sum of the tail probabilities), tail_probability
-    (that the grade is the highest) and keep (tail_probability of 0.5 or more) to
-    the columns of ``docs``, replacing any of these names. Whole texts are read.
+    (that the grade is the highest) and keep (tail_probability of the model's cut
+    or more, which was set on labelled documents that were not fitted) to the columns of ``docs``, replacing any of these names. Whole texts are read.
     Null and empty texts have no features and get the model's base rate but are
     not kept; without a model all values are null. Repeated rows are graded
     alike; an empty table gives no rows.
@@ -188,4 +221,4 @@ def grade_documents(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
     schema = docs.select(*names).schema.add("expected_grade", "double").add("tail_probability", "double")
     graded = docs.mapInArrow(grade, schema)
     empty = F.coalesce(F.trim("text"), F.lit("")) == ""
-    return graded.withColumn("keep", (F.col("tail_probability") >= 0.5) & ~empty)
+    return graded.withColumn("keep", (F.col("tail_probability") >= (0.5 if model is None else model.cut)) & ~empty)
