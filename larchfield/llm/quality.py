@@ -130,7 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> Ord
     for grade, count in counts.items():
         bar = min(2**63 - 1, (2**63 - 1) * per_grade // count)
         pick = pick | ((F.col("grade") == grade) & (F.shiftrightunsigned(order, 1) <= bar))
-    chosen = graded.where(pick).select("doc_id", F.col("grade").cast("long").alias("grade"))
+    # At most 4 * per_grade rows of two numbers: a bound that does not grow.
+    picked = graded.where(pick).orderBy(order, "doc_id").limit(4 * per_grade)
+    chosen = picked.select("doc_id", F.col("grade").cast("long").alias("grade"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> Ord
             )
 
     found = (
-        rows.join(chosen, "doc_id")
+        rows.join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "grade", "text")
         .mapInArrow(extract, "doc_id long, grade long, b binary, v binary")
         .collect()
