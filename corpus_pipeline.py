@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larchfield.llm import contamination, language, lines, minhash, packing
-from larchfield.llm.common import scratch_path, table
+from larchfield.llm.common import materialise, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
