@@ -338,15 +338,20 @@ def test_common_length_by_bits():
         assert contamination.common_length(a, b) == longest_common(a, b)
 
 
+def rich(seed, count):
+    """Prose of a large vocabulary."""
+    return " ".join(a + b for a, b in zip(prose(seed, count).split(), prose(seed + 5000, count).split()))
+
+
 def test_leaks_are_found(spark):
-    items = [(i, prose(900 + i, 20 + 3 * i) + ". " + prose(950 + i, 8) + ".") for i in range(12)]
-    rows = [(i, prose(i, 400), "a") for i in range(60)]
+    items = [(i, rich(900 + i, 20 + 3 * i) + ". " + rich(950 + i, 8) + ".") for i in range(12)]
+    rows = [(i, rich(i, 400), "a") for i in range(60)]
     for i, text in items:
         words = text.split()
-        rows.append((100 + i, prose(200 + i, 90) + " " + text.upper() + " " + prose(300 + i, 77), "a"))
-        other = prose(700 + i, len(words)).split()
+        rows.append((100 + i, rich(200 + i, 90) + " " + text.upper() + " " + rich(300 + i, 77), "a"))
+        other = rich(700 + i, len(words)).split()
         changed = [w if at % 9 else other[at] for at, w in enumerate(words)]
-        rows.append((200 + i, prose(400 + i, 50) + " " + " ".join(changed), "a"))
+        rows.append((200 + i, rich(400 + i, 50) + " " + " ".join(changed), "a"))
     docs = documents(spark, rows + [(1, None, "a"), (2, "", "a")])
     bench = spark.createDataFrame([*items, (50, None), (51, "")], "item_id long, text string")
     got = {}
