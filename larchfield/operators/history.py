@@ -41,8 +41,8 @@ def scd2(
 
     Rows of one key with equal ``seq`` are one version: the first in the order
     of ``tiebreak`` wins. Without ``tiebreak`` the pair (key, seq) must be
-    unique. Keys must not be NULL; NULL sequences are not versions and are
-    dropped.
+    unique. Keys must not be NULL; rows with a NULL sequence are not versions:
+    ``without_sequence`` returns them.
 
     A key may hold any share of all rows, so its versions are never put into one
     task. They are split by ``bucket``, a coarse form of ``seq`` that sorts the
@@ -73,6 +73,13 @@ def scd2(
     )
 
 
+def without_sequence(versions: DataFrame, seq: str) -> DataFrame:
+    """Rows that ``scd2`` cannot order, with a reason; the others are its versions."""
+    return versions.filter(F.col(seq).isNull()).withColumn(
+        "_reject_reason", F.lit(f"no version: {seq} is null")
+    )
+
+
 def current_rows(df: DataFrame) -> DataFrame:
     """Open rows without their history columns; a table without them is unchanged.
 

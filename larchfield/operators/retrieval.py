@@ -140,7 +140,7 @@ def chunk(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
 
     A text of at most ``size`` tokens is one chunk and stays exactly as it is.
     Otherwise windows start every ``size - overlap`` tokens, the last one being
-    the first to reach the end. Adds ``chunk_index``, ``chunk_text`` and
+    the first to reach the end. A NULL text is one NULL chunk of 0 tokens. Adds ``chunk_index``, ``chunk_text`` and
     ``chunk_token_count``; other columns are kept.
     """
     if not 0 <= overlap < size:
@@ -164,6 +164,8 @@ def chunk(df: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
 
     # As a lambda argument the token array is computed once per text, not per window.
     pieces = F.get(F.transform(F.array(tokens(text)), windows), F.lit(0))
+    # A NULL text stays visible as one chunk without tokens.
+    pieces = F.coalesce(pieces, F.array(piece(F.col(text), F.lit(0))))
     kept = [c for c in df.columns if c != text]
     return df.select(*kept, F.posexplode(pieces).alias("chunk_index", "_piece")).select(
         *kept, "chunk_index", "_piece.*"
@@ -265,12 +267,6 @@ def _best(
     return pd.DataFrame({"query_id": found_queries, "doc_id": found_ids, "score": found_scores})
 
 
-def _keep(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows per query of what a task has found so far."""
-    ordered = found.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
-
-
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     """The k best candidates per query; the limit also runs before the shuffle."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -283,45 +279,19 @@ def _stacked(column: pd.Series) -> np.ndarray:
     return _unit_rows(np.stack(column.to_numpy()).astype(np.float64))
 
 
-def topk_cosine(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int = 5,
-    small_queries: int = 2_000,
-    block: int = 2_000,
-) -> DataFrame:
+def topk_cosine(queries: DataFrame, corpus: DataFrame, k: int = 5, block: int = 2_000) -> DataFrame:
     """Exact k nearest corpus rows per query by cosine, as ``(query_id, doc_id, score, rank)``.
 
     ``queries`` has ``query_id, embedding`` and ``corpus`` has ``doc_id,
-    embedding``; zero vectors score 0. Each task multiplies one block of vectors
-    with the queries and sends on k rows per query, so no pair leaves a task.
-
-    At most ``small_queries`` queries travel to the tasks with the code; this is
-    checked by fetching one more than that. Beyond it queries are cut into
-    blocks too, and every (query block, corpus block) cell is one small group.
+    embedding``; zero vectors score 0, rows without a vector take no part. Queries
+    and corpus are cut into blocks, and every (query block, corpus block) cell is
+    one small group that sends on k rows per query, so no pair leaves a task.
     """
-    narrow = queries.select("query_id", "embedding")
-    vectors = corpus.select("doc_id", "embedding")
+    narrow = queries.select("query_id", "embedding").filter("embedding is not null")
+    vectors = corpus.select("doc_id", "embedding").filter("embedding is not null")
     query_type, doc_type = dict(narrow.dtypes)["query_id"], dict(vectors.dtypes)["doc_id"]
     result = f"query_id {query_type}, doc_id {doc_type}, score double"
-    fetched = narrow.limit(small_queries + 1).toPandas()
-    if len(fetched) > small_queries:
-        return _ranked(_blocked_candidates(narrow, vectors, k, block, result), k)
-    wanted = fetched["query_id"].to_numpy()
-    matrix = _stacked(fetched["embedding"])
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for frame in frames:
-            if len(frame) and len(wanted):
-                found = _best(
-                    wanted, matrix, frame["doc_id"].to_numpy(), _stacked(frame["embedding"]), k
-                )
-                best = found if best is None else _keep(pd.concat([best, found]), k)
-        if best is not None:
-            yield best
-
-    return _ranked(vectors.mapInPandas(search, result), k)
+    return _ranked(_blocked_candidates(narrow, vectors, k, block, result), k)
 
 
 def _blocked_candidates(

@@ -286,7 +286,7 @@ def r4(df: DataFrame) -> Column:
         _test(df, "witnesses", F.col("witnesses") == 0),
         _test(df, police, F.upper(F.col(police)) != "YES"),
     )
-    return F.get(F.array(F.lit(0.0), F.lit(0.3333), F.lit(0.6667), F.lit(1.0)), points)
+    return F.round(points / 3, 4)
 
 
 def r5(df: DataFrame) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from larchfield.operators.history import END, START
 
-FAR_FUTURE = "9999-12-31"
 
 
 def build_dim(history: DataFrame, key: str, surrogate: str) -> DataFrame:
@@ -38,8 +37,8 @@ def _slim(dim: DataFrame, key: str, columns: Sequence[str], prefix: str) -> Data
 
 
 def valid_at(at: Column, start: str, end: str) -> Column:
-    """Whether ``at`` lies in the closed validity interval; an open end never passes."""
-    return (at >= F.col(start)) & (at <= F.coalesce(F.col(end), F.lit(FAR_FUTURE).cast("timestamp_ntz")))
+    """Whether ``at`` lies in the validity interval, whose end belongs to the next version."""
+    return (at >= F.col(start)) & (F.col(end).isNull() | (at < F.col(end)))
 
 
 def asof_dim_join(

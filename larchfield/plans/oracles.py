@@ -581,7 +581,7 @@ CHECKS: dict[str, str] = {
         balance AS customer_balance
         FROM orders LEFT JOIN dim_customer ON o_custkey = customer_id
          AND o_orderdate >= valid_from
-         AND o_orderdate <= coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00')""",
+         AND (valid_to IS NULL OR o_orderdate < valid_to)""",
     # marts
     "mart_claim_performance": f"""SELECT region, policy_csl, incident_severity,
         CAST(year(incident_date) AS INTEGER) AS incident_year,
@@ -807,10 +807,10 @@ CHECKS: dict[str, str] = {
             "What happened": "issue_description",
             "What was done": """CASE severity
                 WHEN 'Error (Quarantined)'
-                    THEN 'Affected records were moved to a quarantine area for manual review'
+                    THEN 'The rows were set apart and wait for somebody to look at them'
                 WHEN 'Warning (Missing File)'
-                    THEN 'A required data file was missing — no records were loaded'
-                ELSE 'The issue was flagged and records were passed through with a warning' END""",
+                    THEN 'The source file never arrived, so nothing was loaded from it'
+                ELSE 'The rows went on with a note attached' END""",
             "Records": "concat(affected_records, ' (', printf('%.1f%%', affected_ratio * 100), ')')",
             "Suggested fix": "suggested_fix",
         }

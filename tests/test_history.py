@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from larchfield.operators.history import END, START, current_rows, latest_per, scd2
+from larchfield.operators.history import END, START, current_rows, latest_per, scd2, without_sequence
 from larchfield.operators.ranking import global_rank_desc, global_row_number
 from larchfield.operators.star import asof_dim_join, build_dim, enrich, fact_claims
 from larchfield.streaming.history import append_versions, compact_log, read_history, scd2_stream
@@ -179,11 +179,11 @@ def test_fact_from_a_stream(spark, rows, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/fact")) == rows(batch)
 
 
-def test_asof_interval_is_closed_on_both_ends(spark):
+def test_asof_interval_ends_where_the_next_version_begins(spark):
     _, dim_customer = dims(spark)
     fact = spark.createDataFrame([(10, T0 + timedelta(100)), (10, T0 - timedelta(1))], "cid int, at timestamp_ntz")
     joined = asof_dim_join(fact, dim_customer, ("cid", "customer_id"), "at", ["region"])
-    assert sorted(str(r.dim_region) for r in joined.collect()) == ["None", "new", "old"]
+    assert sorted(str(r.dim_region) for r in joined.collect()) == ["None", "new"]
 
 
 def test_enrich_without_dimension_keeps_the_schema(spark):
@@ -191,3 +191,10 @@ def test_enrich_without_dimension_keeps_the_schema(spark):
     for dim in (None, spark.createDataFrame([(1,)], "other int")):
         out = enrich(df, dim, ("policyid", "policy_number"), {"policy_csl": "policy_csl"})
         assert out.first().asDict() == {"policyid": 1, "policy_csl": None}
+
+
+def test_rows_without_sequence_are_shown(spark):
+    rows = spark.createDataFrame([(1, T0), (2, None)], "customer_id int, seq timestamp_ntz")
+    kept = scd2(rows, ["customer_id"], "seq").count()
+    rejected = without_sequence(rows, "seq").collect()
+    assert kept + len(rejected) == 2 and rejected[0].customer_id == 2

@@ -60,8 +60,8 @@ def brute_force(queries, corpus, k):
     return out
 
 
-@pytest.mark.parametrize("small_queries", [100, 3])
-def test_top_k_equals_brute_force_on_both_paths(spark, small_queries):
+@pytest.mark.parametrize("block", [100, 3])
+def test_top_k_equals_brute_force(spark, block):
     rng = random.Random(7)
     corpus = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(200)]
     # Many equal vectors: ties must go by id.
@@ -71,8 +71,7 @@ def test_top_k_equals_brute_force_on_both_paths(spark, small_queries):
         spark.createDataFrame(queries, "query_id int, embedding array<double>"),
         spark.createDataFrame(corpus, "doc_id long, embedding array<double>").repartition(5),
         k=4,
-        small_queries=small_queries,
-        block=4,
+        block=block,
     )
     got = {}
     for r in found.orderBy("query_id", "rank").collect():
