@@ -25,7 +25,7 @@ FAMILIES = {
     "semitic": ["ar", "he", "am"],
 }
 ORDERS = (1, 2, 3, 4)
-BUCKETS = 8192
+BUCKETS = 4096
 PER_LANGUAGE = 500
 UNKNOWN = "und"
 _LETTERS = np.array(
@@ -73,7 +73,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 20
 
     Dual coordinate descent for squared hinge loss; ``y`` is +1 or -1.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
     diagonal = (x * x).sum(axis=1) + 0.5 / cost
     order = np.random.default_rng(7)
@@ -185,7 +185,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
 
     Only documents that are not held out take part, with their whole texts. The
     sample is chosen by a hash of doc_id, so it is the same in every run; the
-    features are made in the tasks, and the driver receives 32 KB per sampled
+    features are made in the tasks, and the driver receives 16 KB per sampled
     document.
     """
     labelled = docs.where(
