@@ -481,7 +481,11 @@ _ALERT_FIGURES = """cars_at_risk, total_at_risk_revenue, redistributable_cars,
 CHECKS: dict[str, str] = {
     # sources
     "ingest_events": f"""SELECT {_EVENT_TEXT}, true AS has_source_file,
-        true AS has_load_timestamp, CAST(NULL AS VARCHAR) AS _rescued_data FROM events""",
+        true AS has_load_timestamp, CAST(NULL AS VARCHAR) AS _rescued_data
+        FROM events WHERE event_type <> 'error'
+        UNION ALL SELECT CAST(event_id AS VARCHAR), NULL, CAST(user_id AS VARCHAR), NULL, NULL,
+        NULL, true, true, event_id || ',' || user_id || ',extra'
+        FROM events WHERE event_type = 'error'""",
     "ingest_json_events": f"""SELECT {_EVENT_TEXT}, CAST(NULL AS VARCHAR) AS _rescued_data
         FROM events""",
     "reconcile_counts": """SELECT event_type, count(*) AS raw_count, count(*) AS bronze_count,

@@ -15,7 +15,7 @@ from larchfield.plans import inventory, kpis, marts
 from larchfield.plans.entities import CUSTOMER_SYNONYMS, ENTITIES, KGM_TO_NM, REGIONS, STATES
 from larchfield.plans.fixtures import FAST_DAYS, Lake
 from larchfield.session import apply_runtime_defaults, scratch_path
-from larchfield.sources.files import any_case, ingest_new_files, ingest_stream, string_schema
+from larchfield.sources.files import any_case, ingest_new_files
 from larchfield.sources.tables import overwrite_table, reconcile, table_counts
 from larchfield.streaming.history import scd2_stream
 
@@ -59,23 +59,43 @@ def events_as_text(lake: Lake) -> DataFrame:
     return lake.table("events").select(*(F.col(c).cast("string") for c in EVENT_COLUMNS))
 
 
-def bronze_events(lake: Lake) -> DataFrame:
-    """Events written as CSV files, then loaded as new files of their entity."""
-    landing = scratch_path(lake.spark, "landing")
-    events_as_text(lake).write.option("header", True).csv(landing)
+def load_landed(lake: Lake, landing: str, fmt: str) -> DataFrame:
+    """All files below ``landing``, loaded as new files of their entity."""
     return ingest_new_files(
         lake.spark,
         landing,
-        "csv",
-        any_case("part", "csv"),
+        fmt,
+        any_case("part", fmt),
         scratch_path(lake.spark, "bronze"),
         scratch_path(lake.spark, "bronze-checkpoint"),
     )
 
 
+def bronze_events(lake: Lake) -> DataFrame:
+    """Events written as CSV files, then loaded."""
+    landing = scratch_path(lake.spark, "landing")
+    events_as_text(lake).write.option("header", True).csv(landing)
+    return load_landed(lake, landing, "csv")
+
+
 @query
 def ingest_events(lake: Lake) -> DataFrame:
-    return bronze_events(lake).select(
+    """Events from three folders whose files differ in header and in the case of names.
+
+    Errors come as rows with one value more than their header names.
+    """
+    landing = scratch_path(lake.spark, "landing")
+    events = events_as_text(lake)
+    even = F.col("event_id").cast("long") % 2 == 0
+    fine = F.col("event_type") != "error"
+    turned = events.where(fine & ~even).select(*reversed(EVENT_COLUMNS))
+    wide = F.concat_ws(",", "event_id", "user_id", F.lit("extra"))
+    broken = events.where(~fine).select(wide.alias("event_id,user_id"))
+    events.where(fine & even).write.option("header", True).csv(f"{landing}/a")
+    turned.withColumnRenamed("event_id", "Event_ID").write.option("header", True).csv(f"{landing}/b")
+    # With another separator the commas are written as they are.
+    broken.write.options(header=True, sep="\t").csv(f"{landing}/c")
+    return load_landed(lake, landing, "csv").select(
         *EVENT_COLUMNS,
         F.col("_source_file").rlike(r"^part.*\.csv$").alias("has_source_file"),
         F.col("_load_timestamp").isNotNull().alias("has_load_timestamp"),
@@ -85,23 +105,13 @@ def ingest_events(lake: Lake) -> DataFrame:
 
 @query
 def ingest_json_events(lake: Lake) -> DataFrame:
+    """Events from JSON files of two folders that spell a key in different case."""
     landing = scratch_path(lake.spark, "landing")
-    events_as_text(lake).write.json(landing)
-    target, checkpoint = (
-        scratch_path(lake.spark, name) for name in ("bronze", "bronze-checkpoint")
-    )
-    stream = ingest_stream(
-        lake.spark, landing, "json", any_case("part", "json"), string_schema(EVENT_COLUMNS, None)
-    )
-    (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return lake.spark.read.parquet(target).select(*EVENT_COLUMNS, "_rescued_data")
+    events = events_as_text(lake)
+    even = F.col("event_id").cast("long") % 2 == 0
+    events.where(even).write.json(f"{landing}/a")
+    events.where(~even).withColumnRenamed("event_id", "Event_ID").write.json(f"{landing}/b")
+    return load_landed(lake, landing, "json").select(*EVENT_COLUMNS, "_rescued_data")
 
 
 @query

@@ -85,6 +85,71 @@ def test_new_json_files_are_loaded_once(spark, rows, tmp_path):
     assert rows(df, "claimid") == [("1",)]
 
 
+def both_ways(spark, base, fmt, glob, tmp_path):
+    """The files read as a batch and as a stream."""
+    target, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "ck")
+    return [
+        files.read_files(spark, str(base), fmt, glob),
+        files.ingest_new_files(spark, str(base), fmt, glob, target, checkpoint),
+    ]
+
+
+def test_files_of_one_name_in_two_folders_keep_their_own_header(spark, rows, tmp_path):
+    write(tmp_path, "raw/a/c.csv", "id,reg\n1,E\n")
+    write(tmp_path, "raw/b/c.csv", "reg,id\nW,2\n")
+    for df in both_ways(spark, tmp_path / "raw", "csv", "c*.csv", tmp_path):
+        assert rows(df, "id", "reg", "_rescued_data") == [("1", "E", None), ("2", "W", None)]
+
+
+def test_blank_first_lines_are_no_header(spark, rows, tmp_path):
+    write(tmp_path, "raw/c1.csv", "\n  \nid,reg\n1,E\n\n")
+    write(tmp_path, "raw/c2.csv", "\ufeffid,reg\n2,W\n")
+    write(tmp_path, "raw/c3.csv", "")
+    for df in both_ways(spark, tmp_path / "raw", "csv", "c*.csv", tmp_path):
+        assert rows(df, "id", "reg") == [("1", "E"), ("2", "W")]
+
+
+def test_odd_file_names(spark, rows, tmp_path):
+    for i, name in enumerate(["c{1}.csv", "c,2.csv", "c[3].csv", "c 4%20.csv"]):
+        write(tmp_path, f"raw/{name}", f"id\n{i}\n")
+    for df in both_ways(spark, tmp_path / "raw", "csv", "c*.csv", tmp_path):
+        assert rows(df, "id") == [("0",), ("1",), ("2",), ("3",)]
+
+
+def test_json_keys_equal_up_to_case_are_one_column(spark, rows, tmp_path):
+    write(tmp_path, "raw/a/claims.json", '{"ClaimID": 1, "x": {"y": 2}}\n')
+    write(tmp_path, "raw/b/claims.json", '\n{"claimid": "2"}\n[{"CLAIMID": 3}, {"claimid": 4}]\n{"claimid": 5\n7\n')
+    for df in both_ways(spark, tmp_path / "raw", "json", "claims*.json", tmp_path):
+        assert rows(df, "claimid", "x", "_rescued_data") == sorted(
+            [
+                ("1", '{"y":2}', None),
+                ("2", None, None),
+                ("3", None, None),
+                ("4", None, None),
+                (None, None, '{"claimid": 5'),
+                (None, None, "7"),
+            ],
+            key=repr,
+        )
+
+
+def test_headers_with_clashing_and_missing_names(spark, rows, tmp_path):
+    write(tmp_path, "raw/c.csv", "id,,_source_file,ID\n1,x,y,\n,x,y,2\n")
+    for df in both_ways(spark, tmp_path / "raw", "csv", "c*.csv", tmp_path):
+        assert rows(df, "id", "_c1", "_source_file_in_file", "_source_file") == [
+            ("1", "x", "y", "c.csv"), ("2", "x", "y", "c.csv")
+        ]
+
+
+def test_new_spellings_join_stored_columns(spark, rows, tmp_path):
+    raw, target, checkpoint = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "ck")
+    for i, text in enumerate(["Id,a\n1,x\n", "ID,b\n2,y\n"]):
+        write(raw, f"c{i}.csv", text)
+        df = files.ingest_new_files(spark, str(raw), "csv", "c*.csv", target, checkpoint)
+    assert df.columns[:3] == ["Id", "a", "b"]
+    assert rows(df, "id", "a", "b") == sorted([("1", "x", None), ("2", None, "y")], key=repr)
+
+
 def test_reconciliation_finds_lost_rows_and_types(spark, tmp_path):
     raw = spark.createDataFrame([("f1", "a"), ("f1", "b"), ("f2", "c")], "_source_file string, v string")
     good = {r._source_file: r for r in tables.reconcile(raw, raw.withColumn("_load_timestamp", F.lit(1))).collect()}
