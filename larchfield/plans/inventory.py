@@ -149,12 +149,16 @@ def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) ->
     return ranked.withColumn("recommended_action", action)
 
 
-def _totals(*extra: Column) -> list[Column]:
-    """Figures per tier and region.
+def _listings(scored: DataFrame, move: Column) -> DataFrame:
+    """One row per listing with its best move, so that moves do not multiply the totals."""
+    return scored.groupBy("aging_tier", "stuck_region", "sales_id", "at_risk_revenue").agg(
+        F.max(F.col("demand_region").isNotNull()).alias("movable"), F.max(move).alias("move")
+    )
 
-    Equal revenues of different cars count once, as the reference sums DISTINCT.
-    """
-    movable = F.col("demand_region").isNotNull()
+
+def _totals(*extra: Column) -> list[Column]:
+    """Figures of listings per tier and region. Equal revenues of different cars count once."""
+    movable = F.col("movable")
     return [
         F.count_distinct("sales_id").alias("cars_at_risk"),
         F.round(F.sum_distinct("at_risk_revenue"), 0).alias("total_at_risk_revenue"),
@@ -170,7 +174,8 @@ def alert_summary(scored: DataFrame) -> DataFrame:
     """Cars and revenue by tier and region, most urgent first."""
     urgency = F.array_position(F.array(*(F.lit(name) for name, _ in TIERS)), F.col("aging_tier"))
     return (
-        scored.groupBy("aging_tier", "stuck_region")
+        _listings(scored, F.lit(None).cast("string"))
+        .groupBy("aging_tier", "stuck_region")
         .agg(*_totals())
         .orderBy(urgency, F.desc("total_at_risk_revenue"), "stuck_region")
     )
@@ -204,9 +209,9 @@ def alert_regions(scored: DataFrame, top: int | None = 6) -> DataFrame:
         ),
     )
     lines = (
-        scored.filter(F.col("aging_tier").isin("CRITICAL", "HIGH"))
+        _listings(scored.filter(F.col("aging_tier").isin("CRITICAL", "HIGH")), move)
         .groupBy("stuck_region", "aging_tier")
-        .agg(*_totals(F.coalesce(F.max(move), F.lit(NO_ACTION)).alias("best_action")))
+        .agg(*_totals(F.coalesce(F.max("move"), F.lit(NO_ACTION)).alias("best_action")))
         .withColumn(
             "recovery_pct",
             share_pct(

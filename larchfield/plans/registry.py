@@ -304,11 +304,7 @@ def expectations(lake: Lake) -> DataFrame:
 
 @query
 def dq_quarantine_stats(lake: Lake) -> DataFrame:
-    return union(
-        issues.quarantine_stats(quarantine, clean, name)
-        for name in ENTITIES
-        for clean, quarantine in [lake.split(name)]
-    )
+    return union(issues.entity_issues(lake.tagged(name), name) for name in ENTITIES)
 
 
 @query
@@ -825,7 +821,13 @@ def dq_explanations(lake: Lake) -> DataFrame:
     prompts = completion.dq_prompt(issues.sequence_issues(dq_issue_log(lake)))
     answered = completion.complete(prompts, "prompt", EchoClient, response="raw")
     return answered.withColumn("ai_explanation", completion.extract_text("raw")).select(
-        *issues.ISSUE_COLUMNS, "issue_seq", "ai_explanation", "generation_status"
+        *issues.ISSUE_COLUMNS,
+        "issue_seq",
+        "ai_explanation",
+        "generation_status",
+        F.lit("stand-in").alias("model_name"),
+        F.current_timestamp().cast("string").alias("generated_at"),
+        F.lit("run-1").alias("_gold_run_id"),
     )
 
 

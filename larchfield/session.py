@@ -8,8 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators count on. AQE coalesces small shuffle
-# partitions, splits skewed join partitions and re-plans joins from real sizes,
-# so a large default partition count costs little on small data.
+# partitions, splits skewed join partitions and re-plans joins from real sizes.
 RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,9 +20,20 @@ RUNTIME_DEFAULTS = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the runtime defaults, UTC clock and any extra settings."""
+def build_session(
+    app_name: str, master: str | None = None, partitions: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the runtime defaults, UTC clock and any extra settings.
+
+    ``partitions`` is how many partitions a shuffle starts with. AQE merges small
+    ones but splits only skewed joins, so take the largest shuffle divided by
+    about 200 MB; Spark's own default is 200.
+    """
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
+    if partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_DEFAULTS, **conf}.items():
