@@ -378,3 +378,46 @@ def test_pipeline_stages_keep_the_columns(spark):
         if number < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == columns
     assert ids
+
+
+def classes_by_force(texts, idf):
+    """The least row of each row's component of links at 0.8, over all pairs."""
+    row, shingle, weight, starts = minhash.features(pa.array(texts), idf)
+    _, place = np.unique(shingle, return_inverse=True)
+    totals = np.add.reduceat(weight.astype(float), starts[:-1])
+    dense, root = np.zeros(place.max() + 1), np.arange(len(texts))
+    for i in range(len(texts)):
+        own = slice(starts[i], starts[i + 1])
+        dense[place[own]] = weight[own]
+        shared = np.add.reduceat(np.minimum(dense[place], weight), starts[:-1])
+        dense[place[own]] = 0
+        linked = np.unique(root[shared / (totals + totals[i] - shared) >= 0.8])
+        if len(linked) > 1:
+            root[np.isin(root, linked)] = linked[0]
+    return root
+
+
+def check_classes(spark, texts):
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    expected = classes_by_force(texts, minhash.inverse_frequencies(docs))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(expected.tolist()))
+    return expected
+
+
+def drifted(texts, base, random, steps, words, prefix):
+    """A chain of copies of ``base``, each with some words of the one before replaced."""
+    at = list(base)
+    for n in range(steps):
+        for place in random.choice(len(at), words, replace=False):
+            at[place] = f"{prefix}{n}x{place}"
+        texts.append(" ".join(at))
+
+
+def test_chains_of_a_large_family_equal_brute_force(spark):
+    random, texts = np.random.default_rng(11), []
+    base = rich(1, 200).split()
+    for branch in range(150):
+        drifted(texts, base, random, 12, 3, f"v{branch}n")
+    roots = check_classes(spark, texts)
+    assert len(texts) == 1800 and 1 < len(set(roots.tolist())) < len(texts)
