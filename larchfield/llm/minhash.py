@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larchfield.llm.common import batches_of, materialise
 from larchfield.llm.components import components
@@ -134,7 +135,7 @@ def text_keys(words: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, key of the word sequence and samples of every document, written once.
+    """doc_id, mark of the text, key of the word sequence and samples of every document, written once.
 
     Documents without words have null key and samples.
     """
@@ -153,12 +154,14 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                     drawn[at] = values
             named = [k if v is not None else None for k, v in zip(keys, drawn, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(named, pa.binary()), pa.array(drawn, pa.list_(pa.int32()))],
-                ["doc_id", "key", "samples"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(named, pa.binary()), pa.array(drawn, pa.list_(pa.int32()))],
+                ["doc_id", "mark", "key", "samples"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialise(rows.mapInArrow(sign, "doc_id long, key binary, samples array<int>"), "signatures")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("mark"), text.alias("text"))
+    schema = "doc_id long, mark string, key binary, samples array<int>"
+    return materialise(rows.mapInArrow(sign, schema), "signatures")
 
 
 def band_members(nodes: DataFrame) -> DataFrame:
@@ -364,19 +367,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     the class has no other id. An empty table gives no rows. Other columns are
     ignored, whatever their names.
     """
-    idf = inverse_frequencies(docs)
-    signed = signatures(docs, idf)
-    nodes = signed.where("key is not null").groupBy("key").agg(F.first("samples").alias("samples"))
-    nodes = materialise(nodes, "signature-keys")
-    pairs, large = candidate_pairs(band_members(nodes))
-    pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    texts = key_texts(docs, signed, wanted)
-    links = materialise(verified(pairs, texts, idf, threshold).select("a", "b"), "verified")
-    roots = materialise(components(links), "roots")
-    if not large.isEmpty():
-        roots = link_residuals(large, nodes, pairs, links, roots, texts, idf, threshold)
-    return with_classes(signed, roots)
+    return with_classes(rooted_rows(docs, threshold))
 
 
 def link_residuals(
@@ -411,10 +402,26 @@ def link_residuals(
     return roots
 
 
-def with_classes(signed: DataFrame, roots: DataFrame) -> DataFrame:
-    rooted = signed.join(roots, F.col("key") == F.col("node"), "left").select(
-        "doc_id", "key", F.coalesce("root", "key").alias("root")
+def rooted_rows(docs: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, mark of the text, key and root key of the class, a row per row of ``docs``."""
+    idf = inverse_frequencies(docs)
+    signed = signatures(docs, idf)
+    nodes = signed.where("key is not null").groupBy("key").agg(F.first("samples").alias("samples"))
+    nodes = materialise(nodes, "signature-keys")
+    pairs, large = candidate_pairs(band_members(nodes))
+    pairs = materialise(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    texts = key_texts(docs, signed, wanted)
+    links = materialise(verified(pairs, texts, idf, threshold).select("a", "b"), "verified")
+    roots = materialise(components(links), "roots")
+    if not large.isEmpty():
+        roots = link_residuals(large, nodes, pairs, links, roots, texts, idf, threshold)
+    return signed.join(roots, F.col("key") == F.col("node"), "left").select(
+        "doc_id", "mark", "key", F.coalesce("root", "key").alias("root")
     )
+
+
+def with_classes(rooted: DataFrame) -> DataFrame:
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     joined = rooted.alias("r").join(least.alias("l"), F.col("r.root") == F.col("l.root"), "left")
     return joined.select(
@@ -423,13 +430,24 @@ def with_classes(signed: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that lead their class: those whose doc_id is the class_id.
+    """One row of each class: of its least doc_id, of that the text with the least MD5.
 
-    Of repeated rows of that doc_id the one with the least text hash stays.
-    Documents without words all stay.
+    A null doc_id leads only a class without other ids. Of rows that share both
+    id and text one stays. Documents without words all stay.
     """
-    classes = near_duplicates(docs, threshold)
-    out = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("gone")
-    )
-    return docs.join(out.distinct(), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    rooted = materialise(rooted_rows(docs, threshold).where("root is not null"), "rooted")
+    held = rooted.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
+    lead = held.groupBy("root").agg(first.alias("lead"))
+    held = held.join(lead, "root")
+    leads = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("mark") == F.col("lead.mark"))
+    named = [F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark")]
+    gone = materialise(held.where(~leads).select(*named), "gone")
+    repeated = materialise(held.where(leads & (F.col("n") > 1)).select(*named), "repeated")
+    mark = F.md5(F.col("text").cast("string"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("of_id")) & (mark == F.col("of_mark"))
+    single = docs.join(gone.union(repeated), same, "left_anti")
+    place = next(name for name in (f"place{i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
+    ordered = Window.partitionBy(F.col("doc_id").cast("long"), mark).orderBy(F.xxhash64(*docs.columns))
+    once = docs.join(repeated, same, "left_semi").withColumn(place, F.row_number().over(ordered))
+    return single.union(once.where(F.col(place) == 1).select(*docs.columns))

@@ -432,3 +432,16 @@ def test_pairs_in_a_family_on_one_template_equal_brute_force(spark):
             drifted(texts, texts[-1].split(), random, 1, 4, f"u{i}n")
     roots = check_classes(spark, texts)
     assert 1 < len(set(roots.tolist())) < len(texts)
+
+
+def test_keep_one_of_repeated_and_null_ids(spark):
+    one, two, three, four, five = (prose(60 + i, 40) for i in range(5))
+    rows = [(1, one, "a"), (1, one, "a"), (1, one, "b"), (2, two, "a"), (None, two, "a"), (None, three, "a"),
+            (None, four, "a"), (None, four, "a"), (5, one, "a"), (5, five, "a"), (6, None, "a"), (6, None, "a"), (7, "", "a")]
+    docs = documents(spark, rows)
+    got = minhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
+        [(1, one), (2, two), (None, three), (None, four), (5, five), (6, None), (6, None), (7, "")], key=repr
+    )
+    assert minhash.keep_one(documents(spark, [])).count() == 0
