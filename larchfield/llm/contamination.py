@@ -1,4 +1,4 @@
-"""Benchmark decontamination by latent semantic retrieval and exact checks."""
+"""Benchmark decontamination by shared words of windows and exact checks."""
 
 from __future__ import annotations
 
@@ -16,13 +16,13 @@ from larchfield.llm.hashing import rows_of, word_hashes
 
 TERMS = 1 << 14
 PASSAGE = 64
-SKETCH, KEPT = 96, 88
-SHARPNESS = 3
-COSINE = 0.75
 VERBATIM, PARAPHRASE, ANSWER = 0.7, 0.5, 0.8
 RARE = 0.5
-GROUP = 5
-SIZES = (20, 40, 80)
+CHUNK = 32
+SLACK = 40
+COMMON = 256
+SLICE = 2048
+EXPANDED = 4_000_000
 ITEM_BLOCK = 2048
 
 
@@ -74,62 +74,6 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (np.log((total + 1) / (out + 1)) + 0.1).astype(np.float32)
 
 
-def latent_space(docs: DataFrame, idf: np.ndarray, seed: int = 5) -> np.ndarray:
-    """Matrix that folds term counts into the latent space: terms by dimensions.
-
-    A is the TF-IDF matrix of all passages of all documents; inverse frequencies
-    are cubed, so that rare terms lead. One pass over the
-    documents gives Z = A' A G for a random G with 96 columns; tasks sum their
-    share, Spark adds up one row per term. From Z the leading singular vectors and
-    values of A follow on the driver (Nystroem form of the randomised SVD), on
-    matrices of a fixed size (16,384 by 96). Folding in divides by the singular values.
-    """
-    random = np.random.default_rng(seed).standard_normal((SKETCH, TERMS)).astype(np.float32)
-    names = [f"z{i}" for i in range(SKETCH)]
-    weight = idf**SHARPNESS
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((SKETCH, TERMS), np.float32)
-        scaled = random * weight
-        for batch in batches_of(batches, "text", 1_000_000):
-            words, bounds = word_hashes(batch.column("text"))
-            starts = passage_starts(bounds, PASSAGE)
-            if not len(starts):
-                continue
-            term = terms_of(words)
-            passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-            order = np.argsort(term.astype(np.uint16), kind="stable")
-            ranked, passage = term[order], passage[order]
-            edges = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            ranked = ranked[edges]
-            for one, out in zip(scaled, total, strict=True):
-                folded = np.add.reduceat(one[term], starts)
-                out[ranked] += np.add.reduceat(folded[passage], edges)
-        total *= weight
-        full = np.flatnonzero(total.any(axis=0))
-        columns = [pa.array(one[full].astype(np.float64)) for one in total]
-        yield pa.RecordBatch.from_arrays([pa.array(full), *columns], ["term", *names])
-
-    parts = texts_of(docs).mapInArrow(sketch, "term long, " + ", ".join(f"{n} double" for n in names))
-    summed = parts.groupBy("term").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
-    z = np.zeros((TERMS, SKETCH))
-    z[summed["term"].to_numpy(np.int64)] = summed[names].to_numpy()
-    return fold_matrix(z, random.T, weight)
-
-
-def fold_matrix(z: np.ndarray, random: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Leading right singular vectors over singular values, times the term weights."""
-    q, r = np.linalg.qr(z)
-    core = random.T.astype(np.float64) @ z
-    values, vectors = np.linalg.eigh(r @ np.linalg.pinv((core + core.T) / 2, rcond=1e-10) @ r.T)
-    top = np.argsort(-values)[:KEPT]
-    sigma = np.sqrt(np.maximum(values[top], 0))
-    good = sigma > 1e-9 * max(sigma.max(), 1e-30)
-    fold = (q @ vectors[:, top[good]]) / sigma[good] if good.any() else np.zeros((TERMS, 1))
-    scale = np.sqrt((fold**2).sum(axis=0, keepdims=True))
-    return (fold / max(scale.max(), 1e-30) * weight[:, None]).astype(np.float32)
-
-
 @dataclass
 class Items:
     """Passages of at most 64 words of benchmark items, with words and answers."""
@@ -138,10 +82,6 @@ class Items:
     words: list[np.ndarray]
     answers: list[np.ndarray]
 
-    def vectors(self, fold: np.ndarray) -> np.ndarray:
-        made = np.array([fold[terms_of(w)].sum(axis=0) for w in self.words]).reshape(-1, fold.shape[1])
-        return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
-
 
 def answer_text(text: str) -> str:
     """The last sentence; of a single sentence its last quarter, three words at least."""
@@ -184,56 +124,95 @@ def common_length(left: list[int], right: list[int]) -> int:
     return len(left) - state.bit_count()
 
 
-def windows(words: np.ndarray, bounds: np.ndarray, fold: np.ndarray) -> Iterator[tuple]:
-    """Latent vectors of overlapping windows: (vectors, rows, first words, size).
+class Search:
+    """Windows that hold enough of an item's words for ``check`` to accept them.
 
-    Windows of 20, 40 and 80 words begin at every 5th, 10th and 20th word of a
-    row; those at a row's end are cut there. Vectors are columns.
+    Windows are runs of 32-word chunks, so long that every span of up to three
+    times the item's words and 40 more lies in one. A window is a candidate of an
+    item if the item's words in it may have half of the item's weight by inverse
+    frequency, which ``check`` asks of every leak: the commonest words count
+    once per window, the others at most once too often per chunk. So no window
+    that ``check`` accepts is left out.
     """
-    groups = passage_starts(bounds, GROUP)
-    if not len(groups):
-        return
-    # Rows are set apart by empty groups, so that no window reaches the next row.
-    pad = SIZES[-1] // GROUP
-    row = np.searchsorted(bounds, groups, side="right") - 1
-    own = (groups - bounds[row]) // GROUP
-    spot = np.arange(len(groups)) + pad * np.cumsum(np.append(0, (row[1:] != row[:-1]).astype(np.int64)))
-    # The k-th word of each group; TERMS, whose weight is 0, where there is none.
-    term = np.append(terms_of(words), TERMS)
-    places = np.full((GROUP, int(spot[-1]) + 2 * pad), TERMS)
-    for k in range(GROUP):
-        places[k, spot] = term[np.where(groups + k < bounds[row + 1], groups + k, len(words))]
-    taken = [np.flatnonzero(own % (size // (4 * GROUP)) == 0) for size in SIZES]
-    at = [spot[t] for t in taken]
-    made = [np.empty((fold.shape[1], len(t)), np.float32) for t in taken]
-    for j, one in enumerate(np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)]).T.copy()):
-        sums = one[places[0]]
-        for k in range(1, GROUP):
-            sums += one[places[k]]
-        reach = 1
-        for size, spots, out in zip(SIZES, at, made, strict=True):
-            while reach * GROUP < size:
-                sums = sums[:-reach] + sums[reach:]
-                reach *= 2
-            out[j] = sums[spots]
-    for size, picked, out in zip(SIZES, taken, made, strict=True):
-        yield out, row[picked], groups[picked], size
-
-
-def candidates(
-    words: np.ndarray, bounds: np.ndarray, fold: np.ndarray, vectors: np.ndarray
-) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """Windows near an item in the latent space, by (row, item passage)."""
-    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for made, row, first, size in windows(words, bounds, fold):
-        bar = COSINE * np.sqrt((made * made).sum(axis=0))
-        for start in range(0, made.shape[1], 8192):
-            cut = slice(start, start + 8192)
-            item, window = np.nonzero(vectors @ made[:, cut] > bar[cut])
-            window += start
-            for r, i, begin in zip(row[window].tolist(), item.tolist(), first[window].tolist(), strict=True):
-                found.setdefault((r, i), []).append((begin, begin + size))
-    return found
+
+    def __init__(self, items: Items, idf: np.ndarray) -> None:
+        sizes = np.array([len(w) for w in items.words])
+        self.reach = -(-(3 * sizes + SLACK) // CHUNK) + 1
+        self.count = len(sizes)
+        self.vocabulary, word = np.unique(np.concatenate(items.words), return_inverse=True)
+        weight = idf[terms_of(self.vocabulary)].astype(np.float64)
+        owner = np.repeat(np.arange(self.count), sizes)
+        need = RARE * np.bincount(owner, weight[word], minlength=self.count)
+        key, times = np.unique(word * self.count + owner, return_counts=True)
+        word, owner = key // self.count, key % self.count
+        share = times * weight[word] / need[owner]
+        # Commonest words first.
+        order = np.argsort(weight, kind="stable")
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.arange(len(order))
+        place = self.rank[word]
+        self.common = min(COMMON, len(order))
+        low = place < self.common
+        self.dense = np.zeros((self.common, self.count), np.float32)
+        self.dense[place[low], owner[low]] = share[low]
+        by_word = np.argsort(place[~low], kind="stable")
+        self.owners, self.shares = owner[~low][by_word], share[~low][by_word]
+        self.edges = np.searchsorted(place[~low][by_word], np.arange(len(order) + 1))
+
+    def sums(self, chunk: np.ndarray, word: np.ndarray, chunks: int) -> np.ndarray:
+        """Shares of the rarer words of each chunk, added up from the first chunk on."""
+        key = np.sort(chunk * len(self.rank) + word)
+        key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
+        chunk, word = key // len(self.rank), key % len(self.rank)
+        made = self.edges[word + 1] - self.edges[word]
+        total = np.zeros(chunks * self.count)
+        ends, start = np.cumsum(made), 0
+        while start < len(made):
+            floor = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, floor + EXPANDED, side="right")))
+            part = made[start:stop]
+            first = np.repeat(self.edges[word[start:stop]] - np.cumsum(part) + part, part)
+            at = first + np.arange(len(first))
+            total += np.bincount(
+                np.repeat(chunk[start:stop], part) * self.count + self.owners[at], self.shares[at], len(total)
+            )
+            start = stop
+        out = np.zeros((chunks + 1, self.count))
+        np.cumsum(total.reshape(chunks, self.count), axis=0, out=out[1:])
+        return out
+
+    def candidates(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item passage, first word, end) of the candidate windows."""
+        most = int(self.reach.max())
+        sizes = -(-np.diff(bounds) // CHUNK)
+        # Rows are set apart by empty chunks, so that no window reaches the next row.
+        offset = np.concatenate([[0], np.cumsum(np.where(sizes > 0, sizes + most, 0))])
+        row = rows_of(bounds)
+        chunk = offset[row] + (np.arange(len(words)) - bounds[row]) // CHUNK
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        known = np.flatnonzero(self.vocabulary[at] == words)
+        chunk, place = chunk[known], self.rank[at[known]]
+        for start in range(0, int(offset[-1]), SLICE):
+            chunks = SLICE + most
+            a, b = np.searchsorted(chunk, [start, start + chunks])
+            if a == b:
+                continue
+            own, word = chunk[a:b] - start, place[a:b]
+            low = word < self.common
+            seen = np.zeros((chunks + 1, self.common), np.int16)
+            seen[own[low] + 1, word[low]] = 1
+            np.cumsum(seen, axis=0, dtype=np.int16, out=seen)
+            rare = self.sums(own[~low], word[~low], chunks)
+            for reach in np.unique(self.reach):
+                picked = np.flatnonzero(self.reach == reach)
+                there = (seen[reach : reach + SLICE] > seen[:SLICE]).astype(np.float32)
+                score = there @ self.dense[:, picked] + (rare[reach : reach + SLICE] - rare[:SLICE])[:, picked]
+                for window, item in zip(*np.nonzero(score >= 1 - 1e-4), strict=True):
+                    r = int(np.searchsorted(offset, start + window, side="right")) - 1
+                    first = int(bounds[r] + (start + window - offset[r]) * CHUNK)
+                    end = min(first + int(reach) * CHUNK, int(bounds[r + 1]))
+                    if first < end:
+                        yield r, int(picked[item]), first, end
 
 
 def check(words: np.ndarray, item: np.ndarray, answer: np.ndarray, idf: np.ndarray) -> float:
@@ -255,28 +234,16 @@ def check(words: np.ndarray, item: np.ndarray, answer: np.ndarray, idf: np.ndarr
     return share if common_length(answer.tolist(), words.tolist()) >= ANSWER * len(answer) else 0.0
 
 
-def merged(spans: list[tuple[int, int]], margin: int, low: int, high: int) -> list[tuple[int, int]]:
-    """Regions that cover the spans and ``margin`` words around, joined if they meet."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        a, b = max(low, a - margin), min(high, b + margin)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Find benchmark items in documents, verbatim or paraphrased.
 
-    Documents are compared with every item in a latent space fitted on all their
-    passages (64 words, TF-IDF over hashed terms, 88 dimensions). Windows of 20 to
-    80 words with a cosine of at least 0.75 to an item are candidates. A candidate's
-    region leaks an item if its longest common subsequence of words has 70 % of
+    A window leaks an item if its longest common subsequence of words has 70 % of
     the item's words, or 50 % and the answer is there: 80 % of the answer's words
-    in order; half of the words by inverse frequency must be there in any case. The answer is the item's ``answer`` column if it has one, else its
-    last sentence. Items of more than 64 words are searched by their passages.
+    in order; half of the words by inverse frequency must be there in any case.
+    The answer is the item's ``answer`` column if it has one, else its last
+    sentence. Windows fit the item: every span of up to three times its words and
+    40 more lies in one, at every 32 words of a document. All windows that can
+    pass are checked. Items of more than 64 words are searched by their passages.
     Items are read in blocks of 2,048, each against all documents.
 
     Adds ``leaked_items`` (array of item ids in order; empty if clean),
@@ -289,7 +256,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     added = ("leaked_items", "leak_share", "contaminated")
     docs = docs.drop(*added)
     idf = inverse_frequencies(docs)
-    fold = latent_space(docs, idf)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.where("item_id is not null").select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")
@@ -299,26 +265,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.withColumns({"leaked_items": F.array().cast("array<long>"), "leak_share": F.lit(0.0)})
     for block in range(blocks):
         rows = items.where(number == block).orderBy("item_id", "text").collect()
-        out = search_block(out, read_items([tuple(r) for r in rows]), fold, idf)
+        out = search_block(out, read_items([tuple(r) for r in rows]), idf)
     ordered = F.array_sort(F.array_distinct("leaked_items"))
     return out.withColumns({"leaked_items": ordered, "contaminated": F.size("leaked_items") > 0})
 
 
-def search_block(docs: DataFrame, items: Items, fold: np.ndarray, idf: np.ndarray) -> DataFrame:
+def search_block(docs: DataFrame, items: Items, idf: np.ndarray) -> DataFrame:
     """Add what one block of items leaks to ``leaked_items`` and ``leak_share``."""
     if not items.ids:
         return docs
-    vectors, names = items.vectors(fold), docs.columns
+    finder, names = Search(items, idf), docs.columns
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text", 1_000_000):
             words, bounds = word_hashes(batch.column("text"))
             leaked = [list(x) for x in batch.column("leaked_items").to_pylist()]
             share = batch.column("leak_share").to_pylist()
-            for (row, i), spans in candidates(words, bounds, fold, vectors).items():
-                item, low, high = items.words[i], int(bounds[row]), int(bounds[row + 1])
-                regions = merged(spans, len(item), low, high)
-                best = max(check(words[a:b], item, items.answers[i], idf) for a, b in regions)
+            for row, i, first, end in finder.candidates(words, bounds):
+                best = check(words[first:end], items.words[i], items.answers[i], idf)
                 if best:
                     leaked[row].append(items.ids[i])
                     share[row] = max(share[row], best)

@@ -445,3 +445,27 @@ def test_keep_one_of_repeated_and_null_ids(spark):
         [(1, one), (2, two), (None, three), (None, four), (5, five), (6, None), (6, None), (7, "")], key=repr
     )
     assert minhash.keep_one(documents(spark, [])).count() == 0
+
+
+def test_leaks_equal_the_checks_over_all_pairs(spark):
+    random = np.random.default_rng(13)
+    items = [(i, rich(1900 + i, 6 + 2 * i) + ". " + rich(1950 + i, 3) + ".") for i in range(16)]
+    rows = [(i, rich(2000 + i, 300), "a") for i in range(40)]
+    for i, text in items:
+        words = text.split()
+        for n, lost in enumerate((0.0, 0.3, 0.4, 0.5)):
+            other, kept = rich(2200 + 10 * i + n, len(words)).split(), list(words)
+            for at in random.choice(len(words) - 3, int(lost * len(words)), replace=False):
+                kept[at] = other[at]
+            rows.append((100 + 10 * i + n, f"{rich(2600 + i, 45)} {' '.join(kept)} {rich(2700 + i, 61)}", "a"))
+    docs = documents(spark, rows)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    idf, made = contamination.inverse_frequencies(docs), contamination.read_items([(*i, None) for i in items])
+    expected = {}
+    for doc_id, text, _ in rows:
+        words, _ = hashing.word_hashes(pa.array([text]))
+        found = {n for n, w, a in zip(made.ids, made.words, made.answers, strict=True) if contamination.check(words, w, a, idf)}
+        expected[doc_id] = sorted(found)
+    got = {r["doc_id"]: r["leaked_items"] for r in contamination.decontaminate(docs, bench).collect()}
+    assert got == expected
+    assert sum(len(e) for e in expected.values()) > 40 and all(not expected[i] for i in range(40))
