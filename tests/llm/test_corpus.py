@@ -469,3 +469,24 @@ def test_leaks_equal_the_checks_over_all_pairs(spark):
     got = {r["doc_id"]: r["leaked_items"] for r in contamination.decontaminate(docs, bench).collect()}
     assert got == expected
     assert sum(len(e) for e in expected.values()) > 40 and all(not expected[i] for i in range(40))
+
+
+def test_licenses_within_longer_texts(spark):
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 500)
+    parts = mit.replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    assert parts.count("\n\n") == 2
+    gpl = dict(licenses.all_templates())["GPL-3.0"]
+    rows = [
+        (1, f"{prose(1, 300)}\n\n{parts}\n\n{prose(2, 500)}", "a"),
+        (2, f"{prose(3, 30)} Licensed under the MIT License. {prose(4, 30)}", "a"),
+        (3, f"{prose(5, 30)}\r\n \r\n{mit}\r\n\r\n{prose(6, 40)}", "a"),
+        (4, f"{prose(7, 2000)}\n{gpl}\n{prose(8, 2000)}", "a"),
+        (5, prose(9, 500), "a"),
+    ]
+    got = {}
+    for r in licenses.scan_licenses(documents(spark, rows)).collect():
+        got.setdefault(r["doc_id"], set()).add((r["license"], r["unit"]))
+    assert got[1] == got[2] == {("MIT", "window")}
+    assert ("MIT", "line") in got[3] and ("GPL-3.0", "window") in got[4] and 5 not in got
+    words = hashing.word_hashes(pa.array(["a b\n \r\nc d\r\n\r\ne\nf"]))[0]
+    assert licenses.blocks(pa.array(["a b\n \r\nc d\r\n\r\ne\nf"]))[3].tolist() == [0, 0, 1, 1, 2, 2] and len(words) == 6
