@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,6 @@ from larchfield.llm.common import batches_of, materialise, scratch_path
 
 SEQUENCE = 2048
 WINDOW_SEQUENCES = 32
-QUEUES = 64
 END_ID = 1
 CACHED_WORDS = 1_000_000
 
@@ -96,6 +95,19 @@ class Phase:
         """Tokens of a queue served before ``window``."""
         return self.served[queue] + (window - self.first) * self.quanta[queue] // self.den
 
+    def totals(self, window: int) -> np.ndarray:
+        """``total`` of every queue; in Python's integers where 64 bits may not do."""
+        served, whole, rest, most = self._parts
+        past = window - self.first
+        kind = np.int64 if past * most < 1 << 62 else object
+        return served + past * whole + (past * rest.astype(kind) // self.den).astype(np.int64)
+
+    @cached_property
+    def _parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        split = np.array([divmod(q, self.den) for q in self.quanta], object).reshape(-1, 2)
+        rest = split[:, 1]
+        return np.array(self.served, np.int64), split[:, 0].astype(np.int64), rest, max(rest, default=0)
+
 
 def plan_phases(sizes: list[int], window: int, shares: list[float] | None = None) -> list[Phase]:
     """The deficit round-robin in closed form: phases between which queues run dry.
@@ -145,14 +157,10 @@ class Layout:
         self.phases, self.queues = phases, queues
         self.starts = lru_cache(maxsize=64)(self._starts)
 
-    def _starts(self, phase: Phase, window: int) -> list[int]:
+    def _starts(self, phase: Phase, window: int) -> np.ndarray:
         """Stream places at which the queues' parts of a window begin, and its end."""
-        before = [phase.total(j, window) for j in range(self.queues)]
-        after = [phase.total(j, window + 1) for j in range(self.queues)]
-        places = [sum(before)]
-        for a, b in zip(before, after, strict=True):
-            places.append(places[-1] + b - a)
-        return places
+        before, after = phase.totals(window), phase.totals(window + 1)
+        return int(before.sum()) + np.concatenate([[0], np.cumsum(after - before)])
 
     def pieces(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int]]:
         """(place, length) of the runs that tokens ``start``.. of a queue fill."""
@@ -162,53 +170,39 @@ class Layout:
                 step = phase.quanta[queue]
                 window = phase.first + ((at - phase.served[queue] + 1) * phase.den - 1) // step
                 stop = min(end, phase.total(queue, window + 1))
-                place = self.starts(phase, window)[queue] + at - phase.total(queue, window)
+                place = int(self.starts(phase, window)[queue]) + at - phase.total(queue, window)
                 while at < stop:
                     run = min(stop - at, SEQUENCE - place % SEQUENCE)
                     yield place, run
                     at, place = at + run, place + run
 
 
-def queue_names(docs: DataFrame, column: str, limit: int = QUEUES) -> list[str]:
-    """The sources with most rows get a queue each; all others share the last one."""
-    top = (
-        docs.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("source"))
-        .count()
-        .orderBy(F.desc("count"), "source")
-        .limit(limit - 1)
-    )
-    return [r["source"] for r in top.collect()]
-
-
-def tokenised(docs: DataFrame, names: list[str], column: str, tokenizer: str) -> DataFrame:
+def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
     """Ids and place of each document, written once.
 
-    ``start`` counts the tokens of the same queue that the same task has seen.
+    ``start`` counts the tokens of the same source that the same task has seen.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer_at(tokenizer), TaskContext.get().partitionId()
-        seen = [0] * (len(names) + 1)
-        number = {name: j for j, name in enumerate(names)}
+        seen: dict[str | None, int] = {}
         close = np.uint32(END_ID).tobytes()
         for batch in batches_of(batches, "text", 4_000_000):
             coded = [c + close for c in coder.encode([t or "" for t in batch.column("text").to_pylist()])]
-            queues = [number.get(s, len(names)) for s in batch.column("source").to_pylist()]
             starts = []
-            for queue, ids in zip(queues, coded, strict=True):
-                starts.append(seen[queue])
-                seen[queue] += len(ids) // 4
+            for name, ids in zip(batch.column("source").to_pylist(), coded, strict=True):
+                starts.append(seen.get(name, 0))
+                seen[name] = starts[-1] + len(ids) // 4
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([part] * batch.num_rows, pa.int64()),
-                    pa.array(queues, pa.int32()),
+                    batch.column("source"),
                     pa.array(starts, pa.int64()),
                     pa.array([len(c) // 4 for c in coded], pa.int64()),
                     pa.array(coded, pa.binary()),
                 ],
-                ["doc_id", "part", "queue", "start", "tokens", "ids"],
+                ["doc_id", "part", "source", "start", "tokens", "ids"],
             )
 
     rows = docs.select(
@@ -217,11 +211,33 @@ def tokenised(docs: DataFrame, names: list[str], column: str, tokenizer: str) ->
         F.col("text").cast("string").alias("text"),
     )
     path = scratch_path(docs.sparkSession, "tokens")
-    schema = "doc_id long, part long, queue int, start long, tokens long, ids binary"
+    schema = "doc_id long, part long, source string, start long, tokens long, ids binary"
     rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
+def number_queues(parts: DataFrame) -> DataFrame:
+    """Every source with its queue and tokens: most rows first, a null source last.
+
+    Only one row per source is ordered.
+    """
+    totals = parts.groupBy("source").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
+    place = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.desc("rows"), "source"))
+    return materialise(totals.select("source", (place - 1).cast("int").alias("queue"), "n"), "queues")
+
+
+def wanted_shares(queues: DataFrame, shares: dict[str, float], size: int) -> list[float]:
+    """The share of each queue; a name that is no source is an error."""
+    named = queues.where(F.col("source").isin(list(shares))).collect() if shares else []
+    unknown = set(shares) - {r["source"] for r in named}
+    if unknown and size:
+        raise ValueError(f"shares of unknown sources: {sorted(unknown)}")
+    out = [0.0] * size
+    for r in named:
+        out[r["queue"]] = shares[r["source"]]
+    return out
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -239,30 +255,33 @@ def pack(
     so each document finds its places from its queue's running offset alone: the
     windows' deficits carry over partitions without a task that sees them all.
     Sequences are cut from the stream one after the other, so only the last one
-    of all is shorter than 2048. The 63 sources with most rows have queues of
-    their own; all others share one.
+    of all is shorter than 2048. Every source has a queue of its own, and so have
+    rows of a null source. The driver holds one total per source; where a
+    window's parts begin is worked out once per window and task.
 
     Returns a row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, queue. A null or empty text is its closing id alone; a
-    null source is in the shared queue; a null doc_id is carried along; repeated
-    rows are packed each on its own; texts of any length are cut where windows
-    and sequences end; an empty table gives no rows. Other columns are ignored.
+    null doc_id is carried along; repeated rows are packed each on its own; texts
+    of any length are cut where windows and sequences end; a source in ``shares``
+    that no row has is an error; an empty table gives no rows. Other columns are
+    ignored.
     """
-    spark = docs.sparkSession
-    names = queue_names(docs, source)
-    rows = tokenised(docs, names, source, tokenizer)
-    parts = materialise(rows.groupBy("part", "queue").agg(F.sum("tokens").alias("n")), "queue-parts")
-    sizes = [0] * (len(names) + 1)
-    for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect():
-        sizes[r["queue"]] = r["n"]
-    wanted = None if shares is None else [shares.get(n, 0.0) for n in names] + [0.0]
+    rows = tokenised(docs, source, tokenizer)
+    grouped = rows.groupBy("part", "source").agg(F.sum("tokens").alias("n"), F.count("*").alias("rows"))
+    parts = materialise(grouped, "source-parts")
+    queues = number_queues(parts)
+    sizes = [int(n) for n in queues.select("queue", "n").toPandas().sort_values("queue")["n"]]
+    wanted = None if shares is None else wanted_shares(queues, shares, len(sizes))
     phases = plan_phases(sizes, SEQUENCE * WINDOW_SEQUENCES, wanted)
+    numbered = parts.alias("p").join(queues.alias("q"), F.col("p.source").eqNullSafe(F.col("q.source")))
+    parts = numbered.select("part", F.col("p.source").alias("name"), "queue", F.col("p.n").alias("n"))
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialise(
-        parts.select("part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
+        parts.select(F.col("part").alias("of"), "name", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
         "queue-bases",
     )
-    placed = rows.join(bases, ["part", "queue"]).select(
+    own = (F.col("part") == F.col("of")) & F.col("source").eqNullSafe(F.col("name"))
+    placed = rows.join(bases, own).select(
         "doc_id", "queue", (F.col("base") + F.col("start")).alias("start"), "tokens", "ids"
     )
     layout = (phases, len(sizes))

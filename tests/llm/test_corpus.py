@@ -490,3 +490,28 @@ def test_licenses_within_longer_texts(spark):
     assert ("MIT", "line") in got[3] and ("GPL-3.0", "window") in got[4] and 5 not in got
     words = hashing.word_hashes(pa.array(["a b\n \r\nc d\r\n\r\ne\nf"]))[0]
     assert licenses.blocks(pa.array(["a b\n \r\nc d\r\n\r\ne\nf"]))[3].tolist() == [0, 0, 1, 1, 2, 2] and len(words) == 6
+
+
+def test_every_source_has_a_queue(spark):
+    path = packing.default_tokenizer()
+    rows = [(i, prose(i, 5 + i % 7), f"s{i % 90}" if i % 91 else None) for i in range(400)]
+    docs = documents(spark, rows)
+    source = {i: s for i, _, s in rows}
+    pieces = packing.pack(docs, path).collect()
+    held = {}
+    for p in pieces:
+        held.setdefault(p["queue"], set()).add(source[p["doc_id"]])
+    assert len(held) == 91 and all(len(names) == 1 for names in held.values())
+    ends = sorted((p["sequence_id"] * packing.SEQUENCE + p["offset"], p["length"]) for p in pieces)
+    assert all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:])) and ends[0][0] == 0
+    parts = spark.createDataFrame([(0, f"s{i}", 10, 100 - i) for i in range(90)], "part int, source string, n long, rows long")
+    shares = packing.wanted_shares(packing.number_queues(parts), {"s80": 0.75, "s0": 0.25}, 90)
+    assert shares[80] == 0.75 and shares[0] == 0.25 and sum(shares) == 1.0
+    with pytest.raises(ValueError, match="nowhere"):
+        packing.pack(docs, path, shares={"nowhere": 1.0})
+
+
+def test_queue_totals_of_large_numbers():
+    phase = packing.Phase(3, 10**9, (5, 0, 7), (10**17 + 1, 3, 0), 10**13 + 7)
+    for window in (3, 4, 10**6, 10**8 + 1):
+        assert phase.totals(window).tolist() == [phase.total(j, window) for j in range(3)]
