@@ -515,3 +515,47 @@ def test_queue_totals_of_large_numbers():
     phase = packing.Phase(3, 10**9, (5, 0, 7), (10**17 + 1, 3, 0), 10**13 + 7)
     for window in (3, 4, 10**6, 10**8 + 1):
         assert phase.totals(window).tolist() == [phase.total(j, window) for j in range(3)]
+
+
+def test_pipeline_run_equals_plain_stages(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    items = [(i, rich(3000 + i, 24) + ". " + rich(3050 + i, 6) + ".") for i in range(4)]
+    rows = [(i, rich(3100 + i, 150), f"s{i % 5}") for i in range(40)]
+    for i in range(6):
+        copy = rows[i][1].split()
+        copy[70] = copy[110] = "changed"
+        rows.append((100 + i, " ".join(copy), "s0"))
+    shared = [rich(3300 + n, 8) for n in range(3)]
+    for i in range(5):
+        rows.append((200 + i, "\n".join([rich(3400 + i, 60), *shared, rich(3450 + i, 60)]), "s1"))
+    rows += [(300 + i, f"{rich(3500 + i, 60)} {text} {rich(3600 + i, 60)}", "s2") for i, text in items]
+    rows += [(400, None, "s0"), (401, "123 ...", "s0"), (402, "\n".join(shared), "s0")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    kept = [(i, t) for i, t, _ in rows if t and re.search(r"[a-z]", t)]
+    cleaned = brute_lines(kept)
+    kept = [(i, cleaned[i]) for i, t in kept if cleaned[i].strip() or cleaned[i] == t]
+    frame = documents(spark, [(i, t, "s") for i, t in kept])
+    roots = classes_by_force([t for _, t in kept], minhash.inverse_frequencies(frame))
+    kept = [row for n, row in enumerate(kept) if roots[n] == n]
+    idf = contamination.inverse_frequencies(documents(spark, [(i, t, "s") for i, t in kept]))
+    made = contamination.read_items([(*i, None) for i in items])
+
+    def leaks(text):
+        words, _ = hashing.word_hashes(pa.array([text]))
+        return any(contamination.check(words, w, a, idf) for w, a in zip(made.words, made.answers, strict=True))
+
+    kept = [(i, t) for i, t in kept if not leaks(t)]
+    coder = Tokenizer.from_file(packing.default_tokenizer())
+    expected = {i: [*coder.encode(t, add_special_tokens=False).ids, 1] for i, t in kept}
+    assert set(expected) == {*range(40), *range(200, 205)}
+    at, found = 0, Counter()
+    for p in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda p: (p["sequence_id"], p["offset"])):
+        ids = np.array(expected[p["doc_id"]], "<u4")
+        assert p["doc_tokens"] == len(ids) and p["sequence_id"] * packing.SEQUENCE + p["offset"] == at
+        assert p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes())
+        at, found[p["doc_id"]] = at + p["length"], found[p["doc_id"]] + p["length"]
+    assert found == {i: len(ids) for i, ids in expected.items()}
