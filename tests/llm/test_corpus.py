@@ -427,9 +427,9 @@ def test_pairs_in_a_family_on_one_template_equal_brute_force(spark):
     random, texts = np.random.default_rng(12), []
     base = rich(2, 200).split()
     for i in range(300):
-        drifted(texts, base, random, 1, 4, f"t{i}n")
+        drifted(texts, base, random, 1, 3, f"t{i}n")
         if i % 2:
-            drifted(texts, texts[-1].split(), random, 1, 4, f"u{i}n")
+            drifted(texts, texts[-1].split(), random, 1, 3, f"u{i}n")
     roots = check_classes(spark, texts)
     assert 1 < len(set(roots.tolist())) < len(texts)
 
