@@ -12,11 +12,14 @@ from larchfield.llm import (
     language,
     licenses,
     lines,
+    merkle,
     minhash,
     neighbours,
     packing,
     quality,
+    runs,
     shards,
+    toxicity,
     warc,
 )
 from larchfield.llm.common import scratch_path, table
@@ -138,3 +141,19 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", "leaked_items", "leak_share")
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered_text()).drop("proof")
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.find_periodic(table(spark, sf_dir, "documents"), runs.plant)
