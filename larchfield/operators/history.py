@@ -10,14 +10,27 @@ from pyspark.sql import functions as F
 START, END = "__START_AT", "__END_AT"
 
 
-def seq_bucket(df: DataFrame, seq: str, numeric_width: int = 100_000) -> Column:
-    """Coarse form of ``seq`` that sorts the same: its day, or a numeric step."""
+#: A (key, day) with more rows than this is ordered second by second.
+MOST_ROWS = 1_000_000
+
+
+def seq_spans(df: DataFrame, seq: str) -> tuple[Column, Column]:
+    """A coarse and a fine form of ``seq``, both of which sort the same.
+
+    Timestamps: day and second, so that a coarse span has at most 86,400 fine
+    ones and a fine one at most 1,000,000 distinct values. Dates: month and day.
+    Numbers: their whole part without its low 32 and 16 bits, which bounds a fine
+    span to 65,536 distinct whole values whatever the range of the data.
+    """
     dtype = dict(df.dtypes)[seq]
     if dtype.startswith("timestamp"):
-        return F.date_trunc("DAY", seq).cast(dtype)
+        coarse, fine = (F.date_trunc(unit, seq).cast(dtype) for unit in ("DAY", "SECOND"))
+        return coarse, fine
     if dtype == "date":
-        return F.trunc(seq, "month")
-    return F.floor(F.col(seq) / numeric_width)
+        return F.trunc(seq, "month"), F.col(seq)
+    whole = F.floor(seq).cast("long")
+    coarse, fine = (F.shiftleft(F.shiftright(whole, bits), bits) for bits in (32, 16))
+    return coarse, fine
 
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -35,7 +48,7 @@ def scd2(
     keys: Sequence[str],
     seq: str,
     tiebreak: Sequence[Column] = (),
-    bucket: Column | None = None,
+    most_rows: int = MOST_ROWS,
 ) -> DataFrame:
     """History with ``__START_AT = seq`` and ``__END_AT`` = the key's next seq.
 
@@ -44,32 +57,45 @@ def scd2(
     unique. Keys must not be NULL; rows with a NULL sequence are not versions:
     ``without_sequence`` returns them.
 
-    A key may hold any share of all rows, so its versions are never put into one
-    task. They are split by ``bucket``, a coarse form of ``seq`` that sorts the
-    same (a day unless given), and each bucket gets one extra row that carries
-    the start of the key's next bucket. Only these bucket starts, three narrow
-    columns, are ordered per key.
+    A key may hold any share of all rows, and so may a day of it, so neither is
+    put into one task. Versions are ordered inside spans of ``seq``: a key's day,
+    or its seconds where the day has more than ``most_rows`` rows. A span gets an
+    extra row that carries the start of the key's next span. Span starts, a few
+    narrow columns, are ordered on two levels: days per key, and seconds per key
+    and split day.
     """
-    bucket = seq_bucket(versions, seq) if bucket is None else bucket
-    tagged = versions.filter(F.col(seq).isNotNull()).withColumn("_bucket", bucket)
-
-    # Ties do not move a bucket's start, so the starts need no tie-break.
-    starts = tagged.groupBy(*keys, "_bucket").agg(F.min(seq).alias("_start"))
-    next_start = F.lead("_start").over(Window.partitionBy(*keys).orderBy("_bucket"))
-    markers = starts.select(
-        *keys, "_bucket", next_start.alias(seq), F.lit(True).alias("_marker")
-    ).filter(F.col(seq).isNotNull())
+    coarse, fine = seq_spans(versions, seq)
+    tagged = versions.filter(F.col(seq).isNotNull()).withColumn("_coarse", coarse)
+
+    # Ties do not move a span's start, so the starts need no tie-break.
+    starts = tagged.groupBy(*keys, "_coarse").agg(F.min(seq).alias("_start"), F.count("*").alias("_rows"))
+    after = F.lead("_start").over(Window.partitionBy(*keys).orderBy("_coarse"))
+    starts = starts.withColumn("_after", after).withColumn("_split", F.col("_rows") > most_rows)
+    # At most one row per ``most_rows`` rows of the input.
+    split = starts.filter("_split").select(*keys, "_coarse", "_after", "_split")
+
+    in_split = tagged.select(*keys, "_coarse", seq, fine.alias("_span")).join(split, [*keys, "_coarse"])
+    inner = in_split.groupBy(*keys, "_coarse", "_span").agg(F.min(seq).alias("_start"), F.first("_after").alias("_after"))
+    following = F.lead("_start").over(Window.partitionBy(*keys, "_coarse").orderBy("_span"))
+    inner = inner.withColumn("_next", F.coalesce(following, "_after"))
+    outer = starts.filter("NOT _split").select(*keys, F.col("_coarse").alias("_span"), F.col("_after").alias("_next"))
+    markers = outer.unionByName(inner.select(*keys, "_span", "_next")).filter("_next IS NOT NULL")
+    markers = markers.select(*keys, "_span", F.col("_next").alias(seq), F.lit(True).alias("_marker"))
 
     if tiebreak:
         tagged = first_per(tagged, [*keys, seq], tiebreak)
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(seq)
+    spanned = tagged.join(split.select(*keys, "_coarse", "_split"), [*keys, "_coarse"], "left").withColumn(
+        "_span", F.when(F.col("_split"), fine).otherwise(F.col("_coarse"))
+    )
+    in_span = Window.partitionBy(*keys, "_span").orderBy(seq)
     return (
-        tagged.withColumn("_marker", F.lit(False))
+        spanned.drop("_coarse", "_split")
+        .withColumn("_marker", F.lit(False))
         .unionByName(markers, allowMissingColumns=True)
-        .withColumn(END, F.lead(seq).over(in_bucket))
+        .withColumn(END, F.lead(seq).over(in_span))
         .filter(~F.col("_marker"))
         .withColumn(START, F.col(seq))
-        .drop("_bucket", "_marker")
+        .select(*versions.columns, END, START)
     )
 
 

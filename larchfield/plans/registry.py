@@ -361,17 +361,19 @@ def scd2_events(lake: Lake) -> DataFrame:
 
 @query_named("scd2_stream")
 def scd2_stream_events(lake: Lake) -> DataFrame:
-    schema = lake.table("events").schema
-    reader = lake.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    stream = reader.parquet(lake.folder)
-    return scd2_stream(
-        stream,
-        scratch_path(lake.spark, "versions"),
-        ["user_id"],
-        "ts",
-        scratch_path(lake.spark, "versions-checkpoint"),
-        [F.desc("event_id")],
-    ).select(*VERSION_COLUMNS)
+    """The same from three deliveries, each of which brings late versions of the others' keys."""
+    events = lake.table("events")
+    landing, target, checkpoint = (
+        scratch_path(lake.spark, name) for name in ("landing", "versions", "versions-checkpoint")
+    )
+    reader = lake.spark.readStream.schema(events.schema).option("recursiveFileLookup", True)
+    for delivery in range(3):
+        part = events.where(F.pmod("event_id", F.lit(3)) == delivery)
+        part.write.parquet(f"{landing}/{delivery}")
+        found = scd2_stream(
+            reader.parquet(landing), target, ["user_id"], "ts", checkpoint, [F.desc("event_id")], 32
+        )
+    return found.select(*VERSION_COLUMNS)
 
 
 @query

@@ -1,12 +1,15 @@
 import random
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from larchfield.operators.history import END, START, current_rows, latest_per, scd2, without_sequence
 from larchfield.operators.ranking import global_rank_desc, global_row_number
 from larchfield.operators.star import asof_dim_join, build_dim, enrich, fact_claims
-from larchfield.streaming.history import append_versions, compact_log, read_history, scd2_stream
+from larchfield.streaming.history import bucket_of, merge_history, read_history, scd2_stream
 from larchfield.streaming.split import read_batches, split_stream
 from larchfield.plans.entities import CUSTOMERS
 
@@ -73,26 +76,70 @@ def stage(spark, folder, name, versions):
     as_frame(spark, versions).coalesce(1).write.parquet(f"{folder}/{name}")
 
 
+def version_stream(spark, folder):
+    reader = spark.readStream.schema("key string, seq timestamp_ntz, id int")
+    return reader.option("recursiveFileLookup", True).parquet(str(folder))
+
+
+def files_by_bucket(target):
+    found = {}
+    for path in Path(target).glob("_bucket=*/*.parquet"):
+        found.setdefault(path.parent.name, set()).add((path.name, path.stat().st_mtime_ns))
+    return found
+
+
 def test_stream_gives_the_batch_history_and_takes_late_rows(spark, rows, tmp_path):
     first, late = random_versions(120, 3), [("hot", T0 + timedelta(hours=3, minutes=30), 999)]
+    target, checkpoint, order = f"{tmp_path}/target", f"{tmp_path}/ck", [F.desc("id")]
     stage(spark, tmp_path, "in/1", first)
-    stream = (
-        spark.readStream.schema("key string, seq timestamp_ntz, id int")
-        .option("recursiveFileLookup", True)
-        .parquet(f"{tmp_path}/in")
-    )
-    paths = (f"{tmp_path}/log", f"{tmp_path}/ck")
-    once = scd2_stream(stream, paths[0], ["key"], "seq", paths[1], [F.desc("id")])
+    stream = version_stream(spark, f"{tmp_path}/in")
+    once = scd2_stream(stream, target, ["key"], "seq", checkpoint, order, 16)
     assert rows(once, "key", "id", START, END) == expected_history(first)
+    before = files_by_bucket(target)
     stage(spark, tmp_path, "in/2", late)
-    twice = scd2_stream(stream, paths[0], ["key"], "seq", paths[1], [F.desc("id")])
+    twice = scd2_stream(stream, target, ["key"], "seq", checkpoint, order, 16)
     assert rows(twice, "key", "id", START, END) == expected_history(first + late)
-    append_versions(stream, *paths).awaitTermination()
-    again = read_history(spark, paths[0], ["key"], "seq", [F.desc("id")])
-    assert rows(again, "key", "id", START, END) == expected_history(first + late)
-    compact_log(spark, paths[0], f"{tmp_path}/compact", ["key"], "seq", [F.desc("id")])
-    compacted = read_history(spark, f"{tmp_path}/compact", ["key"], "seq")
-    assert rows(compacted, "key", "id", START, END) == expected_history(first + late)
+    after = files_by_bucket(target)
+    assert len(before) > 8 and [b for b in before if after[b] != before[b]] == [
+        f"_bucket={as_frame(spark, late).select(bucket_of(['key'], 16)).first()[0]}"
+    ]
+    # A third batch with a new key, ties, and rows that no history can hold.
+    third = [("new", T0, 1000), ("hot", late[0][1], 1001), ("hot", None, 1002), ("k1", None, 1003)]
+    stage(spark, tmp_path, "in/3", third)
+    thrice = scd2_stream(stream, target, ["key"], "seq", checkpoint, order, 16)
+    assert rows(thrice, "key", "id", START, END) == expected_history(first + late + third[:2])
+    assert rows(read_batches(spark, f"{target}-rejected"), "key", "id") == [("hot", 1002), ("k1", 1003)]
+
+
+def test_merge_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    target = f"{tmp_path}/target"
+    merge_history(as_frame(spark, random_versions(200, 4)), target, 0, ["key"], "seq", [F.desc("id")], 16)
+    for path in Path(target).glob("_bucket=*"):
+        if path.name != f"_bucket={as_frame(spark, [('hot', T0, 1)]).select(bucket_of(['key'], 16)).first()[0]}":
+            for part in path.glob("*.parquet"):
+                part.write_bytes(b"unreadable")
+                path.joinpath(f".{part.name}.crc").unlink(missing_ok=True)
+    merge_history(as_frame(spark, [("hot", T0, 5000)]), target, 1, ["key"], "seq", [F.desc("id")], 16)
+
+
+def test_merge_repeated_or_resumed_gives_the_same_rows(spark, rows, tmp_path):
+    target, first, second = f"{tmp_path}/target", random_versions(90, 5), random_versions(60, 6)
+    second = [(k, s, i + 1000) for k, s, i in second]
+    merge = lambda batch, i: merge_history(as_frame(spark, batch), target, i, ["key"], "seq", [F.desc("id")], 8)
+    merge(first, 0)
+    merge(second, 1)
+    merge(second, 1)
+    assert rows(read_history(spark, target), "key", "id", START, END) == expected_history(first + second)
+    # Stopped between removing a bucket and putting the new one in place.
+    shutil.rmtree(next(Path(target).glob("_bucket=*")))
+    merge(second, 1)
+    assert rows(read_history(spark, target), "key", "id", START, END) == expected_history(first + second)
+    # Stopped while the new buckets were written aside.
+    third = [("hot", T0 - timedelta(1), 5000)]
+    as_frame(spark, third).write.parquet(f"{target}-staged/batch_id=2")
+    Path(f"{target}-staged/batch_id=2/_SUCCESS").unlink()
+    merge(third, 2)
+    assert rows(read_history(spark, target), "key", "id", START, END) == expected_history(first + second + third)
 
 
 def test_stream_split_writes_both_branches_once(spark, rows, tmp_path):
@@ -198,3 +245,33 @@ def test_rows_without_sequence_are_shown(spark):
     kept = scd2(rows, ["customer_id"], "seq").count()
     rejected = without_sequence(rows, "seq").collect()
     assert kept + len(rejected) == 2 and rejected[0].customer_id == 2
+
+
+@pytest.mark.parametrize("most_rows", [1, 5, 40])
+def test_split_days_give_the_same_history(spark, rows, most_rows):
+    # Nine rows in ten belong to one key, most of them to two of its days.
+    rng = random.Random(9)
+    versions = [
+        (
+            "hot" if rng.random() < 0.9 else f"k{rng.randrange(5)}",
+            T0 + timedelta(days=rng.choice([0, 0, 0, 1, 1, 40]), seconds=rng.randrange(30), milliseconds=rng.randrange(40)),
+            i,
+        )
+        for i in range(500)
+    ]
+    out = scd2(as_frame(spark, versions), ["key"], "seq", [F.desc("id")], most_rows)
+    assert rows(out, "key", "id", START, END) == expected_history(versions)
+
+
+@pytest.mark.parametrize("kind", ["long", "date", "double"])
+def test_split_spans_of_other_types(spark, rows, kind):
+    rng = random.Random(2)
+    pick = {
+        "long": lambda: rng.choice([rng.randrange(-300_000, 300_000), rng.randrange(-(2**62), 2**62), -1, 0, 65_536]),
+        "date": lambda: (T0 + timedelta(days=rng.randrange(90))).date(),
+        "double": lambda: round(rng.uniform(-1e6, 1e6), 2),
+    }[kind]
+    versions = [(rng.choice("aab"), pick(), i) for i in range(200)]
+    frame = spark.createDataFrame(versions, f"key string, seq {kind}, id int")
+    out = scd2(frame, ["key"], "seq", [F.desc("id")], 3)
+    assert rows(out, "key", "id", START, END) == expected_history(versions)
