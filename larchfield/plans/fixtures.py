@@ -71,7 +71,7 @@ VIEWS = {
                o_totalprice / 100 AS policy_annual_premium,
                CAST(CASE WHEN o_orderkey % 4 = 0 THEN 6000000 ELSE 0 END AS DOUBLE)
                    AS umbrella_limit,
-               o_orderdate AS policy_bind_date
+               CASE WHEN o_orderkey % 107 = 0 THEN NULL ELSE o_orderdate END AS policy_bind_date
         FROM {orders}
     """,
     "fx_cars": """
@@ -133,6 +133,54 @@ VIEWS = {
                l_shipdate AS claim_processed_on
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
     """,
+    # Claims as a regional export spells them: all text, four date formats, damaged dates.
+    "fx_claims_text": """
+        SELECT claimid, CAST(policyid AS VARCHAR(20)) AS policyid,
+               CAST(car_id AS VARCHAR(20)) AS car_id, incident_severity, incident_state,
+               CASE car_id % 4
+                    WHEN 0 THEN substr(CAST(incident_date AS VARCHAR(19)), 1, 10)
+                    WHEN 1 THEN CAST(incident_date AS VARCHAR(19))
+                    WHEN 2 THEN concat_ws('-', substr(CAST(incident_date AS VARCHAR(19)), 9, 2),
+                                          substr(CAST(incident_date AS VARCHAR(19)), 6, 2),
+                                          substr(CAST(incident_date AS VARCHAR(19)), 1, 4))
+                    ELSE concat(substr(CAST(incident_date AS VARCHAR(19)), 9, 2), '-',
+                                substr(CAST(incident_date AS VARCHAR(19)), 6, 2), '-',
+                                substr(CAST(incident_date AS VARCHAR(19)), 1, 4), ' 00:00')
+               END AS incident_date,
+               CASE WHEN car_id % 59 = 0 THEN '27:00.0'
+                    ELSE CAST(claim_logged_on AS VARCHAR(19)) END AS claim_logged_on,
+               CASE WHEN car_id % 61 = 0 THEN 'Null'
+                    ELSE CAST(claim_processed_on AS VARCHAR(19)) END AS claim_processed_on,
+               property_damage, police_report_available
+        FROM {fx_claims}
+    """,
+    # Deliveries of claims: some come again a week later with another severity.
+    "fx_claims_log": """
+        SELECT claimid, policyid, car_id, incident_severity, incident_state, incident_date,
+               TIMESTAMP '2002-01-01 00:00:00' AS seq
+        FROM {fx_claims}
+        UNION ALL
+        SELECT claimid, policyid, car_id, 'Major Damage', incident_state, incident_date,
+               TIMESTAMP '2002-01-08 00:00:00'
+        FROM {fx_claims} WHERE car_id % 5 = 0
+        UNION ALL
+        SELECT claimid, policyid, car_id, incident_severity, incident_state, incident_date, NULL
+        FROM {fx_claims} WHERE car_id % 31 = 0
+    """,
+    # Listings delivered before they were sold, with the sale, and some a third time unchanged.
+    "fx_sales_log": """
+        SELECT sales_id, car_id, region, ad_placed_on, CAST(NULL AS TIMESTAMP) AS sold_on,
+               original_selling_price, seller_type, TIMESTAMP '2002-01-01 00:00:00' AS seq
+        FROM {fx_sales}
+        UNION ALL
+        SELECT sales_id, car_id, region, ad_placed_on, sold_on, original_selling_price, seller_type,
+               TIMESTAMP '2002-01-02 00:00:00'
+        FROM {fx_sales} WHERE sold_on IS NOT NULL
+        UNION ALL
+        SELECT sales_id, car_id, region, ad_placed_on, sold_on, original_selling_price, seller_type,
+               TIMESTAMP '2002-01-02 00:00:00'
+        FROM {fx_sales} WHERE sold_on IS NOT NULL AND car_id % 3 = 0
+    """,
     "fx_dates_raw": """
         SELECT event_id,
                CASE event_id % 6 WHEN 0 THEN '27:00.0' WHEN 1 THEN '05-03-2016 14:10'
@@ -203,15 +251,20 @@ class Lake:
     def rejected(self, entity: str) -> DataFrame:
         return self.split(entity)[1]
 
+    def deliveries(self, entity: str) -> DataFrame:
+        """Clean rows of every delivery of an entity, as versions by ``seq``."""
+        if entity == "policy":
+            return self.clean(entity).withColumn("seq", F.col("policy_bind_date"))
+        spec, logged = ENTITIES[entity], f"fx_{entity}_log"
+        log = self.view(logged) if logged in VIEWS else self.source(entity)
+        log = log.withColumn("seq", F.col("seq").cast("timestamp_ntz"))
+        return split_quarantine(spec.prepare(log), spec.rules)[0]
+
     # --- gold ---
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        spec = ENTITIES["customers"]
-        log = spec.prepare(
-            self.view("fx_customers_log").withColumn("seq", F.col("seq").cast("timestamp_ntz"))
-        )
-        history = scd2(split_quarantine(log, spec.rules)[0], ["customer_id"], "seq")
+        history = scd2(self.deliveries("customers"), ["customer_id"], "seq")
         return build_dim(history, "customer_id", "customer_sk")
 
     @cached_property
@@ -221,8 +274,7 @@ class Lake:
 
     @cached_property
     def dim_car(self) -> DataFrame:
-        cars = self.clean("cars").withColumn("seq", F.col("seq").cast("timestamp_ntz"))
-        return build_dim(scd2(cars, ["car_id"], "seq"), "car_id", "car_sk")
+        return build_dim(scd2(self.deliveries("cars"), ["car_id"], "seq"), "car_id", "car_sk")
 
     @cached_property
     def fact_claims(self) -> DataFrame:

@@ -93,6 +93,11 @@ STEPS |= {
                      {named(STATES, 'incident_state')} AS incident_state_full
               FROM fx_claims)""",
     "sales_t": f"SELECT *, {_reason(*_sales_tests.values())} FROM fx_sales",
+    "claims_log_t": f"""
+        SELECT *, {_reason(("claimid IS NOT NULL", "'R1: ClaimID is null'"),
+                           ("policyid IS NOT NULL", "'R2: PolicyID is null'"))}
+        FROM (SELECT *, {named(STATES, 'incident_state')} AS incident_state_full FROM fx_claims_log)""",
+    "sales_log_t": f"SELECT *, {_reason(*_sales_tests.values())} FROM fx_sales_log",
     "cars_t": f"""
         SELECT *, {_reason(("car_id IS NOT NULL", "'R1: car primary key is null'"),
                            ("km_driven <= 500000", "'R2: km_driven exceeds 500000'"))}
@@ -116,7 +121,7 @@ STEPS |= {
                          "'R3: unknown state = ' || coalesce(policy_state_full, 'null')"))}
         FROM (SELECT *, {named(STATES, 'policy_state')} AS policy_state_full FROM fx_policy)""",
 }
-for _entity in ("customers", "customers_log", "claims", "sales", "cars", "policy"):
+for _entity in ("customers", "customers_log", "claims", "claims_log", "sales", "sales_log", "cars", "policy"):
     STEPS[f"{_entity}_c"] = f"SELECT * FROM {_entity}_t WHERE _reject_reason IS NULL"
 
 
@@ -210,7 +215,7 @@ STEPS |= {
         SELECT md5(concat_ws('|', policy_number, CAST(policy_bind_date AS VARCHAR))) AS policy_sk,
                *, policy_bind_date AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
                true AS is_current
-        FROM policy_c""",
+        FROM policy_c WHERE policy_bind_date IS NOT NULL""",
     "dim_car": """
         SELECT md5(concat_ws('|', car_id, CAST(seq AS VARCHAR))) AS car_sk, *,
                seq AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current
@@ -569,6 +574,55 @@ CHECKS: dict[str, str] = {
     # history, dimensions, facts
     "scd2_events": "SELECT * FROM event_versions",
     "scd2_stream": "SELECT * FROM event_versions",
+    "scd2_claims": """SELECT claimid, incident_severity, incident_state_full, seq AS "__START_AT",
+        lead(seq) OVER (PARTITION BY claimid ORDER BY seq) AS "__END_AT"
+        FROM claims_log_c WHERE seq IS NOT NULL""",
+    "scd2_sales": """SELECT sales_id, sold_on, seq AS "__START_AT",
+        lead(seq) OVER (PARTITION BY sales_id ORDER BY seq) AS "__END_AT"
+        FROM (SELECT DISTINCT sales_id, sold_on, seq FROM sales_log_c)""",
+    "history_rejects": """
+        SELECT 'policy' AS table_name, 'no version: seq is null' AS _reject_reason,
+               count(*) FILTER (WHERE policy_bind_date IS NULL) AS rejected,
+               count(DISTINCT policy_number) FILTER (WHERE policy_bind_date IS NOT NULL) AS versions,
+               CAST(0 AS BIGINT) AS repeated, count(*) AS total FROM policy_c
+        UNION ALL
+        SELECT 'claims', 'no version: seq is null', count(*) FILTER (WHERE seq IS NULL),
+               count(DISTINCT (claimid, seq)) FILTER (WHERE seq IS NOT NULL),
+               CAST(0 AS BIGINT), count(*) FROM claims_log_c""",
+    "stream_quarantine": f"""
+        SELECT claimid, CAST(policyid AS VARCHAR) AS policyid,
+               {named(STATES, 'incident_state')} AS incident_state_full,
+               nullif(property_damage, '?') AS property_damage,
+               car_id % 59 = 0 AS _is_corrupt_date, 'silver_claims' AS _stage,
+               CAST(incident_date AS VARCHAR) AS incident_date,
+               CASE WHEN car_id % 59 <> 0 THEN CAST(claim_logged_on AS VARCHAR) END AS claim_logged_on,
+               CASE WHEN car_id % 61 <> 0 THEN CAST(claim_processed_on AS VARCHAR) END
+                   AS claim_processed_on,
+               CASE WHEN policyid IS NULL THEN 'R2: PolicyID is null' END AS _reject_reason
+        FROM fx_claims""",
+    "stream_expectations": """
+        SELECT CAST(1 - car_id % 2 AS INTEGER) AS batch_id, rule_name,
+               count(*) FILTER (WHERE CASE rule_name WHEN 'R3_valid_dates' THEN car_id % 59 = 0
+                   ELSE incident_severity = 'Unclassified' END) AS failed_records,
+               count(*) AS total_records
+        FROM claims_c, (VALUES ('R3_valid_dates'), ('R5_valid_incident_severity')) r(rule_name)
+        GROUP BY ALL""",
+    "stream_fact_claims": """
+        SELECT * FROM fact_claims SEMI JOIN (SELECT claimid AS claim_id FROM claims_c WHERE car_id % 2 = 0) USING (claim_id)
+        UNION ALL BY NAME
+        SELECT claimid AS claim_id, policy_sk, customer_sk, incident_date, incident_state_full,
+               number_of_vehicles_involved, incident_severity, claim_processed_on, claim_logged_on,
+               CAST(date_diff('day', claim_logged_on, claim_processed_on) AS INTEGER)
+                   AS processing_time_days,
+               CASE WHEN claim_rejected = 'Y' THEN 1 ELSE 0 END AS is_rejected_int
+        FROM claims_c
+        LEFT JOIN dim_policy p ON policyid = p.policy_number
+        LEFT JOIN (SELECT * FROM dim_customer WHERE valid_from < TIMESTAMP '1998-01-01') c
+          ON p.customer_id = c.customer_id
+        WHERE car_id % 2 = 1""",
+    "stream_fact_sales": """
+        SELECT f.* REPLACE (CASE WHEN s.car_id % 2 = 0 OR s.car_id % 3 <> 0 THEN f.car_sk END AS car_sk)
+        FROM fact_sales f JOIN sales_c s USING (sales_id)""",
     "scd2_current": """SELECT user_id, event_id, event_type, value FROM event_versions
         WHERE "__END_AT" IS NULL""",
     "dim_customer": """SELECT customer_sk, customer_id, region, education, marital, job, balance,

@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larchfield.functions.text import is_valid_email
-from larchfield.operators import cleanse, completion, history, issues, quality, retrieval, scoring
+from larchfield.operators import cleanse, completion, history, issues, quality, retrieval, scoring, star
 from larchfield.operators.star import asof_dim_join
 from larchfield.plans import inventory, kpis, marts
 from larchfield.plans.entities import CUSTOMER_SYNONYMS, ENTITIES, KGM_TO_NM, REGIONS, STATES
-from larchfield.plans.fixtures import FAST_DAYS, Lake
+from larchfield.plans.fixtures import AS_OF, FAST_DAYS, Lake
 from larchfield.session import apply_runtime_defaults, scratch_path
 from larchfield.sources.files import any_case, ingest_new_files
 from larchfield.sources.tables import overwrite_table, reconcile, table_counts
+from larchfield.streaming.facts import publish_dim, stream_facts
 from larchfield.streaming.history import scd2_stream
+from larchfield.streaming.split import COUNTS, read_batches, split_stream
 
 Query = Callable[[Lake], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -376,6 +378,132 @@ def scd2_stream_events(lake: Lake) -> DataFrame:
     return found.select(*VERSION_COLUMNS)
 
 
+@query
+def scd2_claims(lake: Lake) -> DataFrame:
+    """Claims of all deliveries; what came again is a version, not another claim."""
+    found = history.scd2(lake.deliveries("claims"), ["claimid"], "seq")
+    return found.select("claimid", "incident_severity", "incident_state_full", history.START, history.END)
+
+
+@query
+def scd2_sales(lake: Lake) -> DataFrame:
+    """Listings and their sale; a delivery repeated with the same sequence counts once."""
+    order = [F.col("sold_on").asc_nulls_last()]
+    found = history.scd2(lake.deliveries("sales"), ["sales_id"], "seq", order)
+    return found.select("sales_id", "sold_on", history.START, history.END)
+
+
+@query
+def history_rejects(lake: Lake) -> DataFrame:
+    """Clean rows that no history can hold, for want of a sequence, with the versions and the total."""
+
+    def balance(entity: str, key: str) -> DataFrame:
+        rows = lake.deliveries(entity)
+        versions = history.scd2(rows, [key], "seq", [F.col(key)]).agg(F.count("*").alias("versions"))
+        rejected = history.without_sequence(rows, "seq").groupBy("_reject_reason")
+        repeated = rows.where("seq IS NOT NULL").groupBy(key, "seq").count().agg(F.sum(F.col("count") - 1))
+        return rejected.agg(F.count("*").alias("rejected")).select(
+            F.lit(entity).alias("table_name"),
+            "_reject_reason",
+            "rejected",
+            versions.scalar().alias("versions"),
+            F.coalesce(repeated.scalar(), F.lit(0)).alias("repeated"),
+            rows.agg(F.count("*")).scalar().alias("total"),
+        )
+
+    return union([balance("policy", "policy_number"), balance("claims", "claimid")])
+
+
+def in_deliveries(lake: Lake, rows: DataFrame, load) -> None:
+    """Land ``rows`` in two deliveries, odd and even cars, and call ``load(stream, delivery)`` after each."""
+    landing = scratch_path(lake.spark, "landing")
+    reader = lake.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True)
+    for delivery in range(2):
+        part = rows.where(F.pmod(F.col("car_id").cast("long"), F.lit(2)) == 1 - delivery)
+        part.write.parquet(f"{landing}/{delivery}")
+        load(reader.parquet(landing), delivery)
+
+
+def split_text_claims(lake: Lake) -> dict[str, str]:
+    """Text claims of two deliveries split by a stream; the folders of its tables."""
+    paths = {name: scratch_path(lake.spark, f"stream-{name}") for name in ("clean", "quarantine", "counts")}
+    checkpoint = scratch_path(lake.spark, "split-checkpoint")
+
+    def load(stream: DataFrame, delivery: int) -> None:
+        split_stream(
+            stream, ENTITIES["claims"], paths["clean"], paths["quarantine"], checkpoint, paths["counts"]
+        ).awaitTermination()
+
+    in_deliveries(lake, lake.view("fx_claims_text"), load)
+    return paths
+
+
+@query
+def stream_quarantine(lake: Lake) -> DataFrame:
+    """Claims in text, as streams bring them, parsed and split; both branches."""
+    paths = split_text_claims(lake)
+    dates = ["incident_date", "claim_logged_on", "claim_processed_on"]
+
+    def shown(path: str, reason) -> DataFrame:
+        found = read_batches(lake.spark, path)
+        return found.select(
+            "claimid", "policyid", "incident_state_full", "property_damage", "_is_corrupt_date", "_stage",
+            *(F.col(c).cast("string").alias(c) for c in dates),
+            reason.alias("_reject_reason"),
+        )
+
+    return shown(paths["clean"], F.lit(None).cast("string")).unionByName(
+        shown(paths["quarantine"], F.col("_reject_reason"))
+    )
+
+
+@query
+def stream_expectations(lake: Lake) -> DataFrame:
+    """Expectation counts that the stream took while it wrote, per batch and rule."""
+    found = read_batches(lake.spark, split_text_claims(lake)["counts"], f"{COUNTS}, batch_id int", ids=True)
+    return found.select("batch_id", "rule_name", "failed_records", "total_records")
+
+
+def streamed_facts(lake: Lake, rows: DataFrame, first: dict, second: dict, build) -> DataFrame:
+    """Facts of two deliveries; dimensions are published anew in between."""
+    dims = {name: scratch_path(lake.spark, f"dim-{name}") for name in first}
+    target, checkpoint = (scratch_path(lake.spark, n) for n in ("stream-facts", "facts-checkpoint"))
+
+    def load(stream: DataFrame, delivery: int) -> None:
+        for name, frame in (first, second)[delivery].items():
+            publish_dim(frame, dims[name], delivery)
+        stream_facts(stream, dims, build, target, checkpoint).awaitTermination()
+
+    in_deliveries(lake, rows, load)
+    return read_batches(lake.spark, target)
+
+
+@query
+def stream_fact_claims(lake: Lake) -> DataFrame:
+    """The first delivery meets customers without their later versions."""
+    early = lake.dim_customer.where("valid_from < TIMESTAMP '1998-01-01 00:00:00'")
+    return streamed_facts(
+        lake,
+        lake.clean("claims"),
+        {"policy": lake.dim_policy, "customer": early},
+        {"customer": lake.dim_customer},
+        lambda batch, dims: star.fact_claims(batch, dims["policy"], dims["customer"]),
+    )
+
+
+@query
+def stream_fact_sales(lake: Lake) -> DataFrame:
+    """The first delivery comes before a third of the cars are known."""
+    as_of = F.lit(AS_OF).cast("timestamp_ntz")
+    return streamed_facts(
+        lake,
+        lake.clean("sales"),
+        {"car": lake.dim_car.where("car_id % 3 <> 0")},
+        {"car": lake.dim_car},
+        lambda batch, dims: star.fact_car_sales(batch, dims["car"], as_of),
+    )
+
+
 @query
 def scd2_current(lake: Lake) -> DataFrame:
     return history.current_rows(scd2_events(lake))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larchfield.sources.files import PROVENANCE
 
@@ -20,6 +22,28 @@ def overwrite_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+    """The table at ``path``; None if nothing is there yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def schema_problems(raw: DataFrame, bronze: DataFrame) -> list[str]:
     """Raw columns that the loaded table lacks or holds with another type."""
     loaded = {c: t for c, t in bronze.dtypes if c not in PROVENANCE}

@@ -10,40 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from larchfield.operators.history import END, START, scd2, without_sequence
+from larchfield.sources.tables import is_written, read_or_none
 from larchfield.streaming.split import write_batch
 
 BUCKETS = 256
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``; None if nothing is there yet."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
-def is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` was committed."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def target_schema(versions: DataFrame, seq: str) -> T.StructType:
     """Columns of the target: those of the versions, the validity and the bucket."""
     kind = versions.schema[seq].dataType
