@@ -47,7 +47,9 @@ def split_stream(
         try:
             kept = tagged.filter(F.col("_reject_reason").isNull()).drop("_reject_reason", *flags)
             observed = Observation(f"expectations of {entity.name}")
-            write_batch(observe_expectations(kept, entity.expectations, observed), clean, batch_id)
+            if counts is not None:
+                kept = observe_expectations(kept, entity.expectations, observed)
+            write_batch(kept, clean, batch_id)
             write_batch(tagged.filter(F.col("_reject_reason").isNotNull()), quarantine, batch_id)
             if counts is not None:
                 found = observed.get
