@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from larchfield.llm.common import batches_of, materialise, scratch_path
+from larchfield.llm.runs import words_of
 
 SEQUENCE = 2048
 WINDOW_SEQUENCES = 32
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 
 
 class WordTokenizer:
@@ -28,48 +29,50 @@ class WordTokenizer:
 
     The tokenizers' own encoder runs once for each distinct run of characters
     without ASCII white space; the ids of a text are those of its runs in order.
-    At most ``CACHED_WORDS`` runs are remembered.
+    Special tokens inside a run are told apart by the encoder. At most
+    ``CACHED_WORDS`` runs are remembered.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        joined = " ".join(words)
-        coded = self.tokenizer.encode(joined, add_special_tokens=False)
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        texts = [w.decode() for w in words]
+        coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(coded.ids, np.uint32)
         first = np.array([o[0] for o in coded.offsets], np.int64)
-        ends = np.cumsum([len(w) + 1 for w in words])
+        ends = np.cumsum([len(t) + 1 for t in texts])
         cuts = np.concatenate([[0], np.searchsorted(first, ends)])
         return {w: ids[a:b].tobytes() for w, a, b in zip(words, cuts[:-1], cuts[1:], strict=True)}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() if t.isascii() and not any(c in t for c in ODD) else ascii_split(t) for t in texts]
-        known = self.known
-        missing = list({w for words in split for w in words if w not in known})
-        fresh: dict[str, bytes] = {}
+    def coded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of the distinct runs, as bytes."""
+        missing = [w for w in words if w not in self.known]
+        fresh: dict[bytes, bytes] = {}
         for start in range(0, len(missing), 50_000):
             fresh |= self.learn(missing[start : start + 50_000])
-        room = CACHED_WORDS - len(known)
-        if room >= len(fresh):
-            known.update(fresh)
-            return [b"".join([known[w] for w in words]) for words in split]
-        return [b"".join([known.get(w) or fresh.get(w, b"") for w in words]) for words in split]
-
-
-#: ASCII characters that Python splits at and the tokenizer may not.
-ODD = "\x1c\x1d\x1e\x1f"
-
-
-def ascii_split(text: str) -> list[str]:
-    for c in "\t\n\r\x0b\x0c":
-        text = text.replace(c, " ")
-    return [w for w in text.split(" ") if w]
+        if CACHED_WORDS - len(self.known) >= len(fresh):
+            self.known |= fresh
+            return [self.known[w] for w in words]
+        return [fresh[w] if w in fresh else self.known[w] for w in words]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned 32-bit ids of all texts, each closed by ``END_ID``, and row bounds."""
+        words, numbers, bounds = words_of(texts)
+        coded = self.coded(words.to_pylist())
+        # One more entry holds the closing id, which stands behind the last run of each row.
+        ids = np.frombuffer(b"".join(coded) + np.uint32(END_ID).tobytes(), np.uint32)
+        lengths = np.append(np.fromiter(map(len, coded), np.int64, len(coded)) // 4, 1)
+        starts = np.cumsum(lengths) - lengths
+        runs = np.insert(numbers, bounds[1:], len(coded))
+        sizes = lengths[runs]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = ids[np.repeat(starts[runs] - ends + sizes, sizes) + np.arange(total)]
+        return flat, np.append(0, ends[bounds[1:] + np.arange(len(texts))])
 
 
 @lru_cache(maxsize=2)
@@ -186,21 +189,24 @@ def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer_at(tokenizer), TaskContext.get().partitionId()
         seen: dict[str | None, int] = {}
-        close = np.uint32(END_ID).tobytes()
         for batch in batches_of(batches, "text", 4_000_000):
-            coded = [c + close for c in coder.encode([t or "" for t in batch.column("text").to_pylist()])]
+            ids, bounds = coder.encode(batch.column("text"))
+            tokens = np.diff(bounds)
             starts = []
-            for name, ids in zip(batch.column("source").to_pylist(), coded, strict=True):
+            for name, count in zip(batch.column("source").to_pylist(), tokens.tolist(), strict=True):
                 starts.append(seen.get(name, 0))
-                seen[name] = starts[-1] + len(ids) // 4
+                seen[name] = starts[-1] + count
+            packed = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), batch.num_rows, [None, pa.py_buffer((4 * bounds).tobytes()), pa.py_buffer(ids.tobytes())]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([part] * batch.num_rows, pa.int64()),
                     batch.column("source"),
                     pa.array(starts, pa.int64()),
-                    pa.array([len(c) // 4 for c in coded], pa.int64()),
-                    pa.array(coded, pa.binary()),
+                    pa.array(tokens, pa.int64()),
+                    packed.cast(pa.binary()),
                 ],
                 ["doc_id", "part", "source", "start", "tokens", "ids"],
             )
