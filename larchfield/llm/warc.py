@@ -7,6 +7,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark import TaskContext
@@ -76,22 +77,21 @@ def page_record(
     return record_bytes(headers, block)
 
 
-def members(data: bytes, piece: int = 65_536) -> Iterator[bytes]:
-    """Inflate gzip members one after the other, ``piece`` input bytes at a time."""
-    view, at = memoryview(data), 0
-    while at < len(view):
-        inflate, out = zlib.decompressobj(31), []
-        while not inflate.eof:
-            if at >= len(view):
-                raise WarcError("archive ends inside a gzip member")
-            take = view[at : at + piece]
-            try:
-                out.append(inflate.decompress(take))
-            except zlib.error as e:
-                raise WarcError(f"byte {at}: {e}") from e
-            at += len(take)
-        at -= len(inflate.unused_data)
-        yield b"".join(out)
+def members(source: BinaryIO, piece: int = 65_536) -> Iterator[bytes]:
+    """Inflate gzip members one after the other, reading ``piece`` bytes at a time."""
+    at, data, inflate, out = 0, b"", None, []
+    while data := data or source.read(piece):
+        inflate = inflate or zlib.decompressobj(31)
+        try:
+            out.append(inflate.decompress(data))
+        except zlib.error as e:
+            raise WarcError(f"byte {at}: {e}") from e
+        at, data = at + len(data) - len(inflate.unused_data), inflate.unused_data
+        if inflate.eof:
+            yield b"".join(out)
+            inflate, out = None, []
+    if inflate is not None:
+        raise WarcError("archive ends inside a gzip member")
 
 
 def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -107,9 +107,9 @@ def parse_record(member: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:length]
 
 
-def read_archive(data: bytes) -> Iterator[dict]:
+def read_archive(source: BinaryIO) -> Iterator[dict]:
     """The records of an archive in order, with block and payload digests verified."""
-    for member in members(data):
+    for member in members(source):
         headers, block = parse_record(member)
         record = headers.get("warc-record-id")
         if sha1_label(block) != headers["warc-block-digest"]:
@@ -148,7 +148,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         .select(F.col("digest").alias("_digest"), "response_id")
     )
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("response_id")), F.col("response_id"))
-    joined = rows.join(groups, F.col("digest") == F.col("_digest"), "left")
+    # Small payloads match nothing; a key of their own deals them evenly.
+    own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    keyed = rows.withColumn("digest", F.coalesce("digest", own))
+    joined = keyed.join(groups, F.col("digest") == F.col("_digest"), "left")
     return joined.select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
@@ -208,23 +211,22 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """All records of the archives that ``manifest`` lists, one row each.
 
-    A task holds one archive at a time, whose size the writer bounds.
+    An archive is streamed: a task holds one record and the rows it has not passed on.
     """
 
     def read(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = open_folder(folder)
         for frame in frames:
             for name in frame["archive"]:
-                with store.open_input_stream(f"{root}/{name}", compression=None) as source:
-                    data = source.read()
                 rows: list[dict] = []
                 held = 0
-                for record in read_archive(data):
-                    rows.append(record)
-                    held += len(record["payload"] or b"")
-                    if held > 8_000_000:
-                        yield framed(rows)
-                        rows, held = [], 0
+                with store.open_input_stream(f"{root}/{name}", compression=None) as source:
+                    for record in read_archive(source):
+                        rows.append(record)
+                        held += len(record["payload"] or b"")
+                        if held > 8_000_000:
+                            yield framed(rows)
+                            rows, held = [], 0
                 if rows:
                     yield framed(rows)
 
@@ -239,6 +241,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     )
 
 
+#: Tasks that read archives; beyond it a task reads several, one after the other.
+MOST_TASKS = 20_000
 COLUMNS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
 
 
@@ -257,9 +261,12 @@ def roundtrip(pages: DataFrame, folder: str, manifest_path: str) -> DataFrame:
     store.create_dir(root, recursive=True)
     write_archives(pages, folder).write.parquet(manifest_path)
     manifest = spark.read.schema("archive string, records long, bytes long").parquet(manifest_path)
-    # A task for each archive, not for each file of the listing.
     return read_archives(spark, folder, spread(manifest))
 
 
 def spread(manifest: DataFrame) -> DataFrame:
-    return manifest.repartition(F.col("archive"))
+    """The listing in as many partitions as it has archives, up to ``MOST_TASKS``.
+
+    With a number given, Spark does not merge the partitions of so small a table.
+    """
+    return manifest.repartition(max(1, min(manifest.count(), MOST_TASKS)), F.col("archive"))

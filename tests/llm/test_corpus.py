@@ -1,6 +1,7 @@
 """The corpus operators against brute force, and on nulls, ties and empty tables."""
 
 import hashlib
+import io
 import re
 import zlib
 from collections import Counter
@@ -118,13 +119,13 @@ def test_warc_round_trip_and_revisits(spark, tmp_path):
 
 def test_warc_reader_refuses_damage():
     record = warc.page_record(1, "u", b"payload", None, "2024-01-01T00:00:00Z")
-    assert len(list(warc.read_archive(record + record))) == 2
+    assert len(list(warc.read_archive(io.BytesIO(record + record)))) == 2
     with pytest.raises(warc.WarcError):
-        list(warc.read_archive(record[:-9]))
+        list(warc.read_archive(io.BytesIO(record[:-9])))
     plain = zlib.decompress(record, 31).replace(b"payload\r", b"paylord\r")
     squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
     with pytest.raises(warc.WarcError, match="digest"):
-        list(warc.read_archive(squeeze.compress(plain) + squeeze.flush()))
+        list(warc.read_archive(io.BytesIO(squeeze.compress(plain) + squeeze.flush())))
 
 
 def test_license_scan_equals_brute_force(spark):
