@@ -11,7 +11,7 @@ WINDOW = 3
 
 
 def kept_lines(text: Column) -> Column:
-    """The lines of a text that take part: trimmed and not blank."""
+    """The lines of a text that take part: without carriage returns and outer spaces, and not empty."""
     lines = F.transform(F.split(text, "\n", -1), lambda x: F.trim(F.regexp_replace(x, "\r", "")))
     return F.filter(lines, lambda x: x != "")
 
@@ -35,8 +35,8 @@ def window_hashes(lines: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """Remove later occurrences of three-line windows that repeat anywhere.
 
-    Lines are split at line feeds and compared trimmed; blank lines take no part
-    in windows. A window's first occurrence is the one with the least (doc_id,
+    Lines are split at line feeds and compared without carriage returns and outer
+    spaces (tabs count); lines empty then take no part in windows. A window's first occurrence is the one with the least (doc_id,
     text hash, position). Every other occurrence covers its three lines; the
     union of covered lines is removed; blank lines stay. Texts without a covered line are returned byte for
     byte.
@@ -46,7 +46,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     one of fewer than three lines stays as it is. A null doc_id orders first.
     Rows repeated in full are occurrences of one document: they share the same
     first occurrence and are cleaned alike. A text wholly covered becomes empty.
-    Other columns pass through; one named ``lines_removed`` is replaced.
+    Other columns pass through, whatever their names; one named ``lines_removed``
+    is replaced.
     """
     docs = docs.drop("lines_removed")
     keyed = docs.select(
@@ -69,28 +70,30 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("pos").alias("at")),
         "line-covered",
     )
-    marked = docs.withColumn("_key", F.xxhash64("text")).alias("d").join(
+    # All columns of the input travel in one, so that none can clash with a working column.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("key"),
+    )
+    marked = rows.alias("d").join(
         # What is covered grows with the input, so one plan holds at every size.
         covered.hint("merge").alias("c"),
-        F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._key") == F.col("c.text_key")),
+        F.col("d.id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.key") == F.col("c.text_key")),
         "left",
     )
-    changed = F.col("_at").isNotNull()
+    changed = F.col("at").isNotNull()
     staged = (
-        marked.select(
-            *(F.col(f"d.`{c}`") for c in docs.columns),
-            F.col("c.at").alias("_at"),
-            F.when(F.col("c.at").isNotNull(), F.split("d.text", "\n", -1)).alias("_lines"),
-        )
-        .withColumn("_numbers", line_numbers(F.col("_lines")))
-        .withColumn("_gone", covered_lines(F.col("_at"), F.col("_numbers")))
+        marked.select("row", F.col("c.at").alias("at"))
+        .withColumn("parts", F.when(changed, F.split("row.text", "\n", -1)))
+        .withColumn("gone", covered_lines(F.col("at"), line_numbers(F.col("parts"))))
     )
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    cleaned = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
-    text = F.when(changed, cleaned).otherwise(F.col("text")).alias("text")
+    left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    cleaned = F.array_join(F.transform(left, lambda i: F.get(F.col("parts"), i)), "\n")
+    text = F.when(changed, cleaned).otherwise(F.col("row.text")).alias("text")
     return staged.select(
-        *(text if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-        F.when(changed, F.size("_gone")).otherwise(0).cast("long").alias("lines_removed"),
+        *(text if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns),
+        F.when(changed, F.size("gone")).otherwise(0).cast("long").alias("lines_removed"),
     )
 
 
