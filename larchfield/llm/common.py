@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,13 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larchfield.session import materialise, scratch_path, scratch_root
 
-__all__ = ["batches_of", "materialise", "scratch_path", "scratch_root", "table", "text_buffer"]
+__all__ = ["batches_of", "free_name", "materialise", "scratch_path", "scratch_root", "table", "text_buffer"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores behind it until no column has it, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def batches_of(
     batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2_000_000
 ) -> Iterator[pa.RecordBatch]:

@@ -11,8 +11,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larchfield.llm.common import batches_of, text_buffer
+from larchfield.llm.common import batches_of, free_name, text_buffer
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -192,7 +193,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))
     )
     order = F.xxhash64("doc_id", F.lit(5))
-    counts = docs.where("lang is not null").groupBy("lang").count().collect()
+    counts = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("lang").count().collect()
     pick = F.lit(False)
     for row in counts:
         bar = min(2**63 - 1, (2**63 - 1) * 3 * per_language // (2 * row["count"]))
@@ -206,8 +207,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
                 ["lang", "ord", "x"],
             )
 
+    # Copies of a row are one row, so the sample has at most twice ``per_language`` rows a language
+    # but for documents that share a doc_id and differ.
     sample = labelled.where(pick).select("lang", order.alias("ord"), "text")
-    rows = sample.mapInArrow(features, "lang string, ord long, x binary").collect()
+    rows = sample.mapInArrow(features, "lang string, ord long, x binary").distinct().collect()
     rows = sorted(rows, key=lambda r: (r["lang"], r["ord"], bytes(r["x"])))
     taken: dict[str, int] = {}
     chosen = []
@@ -227,14 +230,16 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     and so is every text if there was nothing to learn from; other texts of any
     length get a learned language. Repeated rows are predicted each on its own,
     a null doc_id counts as held out by the checksum of an empty text, and an
-    empty table gives no rows.
+    empty table gives no rows. Other columns pass through, whatever their
+    names, but for names with dots, which PySpark's ``mapInArrow`` does not take.
     """
     docs = docs.drop("held_out", "lang_pred", "score")
     kept = docs.columns
+    flag = free_name(kept, "lettered")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text"):
-            lettered = batch.column("_lettered").to_numpy(zero_copy_only=False)
+            lettered = batch.column(flag).to_numpy(zero_copy_only=False)
             if model is None:
                 names, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             else:
@@ -248,6 +253,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             )
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.withColumns({"held_out": held_out(F.col("doc_id")), "_lettered": lettered})
-    schema = rows.drop("_lettered").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(predict, schema)
+    own = [F.col(f"`{c}`") for c in kept]
+    rows = docs.select(*own, held_out(F.col("doc_id")).alias("held_out"), lettered.alias(flag))
+    schema = T.StructType([*docs.schema.fields, T.StructField("held_out", T.BooleanType())])
+    return rows.mapInArrow(predict, schema.add("lang_pred", T.StringType()).add("score", T.DoubleType()))
