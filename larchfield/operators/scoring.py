@@ -125,17 +125,34 @@ def derive_amounts(claims: DataFrame) -> DataFrame:
     )
 
 
-def add_claim_count(df: DataFrame, key: str = "customer_id") -> DataFrame:
+def customer_counts(claims: DataFrame, policy: DataFrame | None) -> DataFrame:
+    """Claims per customer as (_count_key, customer_claim_count).
+
+    Claims are reduced to one row per policy before they meet the policies, so
+    the joined claims are not worked out a second time. Without policies the
+    policy itself stands in for the customer.
+    """
+    per_policy = (
+        claims.filter(F.col("policyid").isNotNull())
+        .groupBy(F.col("policyid").alias("_count_key"))
+        .agg(F.count("claimid").alias("customer_claim_count"))
+    )
+    if policy is None:
+        return per_policy
+    owners = policy.select(F.col("policy_number").alias("_policy"), F.col("customer_id").alias("_customer"))
+    return (
+        per_policy.join(owners.filter("_customer IS NOT NULL"), F.col("_count_key") == F.col("_policy"))
+        .groupBy(F.col("_customer").alias("_count_key"))
+        .agg(F.sum("customer_claim_count").alias("customer_claim_count"))
+    )
+
+
+def add_claim_count(df: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     """Claims per customer; 1 where the customer is unknown.
 
     The counts are one row per customer, which grows with the data, so they are
     not broadcast by hand.
     """
-    counts = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_count_key"))
-        .agg(F.count("claimid").alias("customer_claim_count"))
-    )
     return (
         df.drop("customer_claim_count")
         .join(counts, F.col(key) == F.col("_count_key"), "left")
@@ -152,18 +169,18 @@ def enrich_claims(
     def current(dim: DataFrame | None) -> DataFrame | None:
         return None if dim is None else current_rows(dim)
 
-    df = derive_amounts(current_rows(claims))
+    claims, policy = current_rows(claims), current(dim_policy)
     df = enrich(
-        df,
-        current(dim_policy),
+        derive_amounts(claims),
+        policy,
         ("policyid", "policy_number"),
         {"customer_id": "customer_id", "policy_csl": "policy_csl"},
     )
     df = enrich(
         df, current(dim_customer), ("customer_id", "customer_id"), {"region": "customer_region"}
     )
-    # Without any policies, the policy itself stands in for the customer.
-    return add_claim_count(df, "policyid" if dim_policy is None else "customer_id")
+    key = "policyid" if policy is None else "customer_id"
+    return add_claim_count(df, customer_counts(claims, policy), key)
 
 
 # --- population statistics ------------------------------------------------------

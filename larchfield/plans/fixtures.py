@@ -18,6 +18,7 @@ from larchfield.operators.scoring import score_claims
 from larchfield.operators.star import build_dim, fact_car_sales, fact_claims
 from larchfield.plans.entities import ENTITIES
 from larchfield.plans.inventory import aging_inventory, demand_signal, redistribution
+from larchfield.session import materialise
 
 # The day on which unsold listings are judged; listings end two weeks earlier.
 AS_OF = "2001-08-15 00:00:00"
@@ -278,13 +279,23 @@ class Lake:
 
     @cached_property
     def fact_claims(self) -> DataFrame:
-        return fact_claims(self.clean("claims"), self.dim_policy, self.dim_customer)
+        return fact_claims(self.clean_claims, self.dim_policy, self.dim_customer)
 
     @cached_property
     def fact_sales(self) -> DataFrame:
         as_of = F.lit(AS_OF).cast("timestamp_ntz")
         return fact_car_sales(self.clean("sales"), self.dim_car, as_of)
 
+    def keep(self, *names: str) -> Lake:
+        """Write the named frames once, as gold tables are, so that several readers share them."""
+        for name in names:
+            setattr(self, name, materialise(getattr(self, name), name.replace("_", "-")))
+        return self
+
+    @cached_property
+    def clean_claims(self) -> DataFrame:
+        return self.clean("claims")
+
     def current(self, dim: str) -> DataFrame:
         return getattr(self, dim).filter("is_current")
 
@@ -304,4 +315,4 @@ class Lake:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return score_claims(self.clean("claims"))
+        return score_claims(self.clean_claims)

@@ -149,34 +149,48 @@ def alert_scored(aging: DataFrame, demand: DataFrame, fast_days: float = 21) ->
     return ranked.withColumn("recommended_action", action)
 
 
-def _listings(scored: DataFrame, move: Column) -> DataFrame:
-    """One row per listing with its best move, so that moves do not multiply the totals."""
-    return scored.groupBy("aging_tier", "stuck_region", "sales_id", "at_risk_revenue").agg(
+def _figures(scored: DataFrame, move: Column) -> DataFrame:
+    """Cars, revenue and best move per tier and region; equal revenues of different cars count once.
+
+    Distinct cars and distinct revenues are counted in steps, each of which groups
+    by one thing more than the next, so no row is copied for a second DISTINCT:
+    moves to listings and their revenues, those to listings, listings to revenues,
+    revenues to tiers and regions.
+    """
+    place = ["aging_tier", "stuck_region"]
+    offers = scored.groupBy(*place, "sales_id", "at_risk_revenue").agg(
         F.max(F.col("demand_region").isNotNull()).alias("movable"), F.max(move).alias("move")
     )
-
-
-def _totals(*extra: Column) -> list[Column]:
-    """Figures of listings per tier and region. Equal revenues of different cars count once."""
-    movable = F.col("movable")
-    return [
-        F.count_distinct("sales_id").alias("cars_at_risk"),
-        F.round(F.sum_distinct("at_risk_revenue"), 0).alias("total_at_risk_revenue"),
-        F.count_distinct(F.when(movable, F.col("sales_id"))).alias("redistributable_cars"),
-        F.round(F.sum_distinct(F.when(movable, F.col("at_risk_revenue"))), 0).alias(
-            "recoverable_revenue"
-        ),
-        *extra,
-    ]
+    # As a rule a listing has one revenue; if not, it is a car at its first one only.
+    listings = offers.groupBy(*place, "sales_id").agg(
+        F.collect_list(F.struct("at_risk_revenue", "movable", "move")).alias("offers"),
+        F.max("movable").alias("car_movable"),
+    )
+    revenues = (
+        listings.select(*place, "car_movable", F.posexplode("offers").alias("nth", "offer"))
+        .groupBy(*place, F.col("offer.at_risk_revenue").alias("revenue"))
+        .agg(
+            F.count_if(F.col("nth") == 0).alias("cars"),
+            F.count_if((F.col("nth") == 0) & F.col("car_movable")).alias("movable_cars"),
+            F.max("offer.movable").alias("recoverable"),
+            F.max("offer.move").alias("move"),
+        )
+    )
+    return revenues.groupBy(*place).agg(
+        F.sum("cars").alias("cars_at_risk"),
+        F.round(F.sum("revenue"), 0).alias("total_at_risk_revenue"),
+        F.sum("movable_cars").alias("redistributable_cars"),
+        F.round(F.sum(F.when(F.col("recoverable"), F.col("revenue"))), 0).alias("recoverable_revenue"),
+        F.max("move").alias("move"),
+    )
 
 
 def alert_summary(scored: DataFrame) -> DataFrame:
     """Cars and revenue by tier and region, most urgent first."""
     urgency = F.array_position(F.array(*(F.lit(name) for name, _ in TIERS)), F.col("aging_tier"))
     return (
-        _listings(scored, F.lit(None).cast("string"))
-        .groupBy("aging_tier", "stuck_region")
-        .agg(*_totals())
+        _figures(scored, F.lit(None).cast("string"))
+        .drop("move")
         .orderBy(urgency, F.desc("total_at_risk_revenue"), "stuck_region")
     )
 
@@ -209,9 +223,9 @@ def alert_regions(scored: DataFrame, top: int | None = 6) -> DataFrame:
         ),
     )
     lines = (
-        _listings(scored.filter(F.col("aging_tier").isin("CRITICAL", "HIGH")), move)
-        .groupBy("stuck_region", "aging_tier")
-        .agg(*_totals(F.coalesce(F.max("move"), F.lit(NO_ACTION)).alias("best_action")))
+        _figures(scored.filter(F.col("aging_tier").isin("CRITICAL", "HIGH")), move)
+        .withColumn("best_action", F.coalesce("move", F.lit(NO_ACTION)))
+        .drop("move")
         .withColumn(
             "recovery_pct",
             share_pct(

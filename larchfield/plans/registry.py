@@ -14,7 +14,7 @@ from larchfield.operators.star import asof_dim_join
 from larchfield.plans import inventory, kpis, marts
 from larchfield.plans.entities import CUSTOMER_SYNONYMS, ENTITIES, KGM_TO_NM, REGIONS, STATES
 from larchfield.plans.fixtures import AS_OF, FAST_DAYS, Lake
-from larchfield.session import apply_runtime_defaults, scratch_path
+from larchfield.session import apply_runtime_defaults, materialise, scratch_path
 from larchfield.sources.files import any_case, ingest_new_files
 from larchfield.sources.tables import overwrite_table, reconcile, table_counts
 from larchfield.streaming.facts import publish_dim, stream_facts
@@ -619,6 +619,7 @@ for _name, _figure in {
 
 @query
 def kpi_bundle(lake: Lake) -> DataFrame:
+    lake.keep("dim_policy", "dim_customer", "dim_car", "fact_claims", "fact_sales")
     return kpis.kpi_bundle(
         {
             "policy_portfolio": kpis.policy_kpis(lake.current("dim_policy")),
@@ -650,12 +651,13 @@ def demand_signal(lake: Lake) -> DataFrame:
 
 @query
 def alert_scored(lake: Lake) -> DataFrame:
+    lake.keep("dim_car", "fact_sales")
     return inventory.alert_scored(lake.aging, lake.demand, FAST_DAYS)
 
 
 @query
 def alert_summary(lake: Lake) -> DataFrame:
-    return inventory.alert_summary(lake.moves)
+    return inventory.alert_summary(lake.keep("dim_car", "fact_sales").moves)
 
 
 @query
@@ -665,11 +667,12 @@ def alert_totals(lake: Lake) -> DataFrame:
 
 @query
 def alert_regions(lake: Lake) -> DataFrame:
-    return inventory.alert_regions(lake.moves)
+    return inventory.alert_regions(lake.keep("dim_car", "fact_sales").moves)
 
 
 @query
 def alert_digest(lake: Lake) -> DataFrame:
+    lake.keep("dim_car", "fact_sales", "aging")
     return inventory.alert_digest(lake.moves, lake.aging)
 
 
@@ -749,6 +752,7 @@ def method_agreement(lake: Lake) -> DataFrame:
 
 def scored_table(lake: Lake) -> DataFrame:
     """Enriched scores, written like any gold table before reports read them."""
+    lake.keep("clean_claims", "scored", "dim_policy")
     enriched = scoring.enrich_claims(lake.scored, lake.dim_policy, lake.dim_customer)
     return overwrite_table(enriched, scratch_path(lake.spark, "scored-claims"))
 
@@ -852,13 +856,14 @@ def retrieval_sources(lake: Lake) -> DataFrame:
     return listed.withColumn("source_policies", F.array_join("source_policies", ","))
 
 
-# The questions asked of the policy documents.
+# Searches for what the fixture's policies hold: its states, limits, deductibles and umbrellas.
 QUESTIONS = (
-    "Which deductible applies, and how much does the umbrella cover?",
-    "Name policies that carry an umbrella and state its limit.",
-    "Do low deductibles come with higher yearly premiums than high ones?",
-    "What liability limits do policies of one state usually have?",
-    "Damage to a fence comes to 450,000 dollars: whose limits would be enough?",
+    "policies of Texas with a deductible of 500",
+    "Which contracts in Virginia hold the limits 250/500?",
+    "annual premium of Ohio policies that have no umbrella",
+    "umbrella of 6,000,000 together with limits 100/300 in Illinois",
+    "deductible 2000, limits 500/1000, North Carolina",
+    "contracts bound in 1996 for customers in Texas",
 )
 
 
@@ -869,9 +874,9 @@ def retrieved(lake: Lake, sizes: tuple[int, int]) -> DataFrame:
     asked = lake.spark.createDataFrame(
         list(enumerate(QUESTIONS, 1)), "query_id int, question string"
     )
-    found = retrieval.topk_cosine(
-        retrieval.embed(asked, "question"), retrieval.embed(corpus, "chunk_text")
-    )
+    # Chunks and their vectors are written once: the search counts them, blocks them and shows them.
+    corpus = materialise(retrieval.embed(corpus, "chunk_text"), "policy-chunks")
+    found = retrieval.topk_cosine(retrieval.embed(asked, "question"), corpus)
     texts = corpus.select("doc_id", "policy_number", "chunk_text")
     return found.join(texts, "doc_id").join(asked, "query_id")
 
