@@ -493,6 +493,13 @@ CHECKS: dict[str, str] = {
         FROM events WHERE event_type = 'error'""",
     "ingest_json_events": f"""SELECT {_EVENT_TEXT}, CAST(NULL AS VARCHAR) AS _rescued_data
         FROM events""",
+    "reconcile_files": """
+        WITH e AS (SELECT *, event_id % 4 AS part FROM events),
+        m AS (SELECT count(DISTINCT user_id) > 1 AS mixed FROM events WHERE event_id IN (4, 8))
+        SELECT count(*) AS raw_count, count(*) AS bronze_count,
+               NOT (part = 0 AND (SELECT mixed FROM m)) AS content_equal, '' AS schema_problems,
+               NOT (part = 0 AND (SELECT mixed FROM m)) AS passed
+        FROM e GROUP BY part""",
     "reconcile_counts": """SELECT event_type, count(*) AS raw_count, count(*) AS bronze_count,
         '' AS schema_problems, true AS passed FROM events GROUP BY event_type""",
     "table_counts": " UNION ALL ".join(

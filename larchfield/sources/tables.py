@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,25 +54,47 @@ def schema_problems(raw: DataFrame, bronze: DataFrame) -> list[str]:
     ]
 
 
+def fingerprint(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two numbers that stand for the content of a group of rows, whatever their order.
+
+    Sums of two unlike 64-bit hashes of a row's columns, in order of their names
+    and as text. A null differs from every text, and a value from the same value
+    in another column. Rows that come twice count twice.
+    """
+    shown = [
+        F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in sorted(columns)
+    ]
+    return tuple(
+        F.sum(F.xxhash64(F.lit(seed), *order).cast("decimal(38,0)")) for seed, order in ((1, shown), (2, shown[::-1]))
+    )
+
+
 def reconcile(raw: DataFrame, bronze: DataFrame, by: str = "_source_file") -> DataFrame:
-    """Rows per source file on both sides, in one job for all files.
+    """Rows and content per source file on both sides, in one job for all files.
 
-    ``passed`` needs equal counts and no schema problem.
+    ``content_equal`` compares fingerprints over the data columns that both sides
+    have, so a value that was changed or swapped with another row's shows where
+    counts do not. ``passed`` needs equal counts, equal content and no schema
+    problem. Each side is reduced to one row per file before they meet.
     """
     problems = F.lit("; ".join(schema_problems(raw, bronze)))
+    shared = [c for c in raw.columns if c in bronze.columns and c not in (*PROVENANCE, by)]
 
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(by).agg(F.count(F.lit(1)).alias(name))
+    def reduced(df: DataFrame, side: str) -> DataFrame:
+        first, second = fingerprint(shared)
+        content = F.struct(first.alias("first"), second.alias("second"))
+        return df.groupBy(by).agg(F.count(F.lit(1)).alias(f"{side}_count"), content.alias(f"{side}_content"))
 
-    both = counts(raw, "raw_count").join(counts(bronze, "bronze_count"), by, "full")
+    both = reduced(raw, "raw").join(reduced(bronze, "bronze"), by, "full")
     return both.select(
         by,
         F.coalesce("raw_count", F.lit(0)).alias("raw_count"),
         F.coalesce("bronze_count", F.lit(0)).alias("bronze_count"),
+        F.col("raw_content").eqNullSafe(F.col("bronze_content")).alias("content_equal"),
         problems.alias("schema_problems"),
     ).withColumn(
         "passed",
-        (F.col("raw_count") == F.col("bronze_count")) & (F.col("schema_problems") == ""),
+        (F.col("raw_count") == F.col("bronze_count")) & F.col("content_equal") & (F.col("schema_problems") == ""),
     )
 
 

@@ -176,3 +176,19 @@ def test_empty_tables_stop_the_run(spark):
     assert {r.table_name: r.record_count for r in counts.collect()} == {"full": 2, "empty": 0}
     with pytest.raises(ValueError, match="empty"):
         tables.require_rows(counts)
+
+
+def test_reconciliation_sees_changed_content(spark):
+    raw = spark.createDataFrame(
+        [("f1", "a", None, 1), ("f1", None, "b", 1), ("f1", "c", "c", 2), ("f2", "x", "y", 3), ("f2", "x", "y", 3)],
+        "_source_file string, u string, v string, n int",
+    )
+    passed = lambda bronze: {r._source_file: r.passed for r in tables.reconcile(raw, bronze).collect()}
+    assert passed(raw.orderBy(F.rand(1)).repartition(3)) == {"f1": True, "f2": True}
+    # Two values swapped between rows, between columns, and a row doubled for another.
+    swapped = raw.withColumn("n", F.when(F.col("u") == "c", 1).when(F.col("u") == "a", 2).otherwise(F.col("n")))
+    assert passed(swapped) == {"f1": False, "f2": True}
+    crossed = raw.select("_source_file", F.col("v").alias("u"), F.col("u").alias("v"), "n")
+    assert passed(crossed)["f2"] is False
+    doubled = raw.where("_source_file = 'f2'").union(raw.where("u = 'a'")).union(raw.where("u = 'a'")).union(raw.where("u = 'c'"))
+    assert passed(doubled) == {"f1": False, "f2": True}
