@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,6 +24,7 @@ SMALL_BUCKET = 32
 # Of 48 samples a pair at 0.8 shares fewer than 24 with a probability of 8e-7.
 LEAST_SAME = 24
 BLOCK = 1024
+BLOCK_BYTES = 4_000_000
 
 
 def word_bucket(words: np.ndarray) -> np.ndarray:
@@ -183,7 +184,7 @@ def candidate_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     In a bucket of up to 32 keys all pairs are taken. In a larger one every
     member is paired with one leader first: the key that shares most buckets with
     others, which in a family of copies is the one that the others resemble.
-    What that leaves apart is compared by ``residual_pairs``.
+    What that leaves apart is compared by ``residual_links``.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialise(members.join(sizes, "bucket"), "bucket-members")
@@ -204,74 +205,125 @@ def candidate_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.select("a", "b").where("a < b").union(stars.where("a < b")).distinct(), led
 
 
-def residual_pairs(large: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b, same) of members of large buckets that are in different components.
+def residual_links(
+    large: DataFrame, nodes: DataFrame, roots: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float
+) -> DataFrame:
+    """Verified links (a, b) that join members of large buckets in different components.
 
     Every member outside the bucket's largest component meets all members, in a
-    grid of blocks of 1,024 keys. A pair is taken if 24 of the 48 samples are the
-    same, and only in the first bucket that both share.
+    grid of blocks of at most 1,024 keys and about ``BLOCK_BYTES`` of text. Texts
+    come along, so a cell verifies its pairs itself and sends on a spanning forest
+    of what it has linked: fewer links than it has members, however many pairs
+    are alike.
     """
     labelled = large.select("bucket", "band", "key").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    labelled = materialise(labelled.withColumn("root", F.coalesce("root", "key")), "bucket-roots")
+    sized = texts.select("key", F.octet_length("text").alias("bytes"))
+    labelled = labelled.withColumn("root", F.coalesce("root", "key")).join(sized, "key")
+    labelled = materialise(labelled, "bucket-roots")
     tops = (
         labelled.groupBy("bucket", "root")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
         .groupBy("bucket")
-        .agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("total"))
+        .agg(F.max(F.struct("n", "root", "bytes")).alias("top"), F.sum("n").alias("total"), F.sum("bytes").alias("bytes"))
         .select(
             "bucket",
             F.col("top.root").alias("main"),
-            F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("lefts"),
-            F.ceil(F.col("total") / BLOCK).cast("int").alias("rights"),
+            blocks(F.col("total") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("lefts"),
+            blocks(F.col("total"), F.col("bytes")).alias("rights"),
+            (F.col("total") - F.col("top.n")).alias("others"),
         )
-        .where("lefts > 0")
+        .where("others > 0")
     )
-    apart = materialise(labelled.join(tops, "bucket").join(nodes, "key"), "bucket-apart")
-    block, fields = F.xxhash64("key", F.lit(1)), ("bucket", "band", "key", "root", "main", "samples")
+    apart = labelled.drop("bytes").join(tops, "bucket").join(nodes, "key").join(texts, "key")
+    fields = ("bucket", "band", "key", "root", "main", "samples", "text")
+    block = F.xxhash64("key", F.lit(1))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         spread = rows.withColumn(own[:-1], F.pmod(block, F.col(own)).cast("int"))
         spread = spread.withColumn(other[:-1], F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         return spread.select(*fields, "left", "right").groupBy("bucket", "left", "right")
 
+    def link(left: pa.Table, right: pa.Table) -> pa.Table:
+        return link_blocks(left, right, idf, threshold)
+
     left = dealt(apart.where("root <> main"), "lefts", "rights")
-    right = dealt(apart, "rights", "lefts")
-    return left.cogroup(right).applyInArrow(compare_blocks, "a binary, b binary, same int")
+    # Columns named anew tell the two sides of this self-join apart.
+    right = dealt(apart.toDF(*apart.columns), "rights", "lefts")
+    return left.cogroup(right).applyInArrow(link, "a binary, b binary")
+
+
+def blocks(rows: Column, size: Column) -> Column:
+    """How many blocks hold so many keys with so many bytes of text."""
+    return F.greatest(F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
 
+def link_blocks(left: pa.Table, right: pa.Table, idf: np.ndarray, threshold: float) -> pa.Table:
+    """Links of one block of a bucket's grid: a forest over the components that its verified pairs join.
 
-def compare_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Pairs of one block of a bucket's grid that share enough samples."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    A pair is tried if 24 of the 48 samples are the same, only in the first bucket
+    that both keys share, and only while its keys are in different components;
+    pairs that share more samples come first.
+    """
     size = left.num_rows
     both = pa.concat_tables([left, right.select(left.column_names)]).combine_chunks()
     if not size or not right.num_rows:
-        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary()), "same": pa.array([], pa.int32())})
-    code = {c: codes(both.column(c)) for c in ("key", "root")}
+        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+    key, part = codes(both.column("key")), codes(both.column("root"))
     drawn = both.column("samples").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     drawn = drawn.reshape(-1, BANDS * ROWS)
     main = np.array([r == m for r, m in zip(right["root"].to_pylist(), right["main"].to_pylist(), strict=True)])
     early = int(left["band"][0].as_py()) * ROWS
     other, turned = drawn[size:], np.ascontiguousarray(drawn[size:].T)
+    similar = Similarity(both.column("text").combine_chunks(), idf)
+    found: list[tuple[int, int]] = []
     for at in range(size):
         same = np.zeros(len(other), np.uint8)
         for k in range(BANDS * ROWS):
             same += turned[k] == drawn[at, k]
         # Of two members outside the main component each pair comes up twice.
-        open_pairs = (same >= LEAST_SAME) & (code["root"][size:] != code["root"][at])
-        hit = np.flatnonzero(open_pairs & (main | (code["key"][size:] > code["key"][at])))
+        hit = np.flatnonzero((same >= LEAST_SAME) & (main | (key[size:] > key[at])))
         if early and len(hit):
             shared = (other[hit, :early] == drawn[at, :early]).reshape(len(hit), -1, ROWS)
             hit = hit[~shared.all(axis=2).any(axis=1)]
-        found.append((np.full(len(hit), at), hit + size, same[hit]))
-    first, second, same = (np.concatenate(x) for x in zip(*found, strict=True))
-    swap = code["key"][first] > code["key"][second]
+        hit = hit[np.argsort(-same[hit].astype(np.int64), kind="stable")] + size
+        tried = 16
+        while len(hit := hit[part[hit] != part[at]]):
+            now, hit = hit[:tried], hit[tried:]
+            tried *= 4
+            for match in now[similar.to(at, now) >= threshold]:
+                if part[match] != part[at]:
+                    part[part == part[match]] = part[at]
+                    found.append((at, int(match)))
+    first, second = np.array(found, np.int64).reshape(-1, 2).T
+    swap = key[first] > key[second]
     keys = both.column("key").combine_chunks()
-    lower, upper = np.where(swap, second, first), np.where(swap, first, second)
     return pa.table(
-        {"a": keys.take(pa.array(lower)), "b": keys.take(pa.array(upper)), "same": pa.array(same.astype(np.int32))}
+        {"a": keys.take(pa.array(np.where(swap, second, first))), "b": keys.take(pa.array(np.where(swap, first, second)))}
     )
 
 
+class Similarity:
+    """Weighted Jaccard similarity of one of some texts to several others."""
+
+    def __init__(self, texts: pa.Array, idf: np.ndarray) -> None:
+        _, shingles, weights, self.starts = features(texts, idf)
+        names, self.shingles = np.unique(shingles, return_inverse=True)
+        self.weights = weights.astype(np.float64)
+        self.totals = np.add.reduceat(np.append(self.weights, 0.0), self.starts[:-1]) * (np.diff(self.starts) > 0)
+        self.own = np.zeros(len(names))
+
+    def to(self, one: int, others: np.ndarray) -> np.ndarray:
+        mine = slice(self.starts[one], self.starts[one + 1])
+        self.own[self.shingles[mine]] = self.weights[mine]
+        sizes = np.diff(self.starts)[others]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[others] - ends + sizes, sizes) + np.arange(int(ends[-1]))
+        lesser = np.minimum(self.own[self.shingles[at]], self.weights[at])
+        shared = np.bincount(np.repeat(np.arange(len(others)), sizes), lesser, minlength=len(others))
+        self.own[self.shingles[mine]] = 0.0
+        return shared / np.maximum(self.totals[one] + self.totals[others] - shared, 1e-12)
+
+
 def codes(values: pa.ChunkedArray) -> np.ndarray:
     """The rank of each value among the distinct ones, in byte order."""
     encoded = values.combine_chunks().dictionary_encode()
@@ -281,14 +333,6 @@ def codes(values: pa.ChunkedArray) -> np.ndarray:
     return rank[encoded.indices.to_numpy()]
 
 
-def apart_only(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those of the pairs whose keys are in different components."""
-    for side in ("a", "b"):
-        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        pairs = pairs.join(named, side, "left")
-    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "same")
-
-
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """Those of the pairs (a, b) of keys whose weighted Jaccard similarity is enough."""
 
@@ -358,8 +402,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Members of a bucket with more than 32 keys are compared with one leader
     first. Then every member outside the bucket's largest component is compared
     with all members that are in another component, by samples (a pair at 0.8 is
-    missed with a probability of 1 in 1,200,000 more) and then exactly. The work
-    of this step grows with the members apart times the members of the bucket.
+    missed with a probability of 1 in 1,200,000 more) and then exactly, inside
+    blocks of a grid that send on links only. The comparisons of this step, though
+    not its rows, grow with the members apart times the members of the bucket.
 
     One row per row of ``docs``. A text that is null, empty or without words is
     a class of its own, also when repeated (class_id is its doc_id); repeated
@@ -370,38 +415,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_classes(rooted_rows(docs, threshold))
 
 
-def link_residuals(
-    large: DataFrame,
-    nodes: DataFrame,
-    done: DataFrame,
-    links: DataFrame,
-    roots: DataFrame,
-    texts: DataFrame,
-    idf: np.ndarray,
-    threshold: float,
-) -> DataFrame:
-    """Components after all members of large buckets that were apart have been compared.
-
-    First each key is verified with the key it shares most samples with, then
-    every pair that is still in different components. Pairs inside a component
-    need no check, since they cannot change the classes.
-    """
-    rest = residual_pairs(large, nodes, roots).join(done, ["a", "b"], "left_anti")
-    rest = materialise(rest, "residual-pairs")
-    either = rest.union(rest.select("b", "a", "same")).toDF("key", "other", "same")
-    best = either.groupBy("key").agg(F.max(F.struct("same", "other")).alias("top"))
-    nearest = best.select(F.least("key", "top.other").alias("a"), F.greatest("key", "top.other").alias("b")).distinct()
-    for pick in (nearest, None):
-        if rest.isEmpty():
-            break
-        pairs = materialise(rest.select("a", "b") if pick is None else pick, "pairs")
-        links = links.union(materialise(verified(pairs, texts, idf, threshold).select("a", "b"), "verified"))
-        roots = materialise(components(links), "roots")
-        if pick is not None:
-            rest = materialise(apart_only(rest.join(pairs, ["a", "b"], "left_anti"), roots), "residual-pairs")
-    return roots
-
-
 def rooted_rows(docs: DataFrame, threshold: float) -> DataFrame:
     """doc_id, mark of the text, key and root key of the class, a row per row of ``docs``."""
     idf = inverse_frequencies(docs)
@@ -415,7 +428,8 @@ def rooted_rows(docs: DataFrame, threshold: float) -> DataFrame:
     links = materialise(verified(pairs, texts, idf, threshold).select("a", "b"), "verified")
     roots = materialise(components(links), "roots")
     if not large.isEmpty():
-        roots = link_residuals(large, nodes, pairs, links, roots, texts, idf, threshold)
+        more = residual_links(large, nodes, roots, texts, idf, threshold)
+        roots = materialise(components(links.union(materialise(more, "residual-links"))), "roots")
     return signed.join(roots, F.col("key") == F.col("node"), "left").select(
         "doc_id", "mark", "key", F.coalesce("root", "key").alias("root")
     )

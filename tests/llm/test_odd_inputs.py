@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from larchfield.llm import language, lines, packing, warc
+from larchfield.llm import language, lines, minhash, packing, warc
 
 ODD_TEXTS = [
     "<|endoftext|> hi", "a<|startoftext|>b<|endoftext|>", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> it's we'll",
@@ -104,3 +104,49 @@ def test_members_are_read_piece_by_piece():
     assert list(warc.members(Slow(data), 7)) == texts
     with pytest.raises(warc.WarcError, match="inside"):
         list(warc.members(Slow(data[:-3]), 7))
+
+
+def test_block_similarity_equals_the_pairwise_one():
+    texts = pa.array(["a b c d e f g h i", "a b c d e f g h j", "x", "", "a b c d e f g h i " * 3, None, "k l m n o p"], pa.string())
+    idf = np.random.default_rng(1).random(minhash.WORD_BUCKETS).astype(np.float32) + 1
+    some = minhash.Similarity(texts, idf)
+    for i in range(len(texts)):
+        want = minhash.weighted_jaccard(pa.array([texts[i].as_py()] * len(texts), pa.string()), texts, idf)
+        assert np.allclose(some.to(i, np.arange(len(texts))), want)
+
+
+def test_a_block_sends_on_a_forest():
+    dice = np.random.default_rng(3)
+    base = [f"w{x}" for x in dice.integers(0, 500, 300)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for at in dice.choice(300, 1 + i % 9, replace=False):
+            words[at] = f"n{i}x{at}"
+        texts.append(" ".join(words))
+    column = pa.array(texts)
+    idf = np.ones(minhash.WORD_BUCKETS, np.float32)
+    _, shingles, weights, starts = minhash.features(column, idf)
+    drawn = (minhash.samples(shingles, weights, starts) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    keys = [bytes([i]) * 16 for i in range(60)]
+    table = pa.table({
+        "bucket": pa.array([1] * 60), "band": pa.array([0] * 60), "key": pa.array(keys, pa.binary()),
+        "root": pa.array(keys, pa.binary()), "main": pa.array([b"none"] * 60, pa.binary()),
+        "samples": pa.array(list(drawn), pa.list_(pa.int32())), "text": column,
+    })
+    links = minhash.link_blocks(table, table, idf, 0.8)
+    groups = {k: k for k in keys}
+
+    def root(k):
+        while groups[k] != k:
+            k = groups[k]
+        return k
+
+    for a, b in zip(links["a"].to_pylist(), links["b"].to_pylist()):
+        assert root(a) != root(b)
+        groups[root(a)] = root(b)
+    some = minhash.Similarity(column, idf)
+    for i in range(60):
+        for j in np.flatnonzero(some.to(i, np.arange(60)) >= 0.8):
+            assert root(keys[i]) == root(keys[j])
+    assert 10 < links.num_rows < 60
