@@ -8,9 +8,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from larchfield.session import materialise, scratch_path, scratch_root
+from larchfield.session import apply_runtime_defaults, materialise, scratch_path, scratch_root
 
-__all__ = ["batches_of", "free_name", "materialise", "scratch_path", "scratch_root", "table", "text_buffer"]
+__all__ = ["batches_of", "free_name", "materialise", "scratch_path", "scratch_root", "table", "text_buffer", "tuned"]
+
+
+#: Rows that go to a Python worker at a time. Texts make rows wide, and a batch is held on both sides.
+ARROW_ROWS = 1000
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The runtime defaults and small Arrow batches, on a session somebody else built."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return apply_runtime_defaults(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

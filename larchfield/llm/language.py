@@ -11,7 +11,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larchfield.llm.common import batches_of, free_name, text_buffer
 
@@ -230,30 +229,28 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     and so is every text if there was nothing to learn from; other texts of any
     length get a learned language. Repeated rows are predicted each on its own,
     a null doc_id counts as held out by the checksum of an empty text, and an
-    empty table gives no rows. Other columns pass through, whatever their
-    names, but for names with dots, which PySpark's ``mapInArrow`` does not take.
+    empty table gives no rows. Other columns pass through, whatever their names.
     """
     docs = docs.drop("held_out", "lang_pred", "score")
-    kept = docs.columns
-    flag = free_name(kept, "lettered")
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(batches, "text"):
-            lettered = batch.column(flag).to_numpy(zero_copy_only=False)
-            if model is None:
-                names, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            else:
-                names, score = model.predict(batch.column("text"))
-                names = [n if ok else UNKNOWN for n, ok in zip(names, lettered, strict=True)]
-                score = np.where(lettered, score, 0.0)
-            columns = [batch.column(c) for c in [*kept, "held_out"]]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                [*kept, "held_out", "lang_pred", "score"],
-            )
 
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(texts: pa.Array) -> pa.Array:
+        names: list[str] = []
+        scores: list[np.ndarray] = []
+        for batch in batches_of(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
+            found, score = model.predict(batch.column("text"))
+            names.extend(found)
+            scores.append(score)
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(np.concatenate(scores), pa.float64())], ["lang_pred", "score"]
+        )
+
+    # Only texts go to Python; all other columns stay where they are.
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    own = [F.col(f"`{c}`") for c in kept]
-    rows = docs.select(*own, held_out(F.col("doc_id")).alias("held_out"), lettered.alias(flag))
-    schema = T.StructType([*docs.schema.fields, T.StructField("held_out", T.BooleanType())])
-    return rows.mapInArrow(predict, schema.add("lang_pred", T.StringType()).add("score", T.DoubleType()))
+    unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = unknown if model is None else F.when(lettered, predict(text)).otherwise(unknown)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    flag = free_name(docs.columns, "found")
+    rows = docs.select(*own, held_out(F.col("doc_id")).alias("held_out"), found.alias(flag))
+    return rows.select(*own, "held_out", f"{flag}.lang_pred", f"{flag}.score")

@@ -9,9 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from larchfield.llm.common import batches_of, materialise
+from larchfield.llm.common import batches_of, free_name, materialise
 from larchfield.llm.components import components
 from larchfield.llm.hashing import mix, rows_of, shingle_hashes, word_hashes
 
@@ -447,7 +446,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class: of its least doc_id, of that the text with the least MD5.
 
     A null doc_id leads only a class without other ids. Of rows that share both
-    id and text one stays. Documents without words all stay.
+    id and text one stays, that with the least hash of its columns. Documents
+    without words all stay. Other columns pass through, whatever their names.
     """
     rooted = materialise(rooted_rows(docs, threshold).where("root is not null"), "rooted")
     held = rooted.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
@@ -455,13 +455,16 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lead = held.groupBy("root").agg(first.alias("lead"))
     held = held.join(lead, "root")
     leads = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("mark") == F.col("lead.mark"))
-    named = [F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark")]
+    of_id, of_mark = (free_name(docs.columns, name) for name in ("of_id", "of_mark"))
+    named = [F.col("doc_id").alias(of_id), F.col("mark").alias(of_mark)]
     gone = materialise(held.where(~leads).select(*named), "gone")
     repeated = materialise(held.where(leads & (F.col("n") > 1)).select(*named), "repeated")
     mark = F.md5(F.col("text").cast("string"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("of_id")) & (mark == F.col("of_mark"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (mark == F.col(of_mark))
     single = docs.join(gone.union(repeated), same, "left_anti")
-    place = next(name for name in (f"place{i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
-    ordered = Window.partitionBy(F.col("doc_id").cast("long"), mark).orderBy(F.xxhash64(*docs.columns))
-    once = docs.join(repeated, same, "left_semi").withColumn(place, F.row_number().over(ordered))
-    return single.union(once.where(F.col(place) == 1).select(*docs.columns))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    order = F.xxhash64(*(F.to_json(F.struct(c)) for c in own))
+    # One row is kept per task already, so a row repeated without end is never gathered.
+    once = docs.join(repeated, same, "left_semi").groupBy(F.col("doc_id").cast("long"), mark)
+    once = once.agg(F.min_by(F.struct(*own), order).alias("row"))
+    return single.union(once.select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))

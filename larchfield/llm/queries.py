@@ -22,7 +22,7 @@ from larchfield.llm import (
     toxicity,
     warc,
 )
-from larchfield.llm.common import scratch_path, table
+from larchfield.llm.common import scratch_path, table, tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,7 +30,7 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(tuned(spark), sf_dir)
     return build
 
 

@@ -6,7 +6,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from larchfield.llm import language, lines, minhash, packing, warc
 
@@ -45,7 +44,7 @@ def test_special_tokens_are_packed_as_dealt(spark):
         assert all(p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) for p in own)
 
 
-CLASHES = ["_key", "_at", "_gone", "_lines", "_numbers", "row", "key", "at", "gone", "parts", "id", "a b", "d.x", "lettered", "_lettered"]
+CLASHES = ["of_id", "of_mark", "found", "_key", "_at", "_gone", "_lines", "_numbers", "row", "key", "at", "gone", "parts", "id", "a b", "d.x", "lettered", "_lettered"]
 
 
 def clashing(spark, rows):
@@ -53,8 +52,8 @@ def clashing(spark, rows):
     return spark.createDataFrame([(i, t, lang, *(f"{c}-{i}" for c in CLASHES)) for i, t, lang in rows], schema)
 
 
-def values_kept(found, names=CLASHES):
-    return all(r[c] == f"{c}-{r['doc_id']}" for r in found for c in names)
+def values_kept(found):
+    return all(r[c] == f"{c}-{r['doc_id']}" for r in found for c in CLASHES)
 
 
 def test_line_dedup_keeps_columns_of_any_name(spark):
@@ -72,9 +71,8 @@ def test_tabs_count_in_lines(spark):
 
 def test_language_keeps_columns_of_any_name(spark):
     docs = clashing(spark, [(i, f"the text of number {i}" if i % 2 else f"der Text der Nummer {i}", "en" if i % 2 else "de") for i in range(60)])
-    docs = docs.drop(F.col("`d.x`"))
     found = language.identify(docs, language.train(docs)).collect()
-    assert values_kept(found, set(CLASHES) - {"d.x"}) and len(found) == 60
+    assert values_kept(found) and len(found) == 60
 
 
 def test_held_out_rows_do_not_move_the_sample(spark):
@@ -150,3 +148,10 @@ def test_a_block_sends_on_a_forest():
         for j in np.flatnonzero(some.to(i, np.arange(60)) >= 0.8):
             assert root(keys[i]) == root(keys[j])
     assert 10 < links.num_rows < 60
+
+
+def test_one_of_repeated_rows_is_kept_with_columns_of_any_name(spark):
+    rows = [(i, f"text number {i} with words of its own", None) for i in range(4)] + [(1, "text number 1 with words of its own", None)] * 40
+    rows += [(None, "text number 2 with words of its own", None)]
+    found = minhash.keep_one(clashing(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 1, 2, 3] and values_kept(found)
