@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larchfield.llm import contamination, language, lines, minhash, packing
-from larchfield.llm.common import materialise, table
+from larchfield.llm.common import materialise, table, tuned
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rejected are documents that are null or without a letter.
     """
+    tuned(spark)
     named = language.identify(docs, language.train(docs))
     kept = named.where(F.col("lang_pred") != language.UNKNOWN)
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
@@ -21,6 +22,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove repeated windows of lines; documents with nothing left go."""
+    tuned(spark)
     cleaned = lines.dedup_lines(docs)
     emptied = (F.col("lines_removed") > 0) & (F.regexp_replace("text", r"\s", "") == "")
     sized = cleaned.where(~emptied).withColumn("n_chars", F.length("text").cast("long"))
@@ -29,17 +31,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class."""
+    tuned(spark)
     return minhash.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove documents that leak an item of the benchmark."""
+    tuned(spark)
     found = contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.where(~F.col("contaminated")).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of 2048 tokens, mixed by source."""
+    tuned(spark)
     return packing.pack(docs, packing.default_tokenizer()).drop("queue")
 
 
