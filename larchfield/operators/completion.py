@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +160,29 @@ def extract_text(answer: str | Column, mode: str = "all") -> Column:
     return F.coalesce(stripped(F.when(is_list, found).otherwise(trimmed)), F.lit(""))
 
 
+@dataclass(frozen=True)
+class Patience:
+    """How often and how slowly a failing call is tried again."""
+
+    retries: int = 3
+    wait: float = 2.0
+    rate_limit_wait: float = 10.0
+    delay: float = 0.0
+
+    def ask(self, client: Client, text: str) -> tuple[str, str]:
+        for attempt in range(self.retries + 1):
+            if self.delay:
+                time.sleep(self.delay)
+            try:
+                return client(text), "success"
+            except Exception as error:  # noqa: BLE001 - any client error is recorded on the row
+                message = str(error)
+                limited = "429" in message or "REQUEST_LIMIT_EXCEEDED" in message
+                if attempt < self.retries:
+                    time.sleep(self.rate_limit_wait * 2 ** (attempt + 1) if limited else self.wait)
+        return f"[LLM_ERROR after {self.retries + 1} attempts: {message}]", "error"
+
+
 def complete(
     df: DataFrame,
     prompt: str,
@@ -167,38 +193,105 @@ def complete(
     delay: float = 0.0,
     response: str = "response",
     status: str = "generation_status",
+    log: str | None = None,
 ) -> DataFrame:
     """Send every prompt to a client and keep each row with its answer and status.
 
     ``client_factory`` runs once per task. A call that fails is tried ``retries``
     more times, with growing pauses after a rate-limit error; then the answer is
     an ``[LLM_ERROR ...]`` text and the status ``error``. The number of calls in
-    flight is the number of running tasks: repartition ``df`` to limit it. A
+    flight is the number of running tasks: repartition ``df`` to limit it.
+
+    With ``log``, a folder that all executors share, equal prompts are asked once,
+    and an answer is stored as soon as it is there. A task that is lost, a second
+    evaluation and a later run find it there and do not call again. Without it a
     lost task repeats its calls.
     """
+    patience = Patience(retries, wait, rate_limit_wait, delay)
+    if log is not None:
+        return _answered(df, prompt, client_factory, patience, response, status, AnswerLog(log))
     schema = df.select(
         "*", F.lit("").alias(response), F.lit("").alias(status)
     ).schema
 
-    def ask(client: Client, text: str) -> tuple[str, str]:
-        for attempt in range(retries + 1):
-            if delay:
-                time.sleep(delay)
-            try:
-                return client(text), "success"
-            except Exception as error:  # noqa: BLE001 - any client error is recorded on the row
-                message = str(error)
-                limited = "429" in message or "REQUEST_LIMIT_EXCEEDED" in message
-                if attempt < retries:
-                    time.sleep(rate_limit_wait * 2 ** (attempt + 1) if limited else wait)
-        return f"[LLM_ERROR after {retries + 1} attempts: {message}]", "error"
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         for frame in frames:
-            answers = [ask(client, text) for text in frame[prompt]]
+            answers = [patience.ask(client, text) for text in frame[prompt]]
             yield frame.assign(
                 **{response: [a for a, _ in answers], status: [s for _, s in answers]}
             )
 
     return df.mapInPandas(run, schema)
+
+
+@dataclass(frozen=True)
+class AnswerLog:
+    """Answers by the hash of their prompt, in a folder per bucket of hashes.
+
+    Each stored answer is a file of its own that appears under its name at once,
+    so tasks need no agreement: two that race store the same name.
+    """
+
+    folder: str
+    buckets: int = 1024
+
+    def store(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.folder if "://" in self.folder or self.folder.startswith("file:") else f"file://{self.folder}")
+
+    def known(self, bucket: int) -> dict[str, str]:
+        """Stored answers of one bucket by prompt hash."""
+        store, root = self.store()
+        found = store.get_file_info(fs.FileSelector(f"{root}/{bucket}", allow_not_found=True))
+        names = [f.path for f in found if f.path.endswith(".txt")]
+        return {name.rpartition("/")[2].removesuffix(".txt"): self._read(store, name) for name in names}
+
+    def _read(self, store: fs.FileSystem, path: str) -> str:
+        with store.open_input_stream(path) as source:
+            return source.read().decode()
+
+    def keep(self, bucket: int, prompt_id: str, answer: str) -> None:
+        store, root = self.store()
+        store.create_dir(f"{root}/{bucket}", recursive=True)
+        draft = f"{root}/{bucket}/{prompt_id}.{uuid.uuid4().hex}"
+        with store.open_output_stream(draft) as sink:
+            sink.write(answer.encode())
+        store.move(draft, f"{root}/{bucket}/{prompt_id}.txt")
+
+
+def _answered(
+    df: DataFrame,
+    prompt: str,
+    client_factory: Callable[[], Client],
+    patience: Patience,
+    response: str,
+    status: str,
+    log: AnswerLog,
+) -> DataFrame:
+    """``complete`` over distinct prompts, by way of the log."""
+    keyed = df.withColumn("_prompt_id", F.sha2(F.col(prompt), 256))
+    bucket = F.pmod(F.xxhash64("_prompt_id"), F.lit(log.buckets)).cast("int")
+    asked = keyed.filter("_prompt_id IS NOT NULL").groupBy("_prompt_id").agg(F.first(prompt).alias("_prompt"))
+    # A bucket lies in one task, which reads its stored answers once.
+    dealt = asked.withColumn("_bucket", bucket).repartition("_bucket").sortWithinPartitions("_bucket")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client, at, known = client_factory(), None, {}
+        for frame in frames:
+            found = []
+            for prompt_id, text, number in zip(frame["_prompt_id"], frame["_prompt"], frame["_bucket"], strict=True):
+                if number != at:
+                    at, known = number, log.known(number)
+                if prompt_id in known:
+                    found.append((known[prompt_id], "success"))
+                    continue
+                answer, outcome = patience.ask(client, text)
+                if outcome == "success":
+                    log.keep(number, prompt_id, answer)
+                found.append((answer, outcome))
+            yield pd.DataFrame(
+                {"_prompt_id": frame["_prompt_id"], response: [a for a, _ in found], status: [s for _, s in found]}
+            )
+
+    schema = f"_prompt_id string, `{response}` string, `{status}` string"
+    return keyed.join(dealt.mapInPandas(run, schema), "_prompt_id", "left").drop("_prompt_id")

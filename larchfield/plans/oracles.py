@@ -959,6 +959,18 @@ def _needed(text: str) -> list[str]:
     return order
 
 
+# The stand-in client answers with the number of characters of its prompt.
+CHECKS["dq_explanations"] = f"""
+    SELECT q.*, concat(length(p.prompt), ' characters') AS ai_explanation,
+           'success' AS generation_status, 'stand-in' AS model_name, '{AS_OF}' AS generated_at,
+           'run-1' AS _gold_run_id
+    FROM ({CHECKS['dq_issue_seq']}) q JOIN ({CHECKS['dq_prompt']}) p USING (issue_id)"""
+
+CHECKS["claim_briefs"] = f"""
+    SELECT claimid, concat(length(prompt), ' characters') AS brief, 'success' AS generation_status
+    FROM ({CHECKS['brief_prompt']})"""
+
+
 def oracle(name: str) -> str:
     text = CHECKS[name]
     steps = ",\n".join(f"{s} AS MATERIALIZED ({STEPS[s]})" for s in _needed(text))

@@ -973,22 +973,38 @@ def dq_prompt(lake: Lake) -> DataFrame:
     return completion.dq_prompt(dq_issue_log(lake)).select("issue_id", "prompt")
 
 
+def answered(lake: Lake, prompts: DataFrame) -> DataFrame:
+    """Answers of the stand-in client, by way of an answer log."""
+    log = scratch_path(lake.spark, "answers")
+    return completion.complete(prompts, "prompt", EchoClient, response="raw", log=log)
+
+
 @query
 def dq_explanations(lake: Lake) -> DataFrame:
     """The explanation report: issues in order with a stand-in answer each."""
-    prompts = completion.dq_prompt(issues.sequence_issues(dq_issue_log(lake)))
-    answered = completion.complete(prompts, "prompt", EchoClient, response="raw")
-    return answered.withColumn("ai_explanation", completion.extract_text("raw")).select(
+    log = materialise(dq_issue_log(lake), "issue-log")
+    prompts = completion.dq_prompt(issues.sequence_issues(log))
+    found = answered(lake, prompts).withColumn("ai_explanation", completion.extract_text("raw"))
+    return found.select(
         *issues.ISSUE_COLUMNS,
         "issue_seq",
         "ai_explanation",
         "generation_status",
         F.lit("stand-in").alias("model_name"),
-        F.current_timestamp().cast("string").alias("generated_at"),
+        F.lit(AS_OF).alias("generated_at"),
         F.lit("run-1").alias("_gold_run_id"),
     )
 
 
+@query
+def claim_briefs(lake: Lake) -> DataFrame:
+    """Briefs on flagged claims; those with equal prompts are asked for once."""
+    flagged = scored_table(lake).filter(scoring.is_flagged())
+    prompts = completion.brief_prompt(flagged).select("claimid", "prompt")
+    found = answered(lake, prompts)
+    return found.select("claimid", completion.extract_text("raw").alias("brief"), "generation_status")
+
+
 @query
 def brief_prompt(lake: Lake) -> DataFrame:
     flagged = scored_table(lake).filter(scoring.is_flagged())

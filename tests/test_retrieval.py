@@ -173,6 +173,43 @@ def test_failing_client_loses_no_row(spark, rows):
     ]
 
 
+class CountingClient:
+    """Notes every call in a file, and brings its task down once, late in the work."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self, prompt):
+        with open(f"{self.folder}/calls", "a") as calls:
+            calls.write(f"{prompt}\n")
+        if prompt == "bad":
+            raise RuntimeError("no answer")
+        if prompt == "p17" and not (self.folder / "failed").exists():
+            (self.folder / "failed").touch()
+            raise SystemExit("lost")
+        return prompt.upper()
+
+
+def test_answers_are_asked_for_once_across_lost_tasks_and_runs(spark, rows, tmp_path):
+    prompts = [(i, f"p{i % 25}") for i in range(60)] + [(60, None), (61, "bad"), (62, "")]
+    df = spark.createDataFrame(prompts, "id int, prompt string")
+    run = lambda: completion.complete(
+        df, "prompt", lambda: CountingClient(tmp_path), retries=0, wait=0, log=f"{tmp_path}/log"
+    )
+    with pytest.raises(Exception, match="lost|aborted|SystemExit"):
+        run().collect()
+    before = (tmp_path / "calls").read_text().split("\n")
+    assert "p17" in before
+    want = [(i, None if p is None else "[LLM_ERROR after 1 attempts: no answer]" if p == "bad" else p.upper()) for i, p in prompts]
+    out = run()
+    assert rows(out, "id", "response") == sorted(want, key=repr)
+    assert rows(out, "id", "response") == sorted(want, key=repr)
+    calls = (tmp_path / "calls").read_text().split("\n")[:-1]
+    # The call that was lost with its task had no answer to keep; failed calls are tried by each run.
+    assert calls.count("p17") == 2 and all(calls.count(f"p{i}") == 1 for i in range(25) if i != 17)
+    assert calls.count("") == 1
+
+
 def test_issue_prompt_without_ratio(spark):
     log = spark.createDataFrame(
         [("sales", "c", "R", "d", "odd severity", 3, None, None)],
