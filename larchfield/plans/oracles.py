@@ -762,7 +762,15 @@ CHECKS: dict[str, str] = {
         {pct('r.recoverable_revenue', 's.total_at_risk_revenue', 1)} AS recovery_pct
         FROM alert_sums s, (SELECT coalesce(sum(recoverable_revenue), 0) AS recoverable_revenue
                             FROM alert_groups WHERE aging_tier IN ('CRITICAL', 'HIGH')) r""",
-    "alert_check": """SELECT * FROM alert_sums
+    "alert_check": """
+        SELECT * FROM (
+            SELECT 'cars' AS counted, * FROM alert_sums
+            UNION ALL
+            SELECT 'offers', (SELECT count(*) FROM aging),
+                   count(*) FILTER (WHERE aging_tier = 'CRITICAL'),
+                   count(*) FILTER (WHERE aging_tier = 'HIGH'),
+                   count(*) FILTER (WHERE aging_tier = 'WATCH'), round(sum(at_risk_revenue))
+            FROM alerts)
         WHERE critical_cars + high_cars + watch_cars > total_unsold""",
     # claim scores
     "claims_enriched": """SELECT claimid, policyid, customer_id, customer_region, policy_csl,
@@ -959,6 +967,46 @@ def _needed(text: str) -> list[str]:
     return order
 
 
+# The names of the figures in each bundle.
+_BUNDLES = {
+    "policy_portfolio": {
+        "overview": "kpi_policy_overview",
+        "top5_states": "kpi_policy_states",
+        "csl_distribution": "kpi_policy_csl",
+        "premium_buckets": "kpi_premium_buckets",
+    },
+    "claims_performance": {
+        "overview": "kpi_claims_overview",
+        "by_severity": "kpi_claims_severity",
+        "top5_states": "kpi_claims_states",
+        "vehicles_involved_distribution": "kpi_claims_vehicles",
+    },
+    "customer_profile": {
+        "overview": "kpi_customer_overview",
+        "top6_jobs": "kpi_customer_jobs",
+        "marital_distribution": "kpi_customer_marital",
+        "education_distribution": "kpi_customer_education",
+        "product_cross_sell": "kpi_customer_cross_sell",
+        "region_distribution": "kpi_customer_regions",
+    },
+    "vehicle_fleet_sales": {
+        "car_overview": "kpi_fleet",
+        "fuel_distribution": "kpi_fleet_fuel",
+        "transmission_distribution": "kpi_fleet_transmission",
+        "sales_overview": "kpi_sales_overview",
+        "sales_by_region": "kpi_sales_region",
+    },
+}
+
+CHECKS["kpi_fields"] = " UNION ALL ".join(
+    f"""SELECT '{domain}' AS domain, '{figure}' AS figure, field, TRY_CAST(value AS DOUBLE) AS number,
+        CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text
+        FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({CHECKS[name]}))
+              ON COLUMNS(*) INTO NAME field VALUE value)"""
+    for domain, figures in _BUNDLES.items()
+    for figure, name in figures.items()
+)
+
 # The stand-in client answers with the number of characters of its prompt.
 CHECKS["dq_explanations"] = f"""
     SELECT q.*, concat(length(p.prompt), ' characters') AS ai_explanation,
