@@ -207,7 +207,7 @@ def candidate_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def residual_links(
     large: DataFrame, nodes: DataFrame, roots: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float
 ) -> DataFrame:
-    """Verified links (a, b) that join members of large buckets in different components.
+    """Pairs (a, b) of components that verified links of members of large buckets join.
 
     Every member outside the bucket's largest component meets all members, in a
     grid of blocks of at most 1,024 keys and about ``BLOCK_BYTES`` of text. Texts
@@ -257,7 +257,7 @@ def blocks(rows: Column, size: Column) -> Column:
 
 
 def link_blocks(left: pa.Table, right: pa.Table, idf: np.ndarray, threshold: float) -> pa.Table:
-    """Links of one block of a bucket's grid: a forest over the components that its verified pairs join.
+    """Pairs of components of one block of a bucket's grid: a forest of those its verified pairs join.
 
     A pair is tried if 24 of the 48 samples are the same, only in the first bucket
     that both keys share, and only while its keys are in different components;
@@ -294,11 +294,8 @@ def link_blocks(left: pa.Table, right: pa.Table, idf: np.ndarray, threshold: flo
                     part[part == part[match]] = part[at]
                     found.append((at, int(match)))
     first, second = np.array(found, np.int64).reshape(-1, 2).T
-    swap = key[first] > key[second]
-    keys = both.column("key").combine_chunks()
-    return pa.table(
-        {"a": keys.take(pa.array(np.where(swap, second, first))), "b": keys.take(pa.array(np.where(swap, first, second)))}
-    )
+    names = both.column("root").combine_chunks()
+    return pa.table({"a": names.take(pa.array(first)), "b": names.take(pa.array(second))})
 
 
 class Similarity:
@@ -414,6 +411,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_classes(rooted_rows(docs, threshold))
 
 
+def merged(roots: DataFrame, joined: DataFrame) -> DataFrame:
+    """Components (node, root) after those that ``joined`` (node, root) puts together.
+
+    Nodes of ``joined`` are roots, or keys that had no link.
+    """
+    target = joined.select(F.col("node").alias("of"), F.col("root").alias("to"))
+    moved = roots.join(target, F.col("root") == F.col("of"), "left")
+    single = joined.join(roots.select(F.col("node").alias("of")), F.col("node") == F.col("of"), "left_anti")
+    return moved.select("node", F.coalesce("to", "root").alias("root")).union(single)
+
+
 def rooted_rows(docs: DataFrame, threshold: float) -> DataFrame:
     """doc_id, mark of the text, key and root key of the class, a row per row of ``docs``."""
     idf = inverse_frequencies(docs)
@@ -427,8 +435,8 @@ def rooted_rows(docs: DataFrame, threshold: float) -> DataFrame:
     links = materialise(verified(pairs, texts, idf, threshold).select("a", "b"), "verified")
     roots = materialise(components(links), "roots")
     if not large.isEmpty():
-        more = residual_links(large, nodes, roots, texts, idf, threshold)
-        roots = materialise(components(links.union(materialise(more, "residual-links"))), "roots")
+        joined = materialise(residual_links(large, nodes, roots, texts, idf, threshold), "residual-links")
+        roots = materialise(merged(roots, materialise(components(joined), "roots")), "roots")
     return signed.join(roots, F.col("key") == F.col("node"), "left").select(
         "doc_id", "mark", "key", F.coalesce("root", "key").alias("root")
     )
