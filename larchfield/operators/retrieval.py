@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from larchfield.functions.text import token_count, tokens
+from larchfield.session import materialise
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -279,59 +280,128 @@ def _stacked(column: pd.Series) -> np.ndarray:
     return _unit_rows(np.stack(column.to_numpy()).astype(np.float64))
 
 
+#: Centres that corpus vectors are gathered round: so many rows and vectors reach the driver.
+CENTRES = 64
+#: Scores are cut to 12 decimals; a bound must miss by more than that to count.
+SLACK = 1e-9
+
+
 def topk_cosine(queries: DataFrame, corpus: DataFrame, k: int = 5, block: int = 2_000) -> DataFrame:
     """Exact k nearest corpus rows per query by cosine, as ``(query_id, doc_id, score, rank)``.
 
     ``queries`` has ``query_id, embedding`` and ``corpus`` has ``doc_id,
-    embedding``; zero vectors score 0, rows without a vector take no part. Queries
-    and corpus are cut into blocks, and every (query block, corpus block) cell is
-    one small group that sends on k rows per query, so no pair leaves a task.
+    embedding``; zero vectors score 0, rows without a vector take no part.
+
+    Corpus vectors are gathered round 64 of them; a cluster's radius is the
+    distance of its farthest vector. A query first searches one promising
+    cluster, whose k-th score no result can fall below. By Cauchy and Schwarz no
+    vector of a cluster scores more than the centre's score plus the radius, so
+    the query goes on only to clusters where that reaches the k-th score. Where
+    vectors have clusters, most of the corpus is never sent; where they have none,
+    every cluster is searched. Clusters and queries are cut into blocks; every
+    cell of two blocks is one small group that sends on k rows per query.
     """
     narrow = queries.select("query_id", "embedding").filter("embedding is not null")
     vectors = corpus.select("doc_id", "embedding").filter("embedding is not null")
-    query_type, doc_type = dict(narrow.dtypes)["query_id"], dict(vectors.dtypes)["doc_id"]
-    result = f"query_id {query_type}, doc_id {doc_type}, score double"
-    return _ranked(_blocked_candidates(narrow, vectors, k, block, result), k)
+    result = f"query_id {dict(narrow.dtypes)['query_id']}, doc_id {dict(vectors.dtypes)['doc_id']}, score double"
+    picked = vectors.orderBy(F.xxhash64("doc_id")).limit(CENTRES).collect()
+    if not picked:
+        return _ranked(queries.sparkSession.createDataFrame([], result), k)
+    centres = _unit_rows(np.array([row.embedding for row in picked], dtype=np.float64))
+    placed = materialise(_gathered(vectors, centres), "vector-clusters")
+    sizes = {
+        row._cluster: row
+        for row in placed.groupBy("_cluster").agg(F.count("*").alias("rows"), F.max("_gap").alias("radius")).collect()
+    }
+    asked = materialise(_with_bounds(narrow, centres, sizes, k), "query-bounds")
+    grid = _Grid(placed, {c: math.ceil(row.rows / (block * 25)) for c, row in sizes.items()}, asked, block)
+    home = asked.select("query_id", "embedding", F.col("home").alias("_cluster"))
+    first = materialise(_ranked(grid.search(home, k, result), k).drop("rank"), "home-hits")
+    more = grid.search(_reached(asked, first, k), k, result)
+    return _ranked(first.unionByName(more), k)
+
+
+def _gathered(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    """Each vector with its nearest centre and the distance from it."""
+
+    def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            unit = _stacked(frame["embedding"])
+            cluster = np.argmax(unit @ centres.T, axis=1) if len(frame) else np.zeros(0, int)
+            gap = np.linalg.norm(unit - centres[cluster], axis=1) if len(frame) else np.zeros(0)
+            yield frame.assign(_cluster=cluster.astype(np.int32), _gap=gap)
 
+    return vectors.mapInPandas(nearest, vectors.withColumns({"_cluster": F.lit(0), "_gap": F.lit(0.0)}).schema)
 
-def _blocked_candidates(
-    queries: DataFrame, corpus: DataFrame, k: int, block: int, result: str
-) -> DataFrame:
-    """Best k per query from every cell of a grid of query and corpus blocks.
 
-    Rows go to blocks by hash of their id, so blocks are even; each row is copied
-    once per block of the other side, and the cells meet by equal block numbers.
-    """
-    query_blocks = max(1, math.ceil(queries.count() / block))
-    corpus_blocks = max(1, math.ceil(corpus.count() / (block * 25)))
+def _with_bounds(queries: DataFrame, centres: np.ndarray, sizes: dict[int, Row], k: int) -> DataFrame:
+    """Queries with the clusters, the most that each can score, and the one to search first."""
+    present = np.array(sorted(sizes))
+    radius = np.array([sizes[c].radius for c in present])
+    enough = np.array([sizes[c].rows >= k for c in present])
+
+    def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if frame.empty:
+                continue
+            near = _stacked(frame["embedding"]) @ centres[present].T
+            # Clusters that cannot fill k ranks come last as a first choice.
+            home = present[np.argmax(near - 10.0 * ~enough, axis=1)]
+            yield frame.assign(
+                home=home.astype(np.int32), clusters=[present.tolist()] * len(frame), bounds=(near + radius).tolist()
+            )
 
-    def own(column: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+    added = {"home": F.lit(0), "clusters": F.array(F.lit(0)), "bounds": F.array(F.lit(0.0))}
+    return queries.mapInPandas(bound, queries.withColumns(added).schema)
 
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    left = queries.withColumn("_qb", own("query_id", query_blocks)).withColumn(
-        "_cb", every(corpus_blocks)
+def _reached(asked: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """Queries with each further cluster that may hold one of their k best."""
+    kth = first.groupBy(F.col("query_id").alias("_of")).agg(F.min("score").alias("_least"), F.count("*").alias("_n"))
+    floor = F.when(F.col("_n") >= k, F.col("_least"))
+    offered = asked.join(kth, F.col("query_id") == F.col("_of"), "left").select(
+        "query_id", "embedding", "home", floor.alias("_floor"), F.explode(F.arrays_zip("clusters", "bounds")).alias("_offer")
     )
-    right = corpus.withColumn("_cb", own("doc_id", corpus_blocks)).withColumn(
-        "_qb", every(query_blocks)
+    may = F.col("_floor").isNull() | (F.col("_offer.bounds") >= F.col("_floor") - SLACK)
+    return offered.filter((F.col("_offer.clusters") != F.col("home")) & may).select(
+        "query_id", "embedding", F.col("_offer.clusters").alias("_cluster")
     )
 
-    def cell(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or held.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        return _best(
-            asked["query_id"].to_numpy(),
-            _stacked(asked["embedding"]),
-            held["doc_id"].to_numpy(),
-            _stacked(held["embedding"]),
-            k,
-        )
 
-    return (
-        left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(cell, result)
-    )
+class _Grid:
+    """Cells of a block of queries and a block of one cluster's vectors.
+
+    Rows go to blocks by hash of their id, so blocks are even. A vector is sent to
+    those query blocks that have a query for its cluster.
+    """
+
+    def __init__(self, placed: DataFrame, parts: dict[int, int], asked: DataFrame, block: int) -> None:
+        self.placed = placed
+        self.parts = F.element_at(F.create_map(*(F.lit(x) for pair in parts.items() for x in pair)), F.col("_cluster"))
+        self.query_blocks = max(1, math.ceil(asked.count() / block))
+
+    def search(self, queries: DataFrame, k: int, result: str) -> DataFrame:
+        """The best k of every cell for queries (query_id, embedding, _cluster)."""
+        block = F.pmod(F.xxhash64("query_id"), F.lit(self.query_blocks)).cast("int")
+        asked = queries.withColumn("_qb", block)
+        # Named anew, so that the two sides of the cogroup can be told apart.
+        wanted = asked.select("_cluster", "_qb").distinct().toDF("_cluster", "_qb")
+        left = asked.withColumn("_cb", F.explode(F.sequence(F.lit(0), self.parts - 1)))
+        right = self.placed.withColumn("_cb", F.pmod(F.xxhash64("doc_id"), self.parts).cast("int")).join(wanted, "_cluster")
+        keys = ("_cluster", "_cb", "_qb")
+
+        def cell(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            if own.empty or held.empty:
+                return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
+            return _best(
+                own["query_id"].to_numpy(),
+                _stacked(own["embedding"]),
+                held["doc_id"].to_numpy(),
+                _stacked(held["embedding"]),
+                k,
+            )
+
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(cell, result)
 
 
 # --- answers ----------------------------------------------------------------------

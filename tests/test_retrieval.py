@@ -79,10 +79,59 @@ def test_top_k_equals_brute_force(spark, block):
     assert got == brute_force(queries, corpus, 4)
 
 
+def clustered(rng, count, start=0):
+    """Vectors close to one of eight axes."""
+    out = []
+    for i in range(count):
+        vector = [rng.gauss(0, 0.02) for _ in range(8)]
+        vector[i % 8] += 1.0
+        out.append((start + i, vector))
+    return out
+
+
+def test_top_k_sends_clustered_queries_to_few_clusters(spark, monkeypatch):
+    rng = random.Random(3)
+    corpus, queries = clustered(rng, 800), clustered(rng, 24)
+    shipped = []
+    search = retrieval._Grid.search
+
+    def noted(self, asked, k, result):
+        shipped.append(asked.select("_cluster").count())
+        return search(self, asked, k, result)
+
+    monkeypatch.setattr(retrieval._Grid, "search", noted)
+    found = retrieval.topk_cosine(
+        spark.createDataFrame(queries, "query_id int, embedding array<double>"),
+        spark.createDataFrame(corpus, "doc_id long, embedding array<double>"),
+        k=5,
+    )
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.doc_id)
+    assert got == brute_force(queries, corpus, 5)
+    # Of 63 further clusters only those on the query's own axis can reach its fifth score.
+    assert shipped[0] == 24 and shipped[1] <= 24 * 20
+
+
+def test_top_k_of_fewer_rows_than_k(spark):
+    corpus = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])]
+    queries = [(1, [1.0, 0.1]), (2, [0.0, 0.0])]
+    found = retrieval.topk_cosine(
+        spark.createDataFrame(queries, "query_id int, embedding array<float>"),
+        spark.createDataFrame([*corpus, (4, None)], "doc_id long, embedding array<float>"),
+        k=5,
+    )
+    assert [(r.query_id, r.doc_id) for r in found.orderBy("query_id", "rank").collect()] == [
+        (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)
+    ]
+
+
 def test_top_k_without_queries_is_empty(spark):
     none = spark.createDataFrame([], "query_id int, embedding array<double>")
     corpus = spark.createDataFrame([(1, [1.0])], "doc_id long, embedding array<double>")
     assert retrieval.topk_cosine(none, corpus).isEmpty()
+    asked = spark.createDataFrame([(1, [1.0])], "query_id int, embedding array<double>")
+    assert retrieval.topk_cosine(asked, corpus.limit(0)).isEmpty()
 
 
 def test_vectors_have_unit_length(spark):
