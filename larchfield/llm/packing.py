@@ -9,6 +9,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ SEQUENCE = 2048
 WINDOW_SEQUENCES = 32
 END_ID = 1
 CACHED_WORDS = 400_000
+LEARNED = 20_000
 
 
 class WordTokenizer:
@@ -30,44 +32,49 @@ class WordTokenizer:
     The tokenizers' own encoder runs once for each distinct run of characters
     without ASCII white space; the ids of a text are those of its runs in order.
     Special tokens inside a run are told apart by the encoder. At most
-    ``CACHED_WORDS`` runs are remembered.
+    ``CACHED_WORDS`` runs are remembered, as Arrow and numpy arrays: ``words``, and
+    the ids of the i-th from ``starts[i]`` on, ``lengths[i]`` of them.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words = pa.array([], pa.large_binary())
+        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
         texts = [w.decode() for w in words]
         coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(coded.ids, np.uint32)
-        first = np.array([o[0] for o in coded.offsets], np.int64)
+        first = np.fromiter((o[0] for o in coded.offsets), np.int64, len(coded.ids))
         ends = np.cumsum([len(t) + 1 for t in texts])
-        cuts = np.concatenate([[0], np.searchsorted(first, ends)])
-        return {w: ids[a:b].tobytes() for w, a, b in zip(words, cuts[:-1], cuts[1:], strict=True)}
-
-    def coded(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each of the distinct runs, as bytes."""
-        missing = [w for w in words if w not in self.known]
-        fresh: dict[bytes, bytes] = {}
-        for start in range(0, len(missing), 50_000):
-            fresh |= self.learn(missing[start : start + 50_000])
-        if CACHED_WORDS - len(self.known) >= len(fresh):
-            self.known |= fresh
-            return [self.known[w] for w in words]
-        return [fresh[w] if w in fresh else self.known[w] for w in words]
+        return np.array(coded.ids, np.uint32), np.diff(np.searchsorted(first, ends), prepend=0)
+
+    def coded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and start and length in them of each of the distinct words."""
+        at = pc.index_in(words, value_set=self.words)
+        missing = words.filter(at.is_null())
+        learned = [
+            self.learn(missing.slice(start, LEARNED).to_pylist()) for start in range(0, len(missing), LEARNED)
+        ]
+        ids = np.concatenate([self.ids, *(i for i, _ in learned)])
+        lengths = np.concatenate([self.lengths, *(n for _, n in learned)])
+        starts = np.cumsum(lengths) - lengths
+        place = at.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(missing))
+        if len(lengths) <= CACHED_WORDS:
+            self.words = pa.concat_arrays([self.words, missing])
+            self.ids, self.lengths = ids, lengths
+        return ids, starts[place], lengths[place]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Unsigned 32-bit ids of all texts, each closed by ``END_ID``, and row bounds."""
         words, numbers, bounds = words_of(texts)
-        coded = self.coded(words.to_pylist())
-        # One more entry holds the closing id, which stands behind the last run of each row.
-        ids = np.frombuffer(b"".join(coded) + np.uint32(END_ID).tobytes(), np.uint32)
-        lengths = np.append(np.fromiter(map(len, coded), np.int64, len(coded)) // 4, 1)
-        starts = np.cumsum(lengths) - lengths
-        runs = np.insert(numbers, bounds[1:], len(coded))
+        ids, starts, lengths = self.coded(words)
+        # One more word is the closing id, which stands behind the last word of each row.
+        ids, starts, lengths = np.append(ids, np.uint32(END_ID)), np.append(starts, len(ids)), np.append(lengths, 1)
+        runs = np.insert(numbers, bounds[1:], len(words))
         sizes = lengths[runs]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -189,7 +196,7 @@ def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer_at(tokenizer), TaskContext.get().partitionId()
         seen: dict[str | None, int] = {}
-        for batch in batches_of(batches, "text", 4_000_000):
+        for batch in batches_of(batches, "text"):
             ids, bounds = coder.encode(batch.column("text"))
             tokens = np.diff(bounds)
             starts = []
@@ -294,7 +301,7 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = Layout(*layout)
-        for batch in batches_of(batches, "ids", 8_000_000):
+        for batch in batches_of(batches, "ids"):
             out: list[tuple] = []
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "queue", "start", "tokens", "ids"))
             for doc_id, queue, start, tokens, ids in zip(*columns, strict=True):
