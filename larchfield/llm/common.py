@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larchfield.session import apply_runtime_defaults, materialise, scratch_path, scratch_root
 
-__all__ = ["batches_of", "free_name", "materialise", "scratch_path", "scratch_root", "table", "text_buffer", "tuned"]
+T = TypeVar("T")
+
+__all__ = ["batches_of", "free_name", "materialise", "scratch_path", "scratch_root", "table", "text_buffer", "tuned", "worker_state"]
 
 
 #: Rows that go to a Python worker at a time. Texts make rows wide, and a batch is held on both sides.
@@ -27,6 +31,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict = {}
+
+
+def worker_state(owner: object, make: Callable[[], T] = lambda: None) -> T:
+    """What an operator keeps in a Python worker from task to task.
+
+    A worker serves one operator after the other, so it keeps one owner's state:
+    the next owner's call drops what the one before has left, and hands freed
+    memory back.
+    """
+    if _KEPT.get("owner") != owner:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _KEPT.update(owner=owner, value=make())
+    return _KEPT["value"]
+
+
 def free_name(columns: Iterable[str], name: str) -> str:
     """``name``, with underscores behind it until no column has it, in any case."""
     taken = {c.lower() for c in columns}

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larchfield.llm.common import batches_of, free_name, text_buffer
+from larchfield.llm.common import batches_of, free_name, text_buffer, worker_state
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -26,6 +26,8 @@ FAMILIES = {
 }
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 4096
+#: Text that is cut into n-grams at a time.
+SLICE_BYTES = 400_000
 PER_LANGUAGE = 500
 UNKNOWN = "und"
 _LETTERS = np.array(
@@ -199,7 +201,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
         pick = pick | ((F.col("lang") == row["lang"]) & (F.shiftrightunsigned(order, 1) <= bar))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(batches, "text"):
+        worker_state("language")
+        for batch in batches_of(batches, "text", SLICE_BYTES):
             x = frequencies(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), batch.column("ord"), pa.array([v.tobytes() for v in x], pa.binary())],
@@ -235,9 +238,10 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(texts: pa.Array) -> pa.Array:
+        worker_state("language")
         names: list[str] = []
         scores: list[np.ndarray] = []
-        for batch in batches_of(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text"):
+        for batch in batches_of(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text", SLICE_BYTES):
             found, score = model.predict(batch.column("text"))
             names.extend(found)
             scores.append(score)

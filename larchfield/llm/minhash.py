@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larchfield.llm.common import batches_of, free_name, materialise
+from larchfield.llm.common import batches_of, free_name, materialise, worker_state
 from larchfield.llm.components import components
 from larchfield.llm.hashing import mix, rows_of, shingle_hashes, word_hashes
 
@@ -37,8 +37,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near-dedup")
         total, seen = np.zeros(WORD_BUCKETS + 1, np.int64), 0
-        for batch in batches_of(batches, "text"):
+        for batch in batches_of(batches, "text", 1_000_000):
             words, bounds = word_hashes(batch.column("text"))
             key = rows_of(bounds) * WORD_BUCKETS + word_bucket(words)
             total[:-1] += np.bincount(np.unique(key) % WORD_BUCKETS, minlength=WORD_BUCKETS)
@@ -141,6 +142,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near-dedup")
         for batch in batches_of(batches, "text", 1_000_000):
             texts = batch.column("text")
             words, bounds = word_hashes(texts)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from larchfield.llm.common import batches_of, materialise, scratch_path
+from larchfield.llm.common import batches_of, materialise, scratch_path, worker_state
 from larchfield.llm.runs import words_of
 
 SEQUENCE = 2048
@@ -82,9 +82,8 @@ class WordTokenizer:
         return flat, np.append(0, ends[bounds[1:] + np.arange(len(texts))])
 
 
-@lru_cache(maxsize=2)
 def tokenizer_at(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return worker_state(("packing", path), lambda: WordTokenizer(path))
 
 
 @dataclass(frozen=True)
@@ -196,7 +195,7 @@ def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer_at(tokenizer), TaskContext.get().partitionId()
         seen: dict[str | None, int] = {}
-        for batch in batches_of(batches, "text"):
+        for batch in batches_of(batches, "text", 1_000_000):
             ids, bounds = coder.encode(batch.column("text"))
             tokens = np.diff(bounds)
             starts = []
@@ -300,6 +299,7 @@ def pack(
     layout = (phases, len(sizes))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("packing cut")
         plan = Layout(*layout)
         for batch in batches_of(batches, "ids"):
             out: list[tuple] = []
