@@ -16,7 +16,6 @@ WITHOUT_SQL = {
     "rag_prompt",
     "embed_chunks",
     "rag_answers",
-    "dq_explanations",
     "insight_prompt",
     "business_insights",
 }
