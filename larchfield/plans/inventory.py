@@ -154,26 +154,24 @@ def _figures(scored: DataFrame, move: Column) -> DataFrame:
 
     Distinct cars and distinct revenues are counted in steps, each of which groups
     by one thing more than the next, so no row is copied for a second DISTINCT:
-    moves to listings and their revenues, those to listings, listings to revenues,
-    revenues to tiers and regions.
+    moves to listings, listings to revenues, revenues to tiers and regions.
     """
     place = ["aging_tier", "stuck_region"]
-    offers = scored.groupBy(*place, "sales_id", "at_risk_revenue").agg(
-        F.max(F.col("demand_region").isNotNull()).alias("movable"), F.max(move).alias("move")
-    )
-    # As a rule a listing has one revenue; if not, it is a car at its first one only.
-    listings = offers.groupBy(*place, "sales_id").agg(
-        F.collect_list(F.struct("at_risk_revenue", "movable", "move")).alias("offers"),
-        F.max("movable").alias("car_movable"),
+    movable = F.col("demand_region").isNotNull()
+    # As a rule a listing has one revenue; if not, it is a car at one of them only.
+    listings = scored.groupBy(*place, "sales_id").agg(
+        F.collect_set(F.struct("at_risk_revenue", movable.alias("movable"))).alias("offers"),
+        F.max(movable).alias("car_movable"),
+        F.max(move).alias("move"),
     )
     revenues = (
-        listings.select(*place, "car_movable", F.posexplode("offers").alias("nth", "offer"))
+        listings.select(*place, "car_movable", "move", F.posexplode("offers").alias("nth", "offer"))
         .groupBy(*place, F.col("offer.at_risk_revenue").alias("revenue"))
         .agg(
             F.count_if(F.col("nth") == 0).alias("cars"),
             F.count_if((F.col("nth") == 0) & F.col("car_movable")).alias("movable_cars"),
             F.max("offer.movable").alias("recoverable"),
-            F.max("offer.move").alias("move"),
+            F.max("move").alias("move"),
         )
     )
     return revenues.groupBy(*place).agg(
