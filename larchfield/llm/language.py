@@ -157,8 +157,10 @@ def fit(x: np.ndarray, langs: list[str]) -> LanguageModel | None:
     lang = np.array(langs, object)
     family = np.array([family_of(v) for v in langs], object)
     scale = 1 / np.maximum(x.std(axis=0), 1e-4) / np.sqrt(x.shape[1])
-    scaled, mean = x * scale, (x * scale).mean(axis=0)
-    scaled = scaled - mean
+    # In place: the sample is the largest thing the driver holds.
+    scaled = np.multiply(x, scale, out=x)
+    mean = scaled.mean(axis=0)
+    scaled -= mean
     columns: list[np.ndarray] = []
 
     def contest(labels: np.ndarray, rows: np.ndarray) -> Contest:
@@ -187,8 +189,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
 
     Only documents that are not held out take part, with their whole texts. The
     sample is chosen by a hash of doc_id, so it is the same in every run; the
-    features are made in the tasks, and the driver receives 16 KB per sampled
-    document.
+    features are made in the tasks, and the driver receives at most 24 KB, as a rule
+    a quarter of that, per sampled document.
     """
     labelled = docs.where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))
@@ -205,7 +207,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
         for batch in batches_of(batches, "text", SLICE_BYTES):
             x = frequencies(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("ord"), pa.array([v.tobytes() for v in x], pa.binary())],
+                [batch.column("lang"), batch.column("ord"), pa.array([packed(v) for v in x], pa.binary())],
                 ["lang", "ord", "x"],
             )
 
@@ -220,8 +222,23 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel |
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
         if taken[row["lang"]] <= per_language:
             chosen.append(row)
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in chosen]).reshape(-1, BUCKETS)
-    return fit(x, [r["lang"] for r in chosen])
+    langs = [row["lang"] for row in chosen]
+    x = np.zeros((len(chosen), BUCKETS), np.float32)
+    for place, row in enumerate(chosen):
+        unpack(row["x"], x[place])
+    del rows, chosen
+    return fit(x, langs)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The places and values of a row that are not zero."""
+    full = np.flatnonzero(values)
+    return full.astype(np.uint16).tobytes() + values[full].astype(np.float32).tobytes()
+
+
+def unpack(data: bytes, out: np.ndarray) -> None:
+    count = len(data) // 6
+    out[np.frombuffer(data, np.uint16, count)] = np.frombuffer(data, np.float32, count, 2 * count)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
