@@ -161,24 +161,45 @@ def add_claim_count(df: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     )
 
 
+def policy_facts(policy: DataFrame, customer: DataFrame | None, counts: DataFrame) -> DataFrame:
+    """Current policies with what a claim takes from them and from their customer.
+
+    Customers and counts meet the policies, not the claims: policies are fewer and
+    narrower, and claims without a policy have no customer key to be gathered by.
+    """
+    wanted = [c for c in ("customer_id", "policy_csl") if c in policy.columns]
+    owners = policy.select("policy_number", *wanted)
+    owners = enrich(owners, customer, ("customer_id", "customer_id"), {"region": "customer_region"})
+    return add_claim_count(owners, counts, "customer_id")
+
+
 def enrich_claims(
     claims: DataFrame, dim_policy: DataFrame | None = None, dim_customer: DataFrame | None = None
 ) -> DataFrame:
-    """Current claims with policy cover, customer region, amounts and claim count."""
+    """Current claims with policy cover, customer region, amounts and claim count.
+
+    With policies, claims cross one shuffle, by policy. Amounts are worked out
+    behind it, so that it carries the plain claims.
+    """
 
     def current(dim: DataFrame | None) -> DataFrame | None:
         return None if dim is None else current_rows(dim)
 
-    claims, policy = current_rows(claims), current(dim_policy)
+    claims, policy, customer = current_rows(claims), current(dim_policy), current(dim_customer)
+    taken = ("customer_id", "policy_csl", "customer_region")
+    by_policy = policy is not None and {"policy_number", "customer_id"} <= set(policy.columns)
+    if by_policy and "policyid" in claims.columns and not set(taken) & set(claims.columns):
+        facts = policy_facts(policy, customer, customer_counts(claims, policy))
+        columns = {c: c for c in (*taken, "customer_claim_count")}
+        df = enrich(claims.drop("customer_claim_count"), facts, ("policyid", "policy_number"), columns)
+        return derive_amounts(df.withColumn("customer_claim_count", F.coalesce("customer_claim_count", F.lit(1))))
     df = enrich(
         derive_amounts(claims),
         policy,
         ("policyid", "policy_number"),
         {"customer_id": "customer_id", "policy_csl": "policy_csl"},
     )
-    df = enrich(
-        df, current(dim_customer), ("customer_id", "customer_id"), {"region": "customer_region"}
-    )
+    df = enrich(df, customer, ("customer_id", "customer_id"), {"region": "customer_region"})
     key = "policyid" if policy is None else "customer_id"
     return add_claim_count(df, customer_counts(claims, policy), key)
 
@@ -507,17 +528,27 @@ def triggered_rules(df: DataFrame, target: str = "triggered_rules") -> DataFrame
 
 
 def score_claims(
-    claims: DataFrame, thresholds: Thresholds = Thresholds(), stats: DataFrame | None = None
+    claims: DataFrame,
+    thresholds: Thresholds = Thresholds(),
+    stats: DataFrame | None = None,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """Both scores and the triggered rules. Writes two small tables on the way.
 
-    Statistics and weights read only the claims themselves, so pass claims before
-    they are joined to anything and enrich the result.
+    Statistics and weights read only the claims themselves. Pass claims that are
+    joined to something together with the plain ones as ``population``, which the
+    statistics and weights are then taken from. Claims are read three times, so
+    they should be a written table.
     """
-    df = claims if "total_claim_amount" in claims.columns else derive_amounts(claims)
-    ruled = score_rules(df, fit_stats(df) if stats is None else stats)
-    weights = materialise(weights_row(ruled), "claim-weights")
-    scored = weighted_score(ruled, weights, thresholds)
+
+    def derived(df: DataFrame) -> DataFrame:
+        return df if "total_claim_amount" in df.columns else derive_amounts(df)
+
+    own = derived(claims)
+    everyone = own if population is None else derived(population)
+    stats = fit_stats(everyone) if stats is None else stats
+    weights = materialise(weights_row(score_rules(everyone, stats)), "claim-weights")
+    scored = weighted_score(score_rules(own, stats), weights, thresholds)
     scored = weighted_score(
         scored, BUSINESS_WEIGHTS, thresholds, "anomaly_score_bw", "priority_tier_bw"
     )

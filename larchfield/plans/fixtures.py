@@ -289,7 +289,7 @@ class Lake:
     def keep(self, *names: str) -> Lake:
         """Write the named frames once, as gold tables are, so that several readers share them."""
         for name in names:
-            setattr(self, name, materialise(getattr(self, name), name.replace("_", "-")))
+            setattr(self, name, materialise(getattr(self, name), name.replace("_", "-"), "zstd"))
         return self
 
     @cached_property

@@ -797,10 +797,14 @@ def method_agreement(lake: Lake) -> DataFrame:
 
 
 def scored_table(lake: Lake) -> DataFrame:
-    """Enriched scores, written like any gold table before reports read them."""
-    lake.keep("clean_claims", "scored", "dim_policy")
-    enriched = scoring.enrich_claims(lake.scored, lake.dim_policy, lake.dim_customer)
-    return overwrite_table(enriched, scratch_path(lake.spark, "scored-claims"))
+    """Enriched scores, written like any gold table before reports read them.
+
+    Scores are worked out behind the joins, whose shuffle then carries plain claims.
+    """
+    lake.keep("clean_claims", "dim_policy")
+    enriched = scoring.enrich_claims(lake.clean_claims, lake.dim_policy, lake.dim_customer)
+    scored = scoring.score_claims(enriched, population=lake.clean_claims)
+    return overwrite_table(scored, scratch_path(lake.spark, "scored-claims"))
 
 
 @query

@@ -69,7 +69,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/larchfield/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the scratch folder now and read it back.
 
     The written table survives lost executors, cuts lineage, and has an exact
@@ -77,5 +77,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

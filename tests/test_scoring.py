@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from larchfield.operators import scoring
+from larchfield.operators import scoring, star
 from larchfield.plans.fixtures import Lake
 from tests.conftest import SF_TINY
 
@@ -117,3 +117,81 @@ def test_scores_table_and_missing_briefs(spark):
     flagged = scoring.flagged_claims(scores, none)
     assert flagged.count() == scores.filter("priority_tier <> 'LOW'").count() > 0
     assert flagged.filter("ai_investigation_brief IS NOT NULL").isEmpty()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins that shuffle both sides and keep all their partitions."""
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_share(df):
+    """Share of the fullest partition."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def orphans(spark):
+    """Claims of 4,000 policies of which two exist, those two, and a customer with two versions."""
+    claims = spark.range(4000).select(
+        F.concat(F.lit("c"), "id").alias("claimid"),
+        F.col("id").alias("policyid"),
+        F.lit("Major").alias("incident_severity"),
+        F.lit(5.0).alias("injury"),
+        *(F.lit("2020-01-01").cast("timestamp").alias(c) for c in ("incident_date", "claim_logged_on", "claim_processed_on")),
+        F.lit(None).cast("string").alias("incident_state_full"),
+        F.lit(1).alias("number_of_vehicles_involved"),
+        F.lit("Y").alias("claim_rejected"),
+    )
+    policy = spark.createDataFrame(
+        [(1, 7, "100/300", "p1"), (2, 8, "250/500", "p2")],
+        "policy_number long, customer_id long, policy_csl string, policy_sk string",
+    ).withColumns({"valid_from": F.lit(1), "valid_to": F.lit(None).cast("int")})
+    customer = spark.createDataFrame(
+        [(7, "East", "k1", 1, 2), (7, "West", "k2", 2, None)],
+        "customer_id long, region string, customer_sk string, valid_from int, valid_to int",
+    )
+    return claims, policy, customer
+
+
+def test_claims_without_policy_spread_over_tasks(spark, shuffled):
+    """They have no customer, and must not be gathered under that null key."""
+    found = scoring.enrich_claims(*orphans(spark))
+    assert largest_share(found) < 0.5
+    shown = found.select("policyid", "customer_id", "customer_region", "policy_csl", "customer_claim_count", "total_claim_amount")
+    assert sorted(tuple(r) for r in shown.where("policyid < 4").collect()) == [
+        (0, None, None, None, 1, 5.0),
+        (1, 7, "West", "100/300", 1, 5.0),
+        (2, 8, None, "250/500", 1, 5.0),
+        (3, None, None, None, 1, 5.0),
+    ]
+    assert found.count() == 4000
+
+
+def test_facts_without_policy_spread_over_tasks(spark, shuffled):
+    found = star.fact_claims(*orphans(spark))
+    assert largest_share(found) < 0.5
+    shown = sorted((r.claim_id, r.policy_sk, r.customer_sk) for r in found.where("claim_id < 'c3'").collect() if r.policy_sk)
+    assert shown == [("c1", "p1", "k1"), ("c1", "p1", "k2"), ("c2", "p2", None)]
+    assert found.count() == 4001
+
+
+def test_scores_read_written_claims(spark):
+    """Statistics, weights and scores share one table instead of joining claims anew."""
+    files = Lake(spark, SF_TINY).scored.inputFiles()
+    assert files and not any(SF_TINY in f for f in files)
+
+
+def test_scores_of_joined_claims_keep_the_population(spark):
+    """Statistics and weights come from the plain claims, so a join that repeats rows moves no score."""
+    claims = Lake(spark, SF_TINY).keep("clean_claims").clean_claims
+    plain = {r.claimid: r.anomaly_score for r in scoring.score_claims(claims).collect()}
+    part = scoring.derive_amounts(claims.where("car_id % 2 = 0"))
+    found = scoring.score_claims(part.unionByName(part), population=claims).collect()
+    assert found and all(r.anomaly_score == plain[r.claimid] for r in found)
