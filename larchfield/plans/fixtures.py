@@ -315,4 +315,5 @@ class Lake:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return score_claims(self.clean_claims)
+        # Statistics, weights and scores read the claims once each.
+        return score_claims(self.keep("clean_claims").clean_claims)
