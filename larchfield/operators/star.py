@@ -82,15 +82,28 @@ def fact_claims(
     """Claims with the keys of their policy and, through it, their customer.
 
     Every version of a dimension row matches, as in the reference data model;
-    ``asof`` keeps the version valid at the incident instead.
+    ``asof`` keeps the version valid at the incident instead. Without it policies
+    meet their customers first: claims then cross one shuffle, by policy, and
+    those without a policy are not gathered under a customer key they lack.
     """
-    at = "incident_date" if asof else None
-    joined = _dim_join(
-        claims, dim_policy, ("policyid", "policy_number"), ["policy_sk", "customer_id"], "pol", at
-    )
-    joined = _dim_join(
-        joined, dim_customer, ("pol_customer_id", "customer_id"), ["customer_sk"], "cust", at
-    )
+    if asof:
+        at = "incident_date"
+        joined = _dim_join(
+            claims, dim_policy, ("policyid", "policy_number"), ["policy_sk", "customer_id"], "pol", at
+        )
+        joined = _dim_join(
+            joined, dim_customer, ("pol_customer_id", "customer_id"), ["customer_sk"], "cust", at
+        )
+    else:
+        owners = dim_policy.select(
+            F.col("policy_number").alias("pol_key"),
+            F.col("policy_sk").alias("pol_policy_sk"),
+            F.col("customer_id").alias("pol_customer_id"),
+        )
+        owners = _dim_join(
+            owners, dim_customer, ("pol_customer_id", "customer_id"), ["customer_sk"], "cust", None
+        )
+        joined = claims.join(owners, F.col("policyid") == F.col("pol_key"), "left")
     rejected = F.coalesce(F.col("claim_rejected").cast("string").try_cast("boolean"), F.lit(False))
     return joined.select(
         F.col("claimid").alias("claim_id"),
