@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
@@ -75,6 +76,32 @@ def code_name(column: str | Column, names: Mapping[str, str]) -> Column:
     return F.coalesce(literal_map(names)[F.upper(column)], F.initcap(column))
 
 
+# What the parser can read for the letters of a format: two digits each, and a year
+# of four to 19 digits with or without a sign.
+FORMAT_LETTERS = {"yyyy": r"[+-]?\d{4,19}", **dict.fromkeys(("dd", "MM", "HH", "mm", "ss"), r"\d\d")}
+
+
+def format_shape(fmt: str) -> str | None:
+    """A pattern that every text of the format has; None for formats of other letters."""
+    parts = re.findall(r"([A-Za-z])(\1*)|([- :])", fmt)
+    if "".join(a + b + c for a, b, c in parts) != fmt:
+        return None
+    shapes = [c or FORMAT_LETTERS.get(a + b) for a, b, c in parts]
+    return None if None in shapes else f"^{''.join(shapes)}$"
+
+
+def timestamp_in(column: str | Column, fmt: str) -> Column:
+    """The column in one format. Texts of another shape never reach the parser.
+
+    A text that does not parse costs an exception in the JVM, many times the price
+    of a pattern.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    shape = format_shape(fmt)
+    parsed = F.try_to_timestamp(column, F.lit(fmt))
+    return parsed if shape is None else F.when(column.rlike(shape), parsed)
+
+
 def timestamp_of(
     column: str | Column,
     formats: Sequence[str] = TIMESTAMP_FORMATS,
@@ -86,6 +113,6 @@ def timestamp_of(
     bare clock time such as ``12:30`` would otherwise become today at 12:30.
     """
     column = F.col(column) if isinstance(column, str) else column
-    tried = [F.try_to_timestamp(column, F.lit(fmt)) for fmt in formats]
+    tried = [timestamp_in(column, fmt) for fmt in formats]
     plain = F.when(column.rlike(r"^\s*\d{4}"), column.try_cast("timestamp"))
     return F.coalesce(*tried, plain).cast(as_type)

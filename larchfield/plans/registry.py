@@ -441,9 +441,64 @@ def in_deliveries(lake: Lake, rows: DataFrame, load) -> None:
     """Land ``rows`` in two deliveries, odd and even cars, and call ``load(stream, delivery)`` after each."""
     landing = scratch_path(lake.spark, "landing")
     reader = lake.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True)
+    # The rows are worked out once; each delivery is a copy of its part.
+    rows = materialise(rows, "deliveries")
     for delivery in range(2):
         part = rows.where(F.pmod(F.col("car_id").cast("long"), F.lit(2)) == 1 - delivery)
         part.write.parquet(f"{landing}/{delivery}")
+        found = scd2_stream(
+            reader.parquet(landing), target, ["user_id"], "ts", checkpoint, [F.desc("event_id")], 32
+        )
+    return found.select(*VERSION_COLUMNS)
+
+
+@query
+def scd2_claims(lake: Lake) -> DataFrame:
+    """Claims of all deliveries; what came again is a version, not another claim."""
+    found = history.scd2(lake.deliveries("claims"), ["claimid"], "seq")
+    return found.select("claimid", "incident_severity", "incident_state_full", history.START, history.END)
+
+
+@query
+def scd2_sales(lake: Lake) -> DataFrame:
+    """Listings and their sale; a delivery repeated with the same sequence counts once."""
+    order = [F.col("sold_on").asc_nulls_last()]
+    found = history.scd2(lake.deliveries("sales"), ["sales_id"], "seq", order)
+    return found.select("sales_id", "sold_on", history.START, history.END)
+
+
+@query
+def history_rejects(lake: Lake) -> DataFrame:
+    """Clean rows that no history can hold, for want of a sequence, with the versions and the total."""
+
+    def balance(entity: str, key: str) -> DataFrame:
+        rows = lake.deliveries(entity)
+        versions = history.scd2(rows, [key], "seq", [F.col(key)]).agg(F.count("*").alias("versions"))
+        rejected = history.without_sequence(rows, "seq").groupBy("_reject_reason")
+        repeated = rows.where("seq IS NOT NULL").groupBy(key, "seq").count().agg(F.sum(F.col("count") - 1))
+        return rejected.agg(F.count("*").alias("rejected")).select(
+            F.lit(entity).alias("table_name"),
+            "_reject_reason",
+            "rejected",
+            versions.scalar().alias("versions"),
+            F.coalesce(repeated.scalar(), F.lit(0)).alias("repeated"),
+            rows.agg(F.count("*")).scalar().alias("total"),
+        )
+
+    return union([balance("policy", "policy_number"), balance("claims", "claimid")])
+
+
+def in_deliveries(lake: Lake, rows: DataFrame, load) -> None:
+    """Land ``rows`` in two deliveries, odd and even cars, and call ``load(stream, delivery)`` after each."""
+    landing = scratch_path(lake.spark, "landing")
+    reader = lake.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True)
+    # The rows are worked out once; each delivery is a copy of its part.
+    delivery_of = 1 - F.pmod(F.col("car_id").cast("long"), F.lit(2))
+    whole = scratch_path(lake.spark, "deliveries")
+    rows.withColumn("_delivery", delivery_of).write.partitionBy("_delivery").parquet(whole)
+    for delivery in range(2):
+        part = lake.spark.read.schema(rows.schema).parquet(f"{whole}/_delivery={delivery}")
+        part.write.parquet(f"{landing}/{delivery}")
         load(reader.parquet(landing), delivery)
 
 
@@ -504,6 +559,7 @@ def streamed_facts(lake: Lake, rows: DataFrame, first: dict, second: dict, build
 @query
 def stream_fact_claims(lake: Lake) -> DataFrame:
     """The first delivery meets customers without their later versions."""
+    lake.keep("dim_customer")
     early = lake.dim_customer.where("valid_from < TIMESTAMP '1998-01-01 00:00:00'")
     return streamed_facts(
         lake,

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from larchfield.functions import text
 from larchfield.functions.text import is_valid_email, token_count
 from larchfield.operators import cleanse
 from larchfield.plans.entities import STATES, prepare_cars, prepare_claims, prepare_customers, prepare_sales
@@ -111,3 +112,18 @@ def test_null_tokens_with_and_without_case(spark, rows):
 def test_audit_stamp(spark):
     stamped = cleanse.add_audit(spark.range(1), "stage one", F.lit("2020-01-01").cast("timestamp_ntz"))
     assert stamped.first().asDict() == {"id": 0, "_silver_load_ts": datetime(2020, 1, 1), "_stage": "stage one"}
+
+
+def test_only_texts_of_a_format_reach_its_parser(spark):
+    """The patterns before the parsers let everything through that the parsers can read."""
+    assert text.format_shape("dd-MM-yyyy HH:mm") == r"^\d\d-\d\d-[+-]?\d{4,19} \d\d:\d\d$"
+    assert text.format_shape("yyyy/MM") is None and text.format_shape("d-MM") is None
+    values = [
+        "05-03-2016 14:10", "5-3-2016", "05-03-2016", "05-03--2016", "+12016-03-05", "-2016-03-05", "20160-03-05",
+        "2016-03-05 01:02:03", "2016-03-05 1:02:03", "2016-02-30", "2016-03-05\n", " 2016-03-05", "27:00.0", "Null", "", None,
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    for fmt in text.TIMESTAMP_FORMATS:
+        plain = F.try_to_timestamp("v", F.lit(fmt)).cast("string")
+        guarded = text.timestamp_in("v", fmt).cast("string")
+        assert all(r.a == r.b for r in df.select(plain.alias("a"), guarded.alias("b")).collect())

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from larchfield.operators.quality import expect_all, split_quarantine
 from larchfield.plans.entities import CLAIMS
+from larchfield.plans.fixtures import Lake
+from larchfield.plans.registry import in_deliveries
 from larchfield.streaming.facts import newest_version, publish_dim, stream_facts, write_facts
 from larchfield.streaming.split import COUNTS, read_batches, split_stream
 
@@ -87,3 +89,24 @@ def test_streamed_text_is_parsed_like_a_batch(spark, rows, tmp_path):
     assert rows(read_batches(spark, paths[1]), "claimid", "_reject_reason") == rows(bad, "claimid", "_reject_reason")
     day = read_batches(spark, paths[0]).where("claimid = 'c3'").select(F.col("incident_date").cast("timestamp_ntz")).first()[0]
     assert day == datetime(2016, 3, 5, 14, 10)
+
+
+def test_deliveries_work_out_their_rows_once(spark, tmp_path):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def car(i):
+        worked_out.add(1)
+        return i
+
+    cars = spark.range(10).select(F.udf(car, "long").asNondeterministic()("id").alias("car_id"))
+    seen = []
+
+    def load(stream, delivery):
+        target, checkpoint = str(tmp_path / "rows"), str(tmp_path / "checkpoint")
+        query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start(target).awaitTermination()
+        seen.append(sorted(r.car_id for r in spark.read.parquet(target).collect()))
+
+    in_deliveries(Lake(spark, str(tmp_path)), cars, load)
+    assert seen == [[1, 3, 5, 7, 9], list(range(10))]
+    assert worked_out.value == 10
