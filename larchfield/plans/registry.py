@@ -983,7 +983,8 @@ def retrieved(lake: Lake, sizes: tuple[int, int]) -> DataFrame:
     corpus = materialise(retrieval.embed(corpus, "chunk_text"), "policy-chunks")
     found = retrieval.topk_cosine(retrieval.embed(asked, "question"), corpus)
     texts = corpus.select("doc_id", "policy_number", "chunk_text")
-    return found.join(texts, "doc_id").join(asked, "query_id")
+    # A few rows that prompts, confidence and sources each read; the search runs once for all.
+    return materialise(found.join(texts, "doc_id").join(asked, "query_id"), "policy-hits")
 
 
 @query
@@ -1003,6 +1004,7 @@ def embed_chunks(lake: Lake) -> DataFrame:
 def rag_answers(lake: Lake) -> DataFrame:
     """Prompts answered by a stand-in client, as history rows of both approaches."""
     histories = []
+    lake.keep("dim_policy")
     for size, overlap in (LARGE, SMALL):
         hits = retrieved(lake, (size, overlap))
         prompts = retrieval.rag_prompt(hits, "policy_number", "chunk_text", "question")

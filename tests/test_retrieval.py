@@ -8,7 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from larchfield.operators import completion, retrieval
+from larchfield.plans import registry
+from larchfield.plans.fixtures import Lake
 from pyspark.sql import functions as F
+from tests.conftest import SF_TINY
 
 
 def loop_chunks(text, size, overlap):
@@ -287,3 +290,9 @@ def test_tasks_merge_several_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == brute_force(queries, corpus, 7)
+
+
+def test_search_for_answers_runs_once(spark):
+    """Prompts, confidence and sources read the written hits."""
+    files = registry.retrieved(Lake(spark, SF_TINY), registry.LARGE).inputFiles()
+    assert files and all("policy-hits" in f for f in files)
