@@ -45,7 +45,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of 2048 tokens, mixed by source."""
     tuned(spark)
-    return packing.pack(docs, packing.default_tokenizer()).drop("queue")
+    # Smaller slices of text keep the fifth stage of a run within its executors' memory.
+    return packing.pack(docs, packing.default_tokenizer(), slice_bytes=1_000_000).drop("queue")
 
 
 STAGES = [

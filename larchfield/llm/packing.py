@@ -23,6 +23,8 @@ SEQUENCE = 2048
 WINDOW_SEQUENCES = 32
 END_ID = 1
 CACHED_WORDS = 400_000
+#: Bytes of text that are coded at a time. Larger slices look remembered words up less often, but take more memory.
+SLICE = 4_000_000
 LEARNED = 20_000
 
 
@@ -186,8 +188,8 @@ class Layout:
                     at, place = at + run, place + run
 
 
-def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
-    """Ids and place of each document, written once.
+def tokenised(docs: DataFrame, column: str, tokenizer: str, slice_bytes: int = SLICE) -> DataFrame:
+    """Ids and place of each document, written once; ``slice_bytes`` of text are coded at a time.
 
     ``start`` counts the tokens of the same source that the same task has seen.
     """
@@ -195,7 +197,7 @@ def tokenised(docs: DataFrame, column: str, tokenizer: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = tokenizer_at(tokenizer), TaskContext.get().partitionId()
         seen: dict[str | None, int] = {}
-        for batch in batches_of(batches, "text", 4_000_000):
+        for batch in batches_of(batches, "text", slice_bytes):
             ids, bounds = coder.encode(batch.column("text"))
             tokens = np.diff(bounds)
             starts = []
@@ -255,6 +257,7 @@ def pack(
     tokenizer: str,
     source: str = "source",
     shares: dict[str, float] | None = None,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """Pack all documents into sequences of 2048 tokens, mixed by source.
 
@@ -278,7 +281,7 @@ def pack(
     that no row has is an error; an empty table gives no rows. Other columns are
     ignored.
     """
-    rows = tokenised(docs, source, tokenizer)
+    rows = tokenised(docs, source, tokenizer, slice_bytes)
     grouped = rows.groupBy("part", "source").agg(F.sum("tokens").alias("n"), F.count("*").alias("rows"))
     parts = materialise(grouped, "source-parts")
     queues = number_queues(parts)

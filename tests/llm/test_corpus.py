@@ -560,3 +560,17 @@ def test_pipeline_run_equals_plain_stages(spark, tmp_path):
         assert p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes())
         at, found[p["doc_id"]] = at + p["length"], found[p["doc_id"]] + p["length"]
     assert found == {i: len(ids) for i, ids in expected.items()}
+
+
+def test_slices_of_text_do_not_change_the_packing(spark, monkeypatch):
+    """The pipeline codes a quarter as much text at a time as the operator by itself."""
+    import corpus_pipeline
+
+    path = packing.default_tokenizer()
+    docs = documents(spark, [(i, prose(i, 60), f"s{i % 3}") for i in range(30)]).coalesce(1)
+    whole, cut = (sorted(map(tuple, packing.pack(docs, path, slice_bytes=n).collect())) for n in (4_000_000, 500))
+    assert whole == cut
+    wanted = []
+    monkeypatch.setattr(packing, "pack", lambda docs, path, slice_bytes: wanted.append(slice_bytes) or docs.withColumn("queue", docs.doc_id))
+    corpus_pipeline.packing_stage(spark, docs, "")
+    assert wanted[0] * 4 <= packing.SLICE
