@@ -1,27 +1,37 @@
-"""Toxicity scores by a convolutional text classifier trained in numpy."""
+"""Toxicity scores by a convolutional text classifier, trained in numpy by many tasks at once."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larchfield.llm.common import batches_of
+from larchfield.llm.common import batches_of, materialise, scratch_path
 from larchfield.llm.hashing import mix, rows_of, word_hashes
 
-#: Labelled documents of each label that a fit takes at most, and the words of the longest one it takes.
-PER_LABEL = 4000
-LONGEST = 4000
+#: Training rows and words of a cell, the part of them that one network is fitted on at a time, on average.
+CELL_ROWS = 4000
+CELL_WORDS = 4_000_000
+#: Cells are fitted in so many turns, between which the networks are averaged.
+SLOTS = 4
 HASH_BITS = 22
+#: Bits of the table that keeps most unlabelled texts out of the join with labels.
+FILTER_BITS = 26
 SEEN = 8
+#: Words of a smaller share of documents, as a mean over both labels, stay unknown.
+SHARE = 0.0005
+#: Rows that the embedding has at most: the words of the largest shares.
+WORDS = 1 << 18
 DIMENSIONS = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-EPOCHS = 12
+#: Rounds of fitting and averaging; every training row takes part in every ``SLOTS``-th or more.
+ROUNDS = 12
 BATCH = 64
 RATE = 0.01
 #: Spread of embeddings at first, decay of weights per step, and share of words hidden in a step.
@@ -34,6 +44,12 @@ PLACES = 1 << 18
 BAR = 0.7
 #: A language's own threshold and that of all languages count alike with so many documents of its rarer label.
 PRIOR = 40
+#: Sums over tasks are sums of whole numbers, so that their order has no say: weights and parameters times these.
+WEIGHT_ONE = 1 << 30
+VALUE_ONE = 1 << 24
+#: Logits are counted in steps of 1 / STEPS from -FARTHEST to FARTHEST.
+STEPS = 256
+FARTHEST = 64
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +93,11 @@ class Network:
     def parameters(self) -> list[np.ndarray]:
         return [self.embedding, *self.filters.values(), self.bias, self.output, self.offset]
 
+    def part(self, own: np.ndarray) -> Network:
+        """A copy that knows only the words of these rows of the embedding."""
+        filters = {w: m.copy() for w, m in self.filters.items()}
+        return Network(self.embedding[own], filters, self.bias.copy(), self.output.copy(), self.offset.copy())
+
     def pooled(self, words: np.ndarray, bounds: np.ndarray, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """The maximum of every filter over each row, and where it is reached.
 
@@ -87,13 +108,12 @@ class Network:
         # The last of a row's places that count is its last word, or the padding of an empty row.
         ends = starts[:-1] + np.maximum(np.diff(bounds), 1)
         maxima = np.full((len(bounds) - 1, FILTERS * len(WIDTHS)), -np.inf, np.float32)
-        argmax = np.empty(maxima.shape, np.int64) if places else None
-        span = len(padded) if places else PLACES
+        argmax = np.zeros(maxima.shape, np.int64) if places else None
         for i, (width, matrices) in enumerate(self.filters.items()):
             tables = [self.embedding @ m for m in matrices]
             columns = slice(i * FILTERS, (i + 1) * FILTERS)
-            for begin in range(0, len(padded) - max(WIDTHS) + 1, span):
-                valid = min(span, len(padded) - max(WIDTHS) + 1 - begin)
+            for begin in range(0, len(padded) - max(WIDTHS) + 1, PLACES):
+                valid = min(PLACES, len(padded) - max(WIDTHS) + 1 - begin)
                 answer = tables[0][padded[begin : begin + valid]]
                 for j in range(1, width):
                     answer += tables[j][padded[begin + j : begin + j + valid]]
@@ -106,20 +126,23 @@ class Network:
                 # A row that ends with the answers loses its last place to the clipped edge.
                 last = high[rows] == valid
                 top[last] = np.maximum(top[last], answer[valid - 1])
-                maxima[rows, columns] = np.maximum(maxima[rows, columns], top)
                 if argmax is not None:
-                    argmax[:, columns] = first_places(answer, starts[:-1], ends)
+                    found = begin + first_places(answer, low[rows], high[rows])
+                    argmax[rows, columns] = np.where(top > maxima[rows, columns], found, argmax[rows, columns])
+                maxima[rows, columns] = np.maximum(maxima[rows, columns], top)
         return maxima, argmax
 
     def logits(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         maxima, _ = self.pooled(words, bounds)
         return np.maximum(maxima + self.bias, 0) @ self.output + self.offset
 
-    def gradients(self, words: np.ndarray, bounds: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
-        """Of the mean logistic loss; only the places of maxima take part."""
+    def gradients(
+        self, words: np.ndarray, bounds: np.ndarray, target: np.ndarray, weight: np.ndarray | float = 1.0
+    ) -> list[np.ndarray]:
+        """Of the mean weighted logistic loss; only the places of maxima take part."""
         maxima, argmax = self.pooled(words, bounds, places=True)
         active = np.maximum(maxima + self.bias, 0)
-        error = (sigmoid(active @ self.output + self.offset) - target) / len(target)
+        error = (sigmoid(active @ self.output + self.offset) - target) * weight / len(target)
         back = error[:, None] * self.output * (active > 0)
         padded, _ = pad(words, bounds)
         table = np.zeros_like(self.embedding)
@@ -153,19 +176,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-@dataclass
-class Sample:
-    """Labelled documents: words, row bounds, labels, languages by name."""
-
-    words: np.ndarray
-    bounds: np.ndarray
-    toxic: np.ndarray
-    lang: list[str | None] = field(default_factory=list)
-
-    def rows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.diff(self.bounds)[chosen]
-        bounds = np.append(0, np.cumsum(sizes))
-        return self.words[np.repeat(self.bounds[chosen] - bounds[:-1], sizes) + np.arange(bounds[-1])], bounds
+def rows_at(words: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some rows, and where each row's start."""
+    sizes = np.diff(bounds)[chosen]
+    starts = np.append(0, np.cumsum(sizes))
+    return words[np.repeat(bounds[chosen] - starts[:-1], sizes) + np.arange(starts[-1])], starts
 
 
 @dataclass
@@ -206,12 +221,34 @@ def spoken(weights: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> np.nda
     return np.argmax(np.stack(sums, axis=1), axis=1) if sums else np.zeros(len(bounds) - 1, np.int64)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, longest: int) -> Sample | None:
-    """At most ``per_label`` documents of each label, chosen by a hash of doc_id, as hashed words.
+def may_be_among(ids: DataFrame, column: Column) -> Column:
+    """Whether a doc_id may be one of ``ids``: true for all of those, and for few others.
+
+    A table of 2**FILTER_BITS bits, one of them set for each id, goes to the tasks; the
+    more ids, the more others pass.
+    """
+
+    def place(of: Column) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(1 << FILTER_BITS))
+
+    set_bits = ids.select(place(F.col("doc_id")).alias("p")).groupBy(F.floor(F.col("p") / 8).alias("byte"))
+    found = set_bits.agg(F.bit_or(F.pow(F.lit(2), F.col("p") % 8).cast("int")).alias("bits")).toArrow()
+    table = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    table[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
 
-    Documents that are held out or longer than ``longest`` words are left out; of
-    rows that share a doc_id one is taken. The driver receives
-    4 * per_label * longest words at most.
+    @F.arrow_udf("boolean")
+    def marked(places: pa.Array) -> pa.Array:
+        at = places.to_numpy(zero_copy_only=False)
+        return pa.array((table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return marked(place(column))
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every labelled document that is not held out, as hashed words, written once.
+
+    ``row`` numbers the rows. ``keys`` are four minimal hashes of a text's word
+    triples; near copies share some. Of differing labels of a doc_id the greater counts.
     """
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -219,108 +256,245 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, longest:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    order = F.xxhash64("doc_id", F.lit(11))
-    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
-    if len(counts) < 2:
-        return None
-    pick = F.lit(False)
-    for label, count in counts.items():
-        bar = min(2**63 - 1, (2**63 - 1) * per_label // count)
-        pick = pick | ((F.col("toxic") == label) & (F.shiftrightunsigned(order, 1) <= bar))
-    # Rows of two numbers, in a number that does not grow with the input.
-    chosen = marked.where(pick).orderBy(order, "doc_id").limit(4 * per_label).withColumnRenamed("doc_id", "of_id")
+    marked = materialise(marked, "toxic-labels")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
+    rows = rows.where(F.col("doc_id").isNotNull() & ~held_out()).where(may_be_among(marked, F.col("doc_id")))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 40
         for batch in batches_of(batches, "text"):
             words, bounds = hashed_words(batch.column("text"))
-            short = np.diff(bounds) <= longest
-            packed = [words[a:b].tobytes() if s else None for a, b, s in zip(bounds[:-1], bounds[1:], short, strict=True)]
-            columns = [batch.column("doc_id"), batch.column("toxic"), batch.column("lang"), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "lang", "words"])
-
-    found = (
-        rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of_id"))
-        .select("doc_id", "toxic", "lang", "text")
-        .mapInArrow(extract, "doc_id long, toxic int, lang string, words binary")
-        .where("words is not null")
-        .groupBy("doc_id")
-        .agg(F.max(F.struct("words", "lang", "toxic")).alias("r"))
-        .select("doc_id", "r.*")
+            texts = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            columns = [
+                pa.array(at + np.arange(len(texts))),
+                batch.column("doc_id"),
+                batch.column("toxic"),
+                batch.column("lang"),
+                pa.array([t.tobytes() for t in texts], pa.binary()),
+                pa.array([copy_keys(t) for t in texts], pa.list_(pa.int64())),
+            ]
+            at += len(texts)
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "toxic", "lang", "words", "keys"])
+
+    schema = "row long, doc_id long, toxic int, lang string, words binary, keys array<long>"
+    found = rows.join(marked.hint("merge"), "doc_id").select("doc_id", "toxic", "lang", "text").mapInArrow(extract, schema)
+    return materialise(found, "labelled", "zstd")
+
+
+def copy_keys(words: np.ndarray) -> list[int]:
+    """Four minimal hashes of a text's word triples, each told from the others."""
+    words = words.astype(np.uint64)
+    triples = words[:-2] + (words[1:-1] << np.uint64(21)) + (words[2:] << np.uint64(42)) if len(words) > 2 else words
+    return [
+        int((mix(triples ^ np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))).min(initial=2**64 - 1) & np.uint64(2**64 - 4)).view(np.int64)) + k - 1
+        for k in range(1, 5)
+    ]
+
+
+def copy_weights(rows: DataFrame) -> DataFrame:
+    """(row, weight): one over the rows that share the commonest of a row's keys.
+
+    Near copies weigh about as much together as one text: else the rare words of a
+    text that was copied often would pass for signs of its label.
+    """
+    keys = rows.select("row", F.explode("keys").alias("key"))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n"))
+    return materialise(keys.join(sizes, "key").groupBy("row").agg((1 / F.max("n")).alias("weight")), "copy-weights")
+
+
+def dealt(rows: DataFrame) -> DataFrame | None:
+    """Training rows dealt to cells by a hash, written by turn; None unless both labels have rows.
+
+    Four in five rows are to ``learn`` from, the others to ``test`` with; where one
+    label lacks either, every row does both. The rarer label's rows are copied, by the
+    root of how much rarer it is, so that cells hold some of them, and repeated in their
+    cells for the rest; ``copy`` 0 is the row itself.
+    """
+    aside = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 4
+    totals = (
+        rows.groupBy("toxic", aside.alias("aside"))
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length("words") / 4).cast("long").alias("words"))
         .collect()
     )
-    found = sorted(found, key=lambda r: r["doc_id"])
-    toxic = np.array([r["toxic"] for r in found], np.float32)
-    if len(set(toxic.tolist())) < 2:
+    if len({r["toxic"] for r in totals}) < 2:
         return None
-    texts = [np.frombuffer(r["words"], np.int32) for r in found]
-    return Sample(np.concatenate(texts), np.append(0, np.cumsum([len(t) for t in texts])), toxic, [r["lang"] for r in found])
+    apart = len(totals) == 4
+    count, words = ([sum(r[c] for r in totals if r["toxic"] == t and not (apart and r["aside"])) for t in (0, 1)] for c in ("n", "words"))
+    times = [max(1, round((max(count) / n) ** 0.5)) for n in count]
+    size = max(2 * max(count) / CELL_ROWS, sum(n * t for n, t in zip(words, times)) / CELL_WORDS)
+    slots = min(SLOTS, int(np.ceil(size)))
+    cells = slots * int(np.ceil(size / slots))
+    learn, test = (~aside, aside) if apart else (F.lit(True), F.lit(True))
+    copies = F.when(learn, F.when(F.col("toxic") == 1, times[1]).otherwise(times[0])).otherwise(1)
+    cell = F.pmod(F.xxhash64("doc_id", "words", "copy"), F.lit(cells))
+    placed = (
+        rows.drop("keys")
+        .join(copy_weights(rows).hint("merge"), "row")
+        .withColumns({"learn": learn, "test": test, "copy": F.explode(F.sequence(F.lit(0), copies - 1))})
+        .withColumns({"cell": cell, "slot": (cell % slots).cast("int")})
+        .repartition(cells, "cell")
+        .sortWithinPartitions("cell", "doc_id", F.xxhash64("words"), "copy", "lang")
+        .select("cell", "copy", "learn", "test", "toxic", "weight", "lang", "words", "slot")
+    )
+    path = scratch_path(rows.sparkSession, "cells")
+    placed.write.option("compression", "zstd").partitionBy("slot").parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)
+
 
+def words_in(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed words of a batch's rows, and where each row's start."""
+    texts = [np.frombuffer(w, np.int32) for w in batch.column("words").to_pylist()]
+    return np.concatenate([np.zeros(0, np.int32), *texts]), np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64)
 
-def without_copies(sample: Sample) -> Sample:
-    """One of near copies: a row goes if one of four minimal hashes of word triples is that of an earlier one.
 
-    Else the rare words of a text that was copied often would pass for signs of its label.
+def known_buckets(rows: DataFrame, least: float, every: dict[int, float]) -> np.ndarray:
+    """Hash buckets of words in so many documents, and in ``SHARE`` of them as a mean over both labels.
+
+    Documents count by their weights, ``every`` has the sum of each label's. Of more
+    than ``WORDS`` buckets those of the largest shares are taken.
     """
-    seen: set[tuple[int, int]] = set()
-    kept = []
-    for i in range(len(sample.toxic)):
-        words = sample.words[sample.bounds[i] : sample.bounds[i + 1]].astype(np.uint64)
-        triples = words[:-2] + (words[1:-1] << np.uint64(21)) + (words[2:] << np.uint64(42)) if len(words) > 2 else words
-        keys = {(k, int(mix(triples ^ np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))).min(initial=2**64 - 1))) for k in range(1, 5)}
-        if not keys & seen:
-            kept.append(i)
-        seen |= keys
-    words, bounds = sample.rows(np.array(kept))
-    return Sample(words, bounds, sample.toxic[kept], [sample.lang[i] for i in kept])
-
-
-def known_buckets(sample: Sample) -> np.ndarray:
-    """Hash buckets of words in ``SEEN`` sampled documents or more; in fewer, two at least, where a label has under 240."""
-    rarer = int(min((sample.toxic == 1).sum(), (sample.toxic == 0).sum()))
-    least = min(SEEN, max(2, rarer // 30))
-    pairs = np.unique(rows_of(sample.bounds).astype(np.int64) << HASH_BITS | sample.words)
-    return np.flatnonzero(np.bincount(pairs & ((1 << HASH_BITS) - 1), minlength=1 << HASH_BITS) >= least)
-
-
-def fit_network(sample: Sample, chosen: np.ndarray, words: int) -> Network:
-    """Adam over shuffled batches of rows of similar weight: both labels count alike."""
-    network, dice = Network.random(words), np.random.default_rng(12)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, 1 << HASH_BITS), np.int64)
+        for batch in batches_of(batches, "words"):
+            words, bounds = words_in(batch)
+            pairs = np.unique(rows_of(bounds) << HASH_BITS | words)
+            row = pairs >> HASH_BITS
+            whole = np.round(batch.column("weight").to_numpy() * WEIGHT_ONE).astype(np.int64)
+            np.add.at(seen, (batch.column("toxic").to_numpy()[row], pairs & ((1 << HASH_BITS) - 1)), whole[row])
+        found = np.flatnonzero(seen.any(axis=0))
+        yield from pa.table({"bucket": found, "clean": seen[0, found], "toxic": seen[1, found]}).to_batches(100_000)
+
+    counted = rows.select("toxic", "weight", "words").mapInArrow(count, "bucket long, clean long, toxic long")
+    sums = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    share = F.round((F.col("clean") / every[0] + F.col("toxic") / every[1]) / (2 * WEIGHT_ONE), 9)
+    common = sums.where((F.col("clean") + F.col("toxic") >= int((least - 0.001) * WEIGHT_ONE)) & (share >= SHARE))
+    taken = common.orderBy(F.desc(share), "bucket").limit(WORDS).select("bucket").toArrow()
+    return np.sort(taken.column("bucket").to_numpy().astype(np.int64))
+
+
+def fit_cell(
+    network: Network,
+    words: np.ndarray,
+    bounds: np.ndarray,
+    toxic: np.ndarray,
+    weight: np.ndarray,
+    times: tuple[int, int],
+    rate: float,
+    dice: np.random.Generator,
+) -> None:
+    """Adam over the rows in shuffled batches; each label's rows so many ``times``."""
     parameters = network.parameters()
     first, second = ([np.zeros_like(p) for p in parameters] for _ in range(2))
-    ones, zeros = (chosen[sample.toxic[chosen] == label] for label in (1, 0))
-    step = 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        # Each epoch sees all rows; those of the rarer label as often as the others.
-        more = max(len(ones), len(zeros))
-        mixed = np.stack([np.resize(dice.permutation(part), more) for part in (ones, zeros)], axis=1).ravel()
-        for at in range(0, len(mixed), BATCH):
-            rows = mixed[at : at + BATCH]
-            step += 1
-            words, bounds = sample.rows(rows)
-            words = np.where(dice.random(len(words)) < HIDDEN, 0, words)
-            slopes = network.gradients(words, bounds, sample.toxic[rows])
-            for p, g, a, b in zip(parameters, slopes, first, second, strict=True):
-                a += 0.1 * (g - a)
-                b += 0.001 * (g * g - b)
-                p -= rate * (a / (1 - 0.9**step) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8) + DECAY * p)
+    mixed = dice.permutation(np.repeat(np.arange(len(toxic)), np.array(times)[toxic.astype(int)]))
+    for step, at in enumerate(range(0, len(mixed), BATCH), 1):
+        rows = mixed[at : at + BATCH]
+        batch, starts = rows_at(words, bounds, rows)
+        batch = np.where(dice.random(len(batch)) < HIDDEN, 0, batch)
+        slopes = network.gradients(batch, starts, toxic[rows], weight[rows])
+        for p, g, a, b in zip(parameters, slopes, first, second, strict=True):
+            a += 0.1 * (g - a)
+            b += 0.001 * (g * g - b)
+            p -= rate * (a / (1 - 0.9**step) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8) + DECAY * p)
+
+
+def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each cell; rows come ordered by cell."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        cells = batch.column("cell").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a == b:
+                continue
+            if held and held[-1].column("cell")[0].as_py() != int(cells[a]):
+                yield held[-1].column("cell")[0].as_py(), pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held[-1].column("cell")[0].as_py(), pa.concat_batches(held)
+
+
+def fit_round(
+    cells: DataFrame, model: ToxicityModel, scale: tuple[float, float], times: tuple[int, int], rate: float, turn: int
+) -> Network:
+    """The mean of the networks that each cell's rows make of the present one.
+
+    A word's row is the mean over the cells that have the word; means are weighted
+    by the cells' rows. The driver receives one mean network.
+    """
+    names = [f"v{i}" for i in range(DIMENSIONS)]
+    size = len(model.network.embedding)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Row 0 of the embedding stays 0; the other parameters stand behind the embedding.
+        sums = np.zeros((size + -(-sum(p.size for p in model.network.parameters()[1:]) // DIMENSIONS), DIMENSIONS + 1), np.int64)
+        for cell, batch in whole_cells(batches):
+            words, bounds = words_in(batch)
+            words = model.known(words)
+            own = np.union1d(words, [0])
+            network = model.network.part(own)
+            toxic = batch.column("toxic").to_numpy().astype(np.float32)
+            weight = (batch.column("weight").to_numpy() * np.array(scale)[toxic.astype(int)]).astype(np.float32)
+            fit_cell(network, np.searchsorted(own, words), bounds, toxic, weight, times, rate, np.random.default_rng([12, turn, cell]))
+            rest = np.concatenate([p.ravel() for p in network.parameters()[1:]])
+            rest = np.append(rest, np.zeros(-len(rest) % DIMENSIONS, np.float32)).reshape(-1, DIMENSIONS)
+            values = np.vstack([network.embedding[1:], rest]).astype(np.float64)
+            numbers = np.append(own[1:], size + np.arange(len(rest)))
+            sums[numbers, 1:] += np.round(values * VALUE_ONE).astype(np.int64) * len(toxic)
+            sums[numbers, 0] += len(toxic)
+        numbers = np.flatnonzero(sums[:, 0])
+        columns = {"number": numbers, **dict(zip(("n", *names), sums[numbers].T, strict=True))}
+        yield from pa.table({c: pa.array(np.ascontiguousarray(v), pa.int64()) for c, v in columns.items()}).to_batches(10_000)
+
+    rows = cells.select("cell", "toxic", "weight", "words")
+    fitted = rows.mapInArrow(fit, ", ".join(f"{c} long" for c in ("number", "n", *names)))
+    means = fitted.groupBy("number").agg(*((F.sum(c) / F.sum("n") / VALUE_ONE).cast("float").alias(c) for c in names)).toArrow()
+    if not means.num_rows:
+        return model.network
+    numbers = means.column("number").to_numpy()
+    values = np.stack([means.column(c).to_numpy() for c in names], axis=1)
+    network = model.network.part(np.arange(size))
+    network.embedding[numbers[numbers < size]] = values[numbers < size]
+    rest, at = values[numbers >= size][np.argsort(numbers[numbers >= size])].ravel(), 0
+    for p in network.parameters()[1:]:
+        p[...] = rest[at : at + p.size].reshape(p.shape)
+        at += p.size
     return network
 
 
-def language_weights(sample: Sample, words: int, least: int = 20) -> np.ndarray:
-    """Naive Bayes log weights (word, language) from the sampled documents' languages.
+def language_weights(rows: DataFrame, model: ToxicityModel, least: int = 20) -> np.ndarray:
+    """Naive Bayes log weights (word, language) from all documents' languages, by their weights.
 
     Languages of fewer than ``least`` documents have no column. Unknown words weigh nothing.
     """
-    names = sorted({n for n in sample.lang if n is not None and sample.lang.count(n) >= least})
-    weights = np.zeros((words + 1, len(names)))
-    of_word = np.repeat(np.array([names.index(n) if n in names else -1 for n in sample.lang], np.int64), np.diff(sample.bounds))
-    for i in range(len(names)):
-        counts = np.bincount(sample.words[of_word == i], minlength=words + 1) + 1.0
-        weights[1:, i] = np.log(counts[1:] / counts[1:].sum())
+    size = len(model.buckets)
+    weighed = rows.where("lang is not null").groupBy("lang").agg(F.sum(F.round(F.col("weight") * WEIGHT_ONE).cast("long")).alias("n"))
+    names = sorted(r["lang"] for r in weighed.where(F.col("n") >= int((least - 0.001) * WEIGHT_ONE)).collect())
+    weights = np.zeros((size + 1, len(names)))
+    if not names:
+        return weights
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((len(names), size + 1), np.int64)
+        for batch in batches_of(batches, "words"):
+            words, bounds = words_in(batch)
+            whole = np.round(batch.column("weight").to_numpy() * WEIGHT_ONE).astype(np.int64)
+            place = np.array([names.index(n) for n in batch.column("lang").to_pylist()], np.int64)
+            at = rows_of(bounds)
+            np.add.at(seen, (place[at], model.known(words)), whole[at])
+        for i in range(len(names)):
+            found = np.flatnonzero(seen[i])
+            yield from pa.table({"word": found, "place": np.full(len(found), i), "n": seen[i][found]}).to_batches(100_000)
+
+    told = rows.where(F.col("lang").isin(names)).select("weight", "lang", "words")
+    counted = told.mapInArrow(count, "word long, place long, n long").groupBy("word", "place").agg(F.sum("n").alias("n")).toArrow()
+    weights[counted.column("word").to_numpy(), counted.column("place").to_numpy()] = counted.column("n").to_numpy() / WEIGHT_ONE
+    weights[1:] += 1
+    weights[1:] = np.log(weights[1:] / weights[1:].sum(axis=0)) if size else 0
+    weights[0] = 0
     return weights
 
 
@@ -331,59 +505,97 @@ def best_threshold(raised: np.ndarray, toxic: np.ndarray) -> float:
     """
     order = np.argsort(raised, kind="stable")
     raised, toxic = raised[order].astype(np.float64), toxic[order] == 1
+    return best_cut(raised, raised, toxic.astype(np.float64), (~toxic).astype(np.float64))
+
+
+def best_cut(low: np.ndarray, high: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """``best_threshold`` between steps of logits ``low`` to ``high``, each with its weight of either label."""
+    if len(low) < 2:
+        return float((low[0] + high[0]) / 2)
     missed = np.cumsum(toxic)[:-1] / toxic.sum()
-    alarms = 1 - np.cumsum(~toxic)[:-1] / (~toxic).sum()
+    alarms = 1 - np.cumsum(clean)[:-1] / clean.sum()
     errors = np.round(missed + alarms, 12)
-    gaps = np.where(errors == errors.min(), np.diff(raised), -1)
+    gaps = np.where(errors == errors.min(), low[1:] - high[:-1], -1)
     at = int(np.argmax(gaps))
-    return float((raised[at] + raised[at + 1]) / 2)
+    return float((high[at] + low[at + 1]) / 2)
 
 
-def train(
-    docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST
-) -> ToxicityModel | None:
-    """Fit on a bounded sample of labelled documents; None if one label has no documents.
+def best_thresholds(rows: DataFrame, model: ToxicityModel) -> np.ndarray:
+    """A threshold for every predicted language, from the logits of all rows.
 
-    Four in five sampled documents train the network. The others calibrate it: the
-    logit that best parts the labels is found for every predicted language and for
-    all together; a language's threshold lies between the two, the nearer to its
-    own the more documents it has.
+    It lies between the logit that best parts the labels in all languages and that
+    of its own, the nearer to its own the more documents it has. The driver
+    receives the rows' weights by language and step of logits.
     """
-    sample = labelled_sample(docs, labels, per_label, longest)
-    if sample is None:
-        return None
-    sample = without_copies(sample)
-    if len(set(sample.toxic.tolist())) < 2:
-        return None
-    buckets = known_buckets(sample)
-    model = ToxicityModel(buckets, Network.random(0), np.zeros((0, 0)), np.zeros(1))
-    sample.words = model.known(sample.words)
-    ordinal = np.zeros(len(sample.toxic), np.int64)
-    for label in (0, 1):
-        own = sample.toxic == label
-        ordinal[own] = np.arange(own.sum())
-    aside = ordinal % 5 == 4
-    if len(set(sample.toxic[aside].tolist())) < 2:
-        aside = np.ones(len(aside), bool)
-        learned = np.arange(len(aside))
-    else:
-        learned = np.flatnonzero(~aside)
-    model.network = fit_network(sample, learned, len(buckets))
-    model.languages = language_weights(sample, len(buckets))
-    rows = np.flatnonzero(aside)
-    words, bounds = sample.rows(rows)
-    raised, toxic = model.network.logits(words, bounds), sample.toxic[rows]
-    general = best_threshold(raised, toxic)
-    spoken_by = model.language(words, bounds)
+
+    def raise_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, "words"):
+            words, bounds = words_in(batch)
+            words = model.known(words)
+            raised = model.network.logits(words, bounds).astype(np.float64)
+            columns = [
+                pa.array(model.language(words, bounds)),
+                pa.array(np.floor(np.clip(raised, -FARTHEST, FARTHEST) * STEPS).astype(np.int64)),
+                pa.array(raised),
+                batch.column("toxic"),
+                pa.array(np.round(batch.column("weight").to_numpy() * WEIGHT_ONE).astype(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "step", "raised", "toxic", "n"])
+
+    raised = rows.select("toxic", "weight", "words").mapInArrow(raise_rows, "place long, step long, raised double, toxic int, n long")
+    found = raised.groupBy("place", "step").agg(
+        F.min("raised").alias("low"),
+        F.max("raised").alias("high"),
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
+        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
+    )
+    steps = found.toPandas().sort_values(["step", "place"])
+    both = steps.groupby("step").agg({"low": "min", "high": "max", "toxic": "sum", "clean": "sum"})
+
+    def cut(part) -> float:
+        return best_cut(*(part[c].to_numpy().astype(np.float64) for c in ("low", "high", "toxic", "clean")))
+
+    general = cut(both)
     thresholds = np.full(max(1, model.languages.shape[1]), general)
     for i in range(model.languages.shape[1]):
-        own = spoken_by == i
-        rarer = min((toxic[own] == 1).sum(), (toxic[own] == 0).sum())
+        own = steps[steps["place"] == i]
+        rarer = min(own["toxic"].sum(), own["clean"].sum()) / WEIGHT_ONE
         if rarer:
             # The fewer documents a language has, the more the threshold of all counts.
-            found = best_threshold(raised[own], toxic[own])
-            thresholds[i] = (rarer * found + PRIOR * general) / (rarer + PRIOR)
-    model.thresholds = thresholds
+            thresholds[i] = (rarer * cut(own) + PRIOR * general) / (rarer + PRIOR)
+    return thresholds
+
+
+def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
+    """Fit on every labelled document that is not held out; None if one label has no documents.
+
+    Known words, language weights and thresholds are sums over all of them. Four in
+    five train the network, whole texts of any length: tasks fit it on cells of some
+    thousand rows, and the mean of what they make of it is the network of the next
+    round. The others calibrate it. The driver holds the model, whose size does not
+    grow with the documents, and its means; documents stay in the tasks.
+    """
+    cells = dealt(labelled_rows(docs, labels))
+    if cells is None:
+        return None
+    rows = cells.where("copy = 0")
+    weights = F.sum(F.round(F.col("weight") * WEIGHT_ONE).cast("long"))
+    learned = {r["toxic"]: r for r in cells.where("learn").groupBy("toxic").agg(weights.alias("w"), F.count("*").alias("n")).collect()}
+    every = {r["toxic"]: r["w"] / WEIGHT_ONE for r in rows.groupBy("toxic").agg(weights.alias("w")).collect()}
+    most = max(r["n"] for r in learned.values())
+    times = tuple(max(1, round(most / learned[t]["n"])) for t in (0, 1))
+    total = sum(learned[t]["n"] * times[t] for t in (0, 1))
+    # Both labels count alike, and a row counts 1 on average.
+    scale = tuple(total / 2 / (learned[t]["w"] * times[t] / WEIGHT_ONE) for t in (0, 1))
+    # Words in SEEN documents or more; in fewer, two at least, where a label has under 240.
+    buckets = known_buckets(rows, min(SEEN, max(2, int(min(every.values())) // 30)), every)
+    model = ToxicityModel(buckets, Network.random(len(buckets)), np.zeros((0, 0)), np.zeros(1))
+    slots = cells.where("learn").agg(F.max("slot")).collect()[0][0] + 1
+    for turn in range(ROUNDS):
+        own = cells.where((F.col("slot") == turn % slots) & F.col("learn"))
+        model.network = fit_round(own, model, scale, times, RATE * (1 - turn / ROUNDS), turn)
+    model.languages = language_weights(rows, model)
+    model.thresholds = best_thresholds(cells.where("test and copy = 0"), model)
     return model
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from larchfield.llm import toxicity
-from larchfield.llm.hashing import word_hashes
+from larchfield.llm.hashing import word_hash, word_hashes
 
 SYLLABLES = ("ba", "do", "ki", "lu", "me", "no", "ra", "su", "ti", "ve")
 BAD = {"en": ("vilex", "grimp", "scorv"), "de": ("pfuix", "grollx", "schmax")}
@@ -124,3 +124,37 @@ def test_odd_rows(spark, model):
     assert toxicity.score_documents(docs.limit(0), model).collect() == []
     assert {r["score"] for r in toxicity.score_documents(docs, None).collect()} == {0.0}
     assert toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int")) is None
+
+
+def test_every_labelled_document_is_learned_from(spark, corpus, monkeypatch):
+    rows, labels = corpus
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "CELL_ROWS", 150)
+    cells = toxicity.dealt(toxicity.labelled_rows(docs, marks))
+    taken = {(r["cell"], r["learn"]): r["count"] for r in cells.where("copy = 0").groupBy("cell", "learn").count().collect()}
+    assert sum(taken.values()) == sum(not held(i) for i, _ in labels) and len({c for c, _ in taken}) > 4
+    model = toxicity.train(docs, marks)
+    again = toxicity.train(docs.repartition(3), marks)
+    texts = pa.array([r[1] for r in rows[:50]])
+    assert model.score(texts).tolist() == again.score(texts).tolist()
+
+
+def test_long_documents_are_learned_from_whole(spark):
+    dice, rows, labels = np.random.default_rng(6), [], []
+    for i in range(60):
+        words = prose(dice, "en", 4100)
+        if i % 2:
+            words[4000:4003] = BAD["en"]
+        rows.append((i, " ".join(words), "en", "s", "x"))
+        labels.append((i, i % 2))
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {word_hash(w) >> 64 - toxicity.HASH_BITS for w in BAD["en"]} <= set(model.buckets.tolist())
+
+
+def test_near_copies_weigh_like_one_text(spark):
+    rows = [(i, "one two three four five", "en", "s", "x") for i in range(12)] + [(50, "six seven eight nine", "en", "s", "x")]
+    marks = spark.createDataFrame([(r[0], 0) for r in rows], "doc_id long, toxic int")
+    kept = toxicity.labelled_rows(spark.createDataFrame(rows, DOCS), marks)
+    weights = toxicity.copy_weights(kept).collect()
+    assert sum(r["weight"] for r in weights) == pytest.approx(1 + (not held(50)))
