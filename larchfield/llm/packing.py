@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +46,12 @@ class WordTokenizer:
         self.words = pa.array([], pa.large_binary())
         self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""
-        texts = [w.decode() for w in words]
-        coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        first = np.fromiter((o[0] for o in coded.offsets), np.int64, len(coded.ids))
-        ends = np.cumsum([len(t) + 1 for t in texts])
+        listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary()))
+        coded = self.tokenizer.encode(pc.binary_join(listed, b" ")[0].as_py().decode(), add_special_tokens=False)
+        first = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(coded.ids))[::2]
+        ends = np.cumsum(pc.utf8_length(words.cast(pa.large_string())).to_numpy() + 1)
         return np.array(coded.ids, np.uint32), np.diff(np.searchsorted(first, ends), prepend=0)
 
     def coded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,7 +59,7 @@ class WordTokenizer:
         at = pc.index_in(words, value_set=self.words)
         missing = words.filter(at.is_null())
         learned = [
-            self.learn(missing.slice(start, LEARNED).to_pylist()) for start in range(0, len(missing), LEARNED)
+            self.learn(missing.slice(start, LEARNED)) for start in range(0, len(missing), LEARNED)
         ]
         ids = np.concatenate([self.ids, *(i for i, _ in learned)])
         lengths = np.concatenate([self.lengths, *(n for _, n in learned)])
