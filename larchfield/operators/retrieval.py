@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larchfield.functions.text import token_count, tokens
 from larchfield.session import materialise
@@ -200,14 +202,73 @@ def corpus_stats(corpus: DataFrame) -> DataFrame:
 # --- vectors ----------------------------------------------------------------------
 
 
+#: Rows whose dense term counts are held at a time.
+HASHED_ROWS = 1_000
+
+
 def hashed_vectors(df: DataFrame, text: str, target: str = "embedding", width: int = 384) -> DataFrame:
-    """Unit-length hashed term counts, computed on the JVM without a model."""
-    words = df.withColumn("_words", tokens(F.lower(text)))
-    counted = HashingTF(numFeatures=width, inputCol="_words", outputCol="_counts").transform(words)
-    unit = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit").transform(counted)
-    return unit.withColumn(target, vector_to_array("_unit", "float32")).drop(
-        "_words", "_counts", "_unit"
-    )
+    """Unit-length hashed term counts, without a model; a NULL text has no vector.
+
+    The vectors are those of ``HashingTF`` and ``Normalizer`` over lower-case tokens.
+    Each distinct token of a batch is hashed once.
+    """
+
+    def encode(texts: pa.Array) -> pa.Array:
+        parts = [_hashed_counts(texts.slice(at, HASHED_ROWS), width) for at in range(0, len(texts), HASHED_ROWS)]
+        matrix = np.concatenate([np.zeros((0, width), np.float32), *parts])
+        starts = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * width)
+        return pa.ListArray.from_arrays(starts, pa.array(matrix.ravel()), mask=texts.is_null())
+
+    # A caller's filter on the vector would otherwise be moved below it and count every text once more.
+    once = F.arrow_udf(encode, T.ArrayType(T.FloatType(), False)).asNondeterministic()
+    return df.withColumn(target, once(F.lower(text)))
+
+
+def _hashed_counts(texts: pa.Array, width: int) -> np.ndarray:
+    """Unit-length counts of the hashed tokens of lower-case texts, a row per text."""
+    # Splits at what ``tokens`` splits at; white space at an end leaves an empty piece.
+    words = pc.utf8_split_whitespace(texts.fill_null(""))
+    rows = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+    coded = words.flatten().dictionary_encode()
+    at = coded.indices.to_numpy()
+    bucket = term_hashes(coded.dictionary).astype(np.int64) % width
+    full = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[at] > 0
+    places = (rows * width + bucket[at])[full]
+    counts = np.bincount(places, minlength=len(texts) * width).reshape(-1, width)
+    norms = np.sqrt(np.einsum("ij,ij->i", counts, counts))
+    # Counts are whole numbers, so that a norm below 1 is that of a text without tokens.
+    return (counts / np.maximum(norms, 1.0)[:, None]).astype(np.float32)
+
+
+def term_hashes(words: pa.Array) -> np.ndarray:
+    """32-bit Murmur3 hashes of the words' UTF-8 bytes with seed 42, as ``HashingTF`` takes them."""
+    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    joined = b"".join(words.cast(pa.binary()).to_pylist())
+    data = np.frombuffer(joined + bytes(4), np.uint8).astype(np.uint32)
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint32(by)) | (x >> np.uint32(32 - by))
+
+    def mixed(block: np.ndarray) -> np.ndarray:
+        return turned(block * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+
+    def bytes_at(place: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Little-endian number of the ``count`` bytes, four at most, from each place on."""
+        parts = (np.where(i < count, data[place + i], 0).astype(np.uint32) << np.uint32(8 * i) for i in range(4))
+        return reduce(np.bitwise_or, parts)
+
+    state = np.full(len(lengths), 42, np.uint32)
+    for block in range(int(lengths.max(initial=0)) // 4):
+        whole = np.flatnonzero(lengths >= 4 * block + 4)
+        one = state[whole] ^ mixed(bytes_at(starts[whole] + 4 * block, np.full(len(whole), 4)))
+        state[whole] = turned(one, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = lengths % 4
+    state ^= mixed(bytes_at(starts + lengths - rest, rest))
+    state ^= lengths.astype(np.uint32)
+    state = (state ^ (state >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    state = (state ^ (state >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (state ^ (state >> np.uint32(16))).view(np.int32)
 
 
 def embed(

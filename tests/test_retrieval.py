@@ -7,9 +7,12 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from larchfield.functions.text import tokens
 from larchfield.operators import completion, retrieval
 from larchfield.plans import registry
 from larchfield.plans.fixtures import Lake
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from tests.conftest import SF_TINY
 
@@ -148,6 +151,21 @@ def test_vectors_have_unit_length(spark):
             assert abs(np.linalg.norm(r.embedding) - 1) < 1e-6
 
 
+def test_hashed_vectors_are_those_of_the_transformers(spark):
+    """Tokens of all lengths, any white space, upper case, other scripts; a filter does not count twice."""
+    texts = ["a b b c", "", "  ", " Policy\t100/300,\u00a0\u2003x\x1cy ", "Ä ß 語 日本語 \U0001f600 x\u200by", " ".join("abcdefghijklmnop"[:n] for n in range(1, 17))]
+    df = spark.createDataFrame(list(enumerate(texts * 300)), "id int, t string")
+    words = df.withColumn("words", tokens(F.lower("t")))
+    counted = HashingTF(numFeatures=384, inputCol="words", outputCol="counts").transform(words)
+    unit = Normalizer(p=2.0, inputCol="counts", outputCol="unit").transform(counted)
+    want = unit.select("id", vector_to_array("unit", "float32").alias("want"))
+    got = retrieval.embed(df, "t").filter("embedding is not null")
+    assert str(got._jdf.queryExecution().optimizedPlan()).count("encode(") == 1
+    assert got.join(want, "id").filter("embedding <=> want").count() == len(texts) * 300
+    none = retrieval.embed(spark.createDataFrame([(None,), ("a",)], "t string"), "t")
+    assert sorted(r.embedding is None for r in none.collect()) == [False, True]
+
+
 def test_confidence_is_clipped(spark, rows):
     df = spark.createDataFrame(
         [(1, 1, 0.99), (1, 2, 0.99), (1, 3, 0.99), (1, 4, 0.0), (2, 1, 0.1), (3, 1, 0.625)],
