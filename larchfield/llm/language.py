@@ -253,7 +253,6 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """
     docs = docs.drop("held_out", "lang_pred", "score")
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(texts: pa.Array) -> pa.Array:
         worker_state("language")
         names: list[str] = []
@@ -270,7 +269,9 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = unknown if model is None else F.when(lettered, predict(text)).otherwise(unknown)
+    # A caller's filter on a prediction would otherwise be moved below it and predict every text once more.
+    once = F.arrow_udf(predict, "struct<lang_pred: string, score: double>").asNondeterministic()
+    found = unknown if model is None else F.when(lettered, once(text)).otherwise(unknown)
     own = [F.col(f"`{c}`") for c in docs.columns]
     flag = free_name(docs.columns, "found")
     rows = docs.select(*own, held_out(F.col("doc_id")).alias("held_out"), found.alias(flag))

@@ -69,6 +69,15 @@ def test_tabs_count_in_lines(spark):
     assert {r["doc_id"]: r["lines_removed"] for r in found} == {1: 0, 2: 0, 3: 3}
 
 
+def test_language_is_predicted_once_for_a_filter_on_it(spark):
+    """A pipeline drops unknown languages; the texts must not go to Python a second time for that."""
+    rows = [(i, ("the cat and the dog " if i % 2 else "der Hund und die Katze ") * 5, ("en", "de")[1 - i % 2]) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (40, "123", None), (41, None, "en")], "doc_id long, text string, lang string")
+    kept = language.identify(docs, language.train(docs)).where("lang_pred <> 'und'").select("doc_id", "lang_pred")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {tuple(r) for r in kept.collect()} == {(i, lang) for i, _, lang in rows}
+
+
 def test_language_keeps_columns_of_any_name(spark):
     docs = clashing(spark, [(i, f"the text of number {i}" if i % 2 else f"der Text der Nummer {i}", "en" if i % 2 else "de") for i in range(60)])
     found = language.identify(docs, language.train(docs)).collect()
