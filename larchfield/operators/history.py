@@ -12,6 +12,8 @@ START, END = "__START_AT", "__END_AT"
 
 #: A (key, day) with more rows than this is ordered second by second.
 MOST_ROWS = 1_000_000
+#: Keys are counted in so many buckets; those of a bucket with more rows than this are ordered by day.
+KEY_BUCKETS, KEY_ROWS = 65_536, 100_000
 
 
 def seq_spans(df: DataFrame, seq: str) -> tuple[Column, Column]:
@@ -57,15 +59,45 @@ def scd2(
     unique. Keys must not be NULL; rows with a NULL sequence are not versions:
     ``without_sequence`` returns them.
 
-    A key may hold any share of all rows, and so may a day of it, so neither is
-    put into one task. Versions are ordered inside spans of ``seq``: a key's day,
-    or its seconds where the day has more than ``most_rows`` rows. A span gets an
-    extra row that carries the start of the key's next span. Span starts, a few
-    narrow columns, are ordered on two levels: days per key, and seconds per key
-    and split day.
+    A key may hold any share of all rows. Rows are counted per bucket of keys first,
+    in a job of its own; only the numbers of large buckets reach the driver. Keys of
+    the other buckets cross one shuffle and are ordered whole; the large buckets'
+    keys are ordered by ``_by_span``.
     """
-    coarse, fine = seq_spans(versions, seq)
-    tagged = versions.filter(F.col(seq).isNotNull()).withColumn("_coarse", coarse)
+    ordered = versions.filter(F.col(seq).isNotNull())
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+    counts = ordered.groupBy(bucket.alias("_bucket")).count()
+    large = [row["_bucket"] for row in counts.filter(F.col("count") > min(most_rows, KEY_ROWS)).collect()]
+    if not large:
+        return _by_key(ordered, keys, seq, tiebreak)
+    is_large = bucket.isin(large)
+    spanned = _by_span(ordered.filter(is_large), keys, seq, tiebreak, most_rows)
+    return _by_key(ordered.filter(~is_large), keys, seq, tiebreak).unionByName(spanned)
+
+
+def _by_key(versions: DataFrame, keys: Sequence[str], seq: str, tiebreak: Sequence[Column]) -> DataFrame:
+    """History of keys whose rows fit a task each; ties and ends are settled behind the same shuffle."""
+    dealt = versions.repartition(*keys)
+    if tiebreak:
+        dealt = first_per(dealt, [*keys, seq], tiebreak)
+    ends = F.lead(seq).over(Window.partitionBy(*keys).orderBy(seq))
+    return dealt.withColumn(END, ends).withColumn(START, F.col(seq)).select(*versions.columns, END, START)
+
+
+def _by_span(
+    tagged: DataFrame, keys: Sequence[str], seq: str, tiebreak: Sequence[Column], most_rows: int
+) -> DataFrame:
+    """History of keys with any number of rows.
+
+    Neither a key nor a day of it is put into one task. Versions are ordered inside
+    spans of ``seq``: a key's day, or its seconds where the day has more than
+    ``most_rows`` rows. A span gets an extra row that carries the start of the key's
+    next span. Span starts, a few narrow columns, are ordered on two levels: days
+    per key, and seconds per key and split day.
+    """
+    columns = tagged.columns
+    coarse, fine = seq_spans(tagged, seq)
+    tagged = tagged.withColumn("_coarse", coarse)
 
     # Ties do not move a span's start, so the starts need no tie-break.
     starts = tagged.groupBy(*keys, "_coarse").agg(F.min(seq).alias("_start"), F.count("*").alias("_rows"))
@@ -95,7 +127,7 @@ def scd2(
         .withColumn(END, F.lead(seq).over(in_span))
         .filter(~F.col("_marker"))
         .withColumn(START, F.col(seq))
-        .select(*versions.columns, END, START)
+        .select(*columns, END, START)
     )
 
 

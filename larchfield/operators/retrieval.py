@@ -304,18 +304,16 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> pd.DataFrame:
-    """The k best rows of one block for each query; equal scores go by id.
+def _best_places(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Query, place and score of the k best rows of one block for each query; equal scores go by id.
 
     Scores are cut to 12 decimals: the last bits of a matrix product depend on
     where a row lies in its block, and copies of a vector must tie.
     """
-    found_queries, found_ids, found_scores = [], [], []
-    for start in range(0, len(query_ids), 256):
+    found, places, found_scores = [], [], []
+    for start in range(0, len(queries), 256):
         scores = np.round(queries[start : start + 256] @ vectors.T, 12)
-        for query_id, row in zip(query_ids[start : start + 256], scores):
+        for query, row in enumerate(scores, start):
             # All rows that reach the k-th best score, so that ties are decided by id.
             near = (
                 np.flatnonzero(row >= np.partition(row, -k)[-k])
@@ -323,10 +321,18 @@ def _best(
                 else np.arange(len(ids))
             )
             near = near[np.lexsort((ids[near], -row[near]))][:k]
-            found_queries.extend([query_id] * len(near))
-            found_ids.extend(ids[near])
-            found_scores.extend(row[near])
-    return pd.DataFrame({"query_id": found_queries, "doc_id": found_ids, "score": found_scores})
+            found.append(np.full(len(near), query))
+            places.append(near)
+            found_scores.append(row[near])
+    return tuple(np.concatenate([np.zeros(0, kind), *parts]) for kind, parts in ((int, found), (int, places), (float, found_scores)))
+
+
+def _best(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
+) -> pd.DataFrame:
+    """The k best rows of one block for each query, by id."""
+    found, places, scores = _best_places(queries, ids, vectors, k)
+    return pd.DataFrame({"query_id": query_ids[found], "doc_id": ids[places], "score": scores})
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
@@ -341,6 +347,16 @@ def _stacked(column: pd.Series) -> np.ndarray:
     return _unit_rows(np.stack(column.to_numpy()).astype(np.float64))
 
 
+def _flat(column: pa.ListArray) -> np.ndarray:
+    """``_stacked`` without an object per vector."""
+    if len(column) and pc.count_distinct(pc.list_value_length(column)).as_py() > 1:
+        raise ValueError("vectors differ in length")
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return _unit_rows(values.reshape(len(column), -1)) if len(column) else np.zeros((0, 0))
+
+
+#: Up to so many queries are held by every task and meet each vector where it is read.
+FEW = 16
 #: Centres that corpus vectors are gathered round: so many rows and vectors reach the driver.
 CENTRES = 64
 #: Scores are cut to 12 decimals; a bound must miss by more than that to count.
@@ -353,7 +369,9 @@ def topk_cosine(queries: DataFrame, corpus: DataFrame, k: int = 5, block: int =
     ``queries`` has ``query_id, embedding`` and ``corpus`` has ``doc_id,
     embedding``; zero vectors score 0, rows without a vector take no part.
 
-    Corpus vectors are gathered round 64 of them; a cluster's radius is the
+    Up to 16 queries go to the corpus, which is read once: each batch of it sends
+    on k rows per query, and no vector is written or shuffled. For more queries
+    corpus vectors are gathered round 64 of them; a cluster's radius is the
     distance of its farthest vector. A query first searches one promising
     cluster, whose k-th score no result can fall below. By Cauchy and Schwarz no
     vector of a cluster scores more than the centre's score plus the radius, so
@@ -365,6 +383,9 @@ def topk_cosine(queries: DataFrame, corpus: DataFrame, k: int = 5, block: int =
     narrow = queries.select("query_id", "embedding").filter("embedding is not null")
     vectors = corpus.select("doc_id", "embedding").filter("embedding is not null")
     result = f"query_id {dict(narrow.dtypes)['query_id']}, doc_id {dict(vectors.dtypes)['doc_id']}, score double"
+    few = narrow.limit(FEW + 1).toArrow()
+    if few.num_rows <= FEW:
+        return _ranked(_scanned(few, vectors, k, result), k)
     picked = vectors.orderBy(F.xxhash64("doc_id")).limit(CENTRES).collect()
     if not picked:
         return _ranked(queries.sparkSession.createDataFrame([], result), k)
@@ -382,6 +403,23 @@ def topk_cosine(queries: DataFrame, corpus: DataFrame, k: int = 5, block: int =
     return _ranked(first.unionByName(more), k)
 
 
+def _scanned(few: pa.Table, vectors: DataFrame, k: int, result: str) -> DataFrame:
+    """The best k of every batch of the corpus for a few queries."""
+    if not few.num_rows:
+        return vectors.sparkSession.createDataFrame([], result)
+    query_ids, queries = few.column("query_id").combine_chunks(), _flat(few.column("embedding").combine_chunks())
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            ids = batch.column("doc_id")
+            found, places, scores = _best_places(queries, ids.to_pandas().to_numpy(), _flat(batch.column("embedding")), k)
+            yield pa.RecordBatch.from_arrays(
+                [query_ids.take(pa.array(found)), ids.take(pa.array(places)), pa.array(scores)], ["query_id", "doc_id", "score"]
+            )
+
+    return vectors.mapInArrow(search, result)
+
+
 def _gathered(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     """Each vector with its nearest centre and the distance from it."""
 

@@ -974,15 +974,22 @@ QUESTIONS = (
 
 def retrieved(lake: Lake, sizes: tuple[int, int]) -> DataFrame:
     """The five best policy chunks for every question."""
-    corpus = retrieval.build_corpus(documents_of_policies(lake), "nl_document", *sizes)
-    corpus = corpus.withColumn("doc_id", F.concat_ws("#", "policy_number", "chunk_index"))
+
+    def chunks(documents: DataFrame) -> DataFrame:
+        corpus = retrieval.build_corpus(documents, "nl_document", *sizes)
+        return corpus.withColumn("doc_id", F.concat_ws("#", "policy_number", "chunk_index"))
+
+    documents = documents_of_policies(lake)
     asked = lake.spark.createDataFrame(
         list(enumerate(QUESTIONS, 1)), "query_id int, question string"
     )
-    # Chunks and their vectors are written once: the search counts them, blocks them and shows them.
-    corpus = materialise(retrieval.embed(corpus, "chunk_text"), "policy-chunks")
-    found = retrieval.topk_cosine(retrieval.embed(asked, "question"), corpus)
-    texts = corpus.select("doc_id", "policy_number", "chunk_text")
+    corpus = retrieval.embed(chunks(documents), "chunk_text")
+    # Vectors are read once, by the search, and not written.
+    found = materialise(retrieval.topk_cosine(retrieval.embed(asked, "question"), corpus), "policy-ranks")
+    # Texts are cut once more, of those documents only that have a chunk among the hits.
+    owners = found.select(F.substring_index("doc_id", "#", 1).alias("_owner")).distinct()
+    hit = documents.join(owners, F.col("policy_number").cast("string") == F.col("_owner"), "left_semi")
+    texts = chunks(hit).select("doc_id", "policy_number", "chunk_text")
     # A few rows that prompts, confidence and sources each read; the search runs once for all.
     return materialise(found.join(texts, "doc_id").join(asked, "query_id"), "policy-hits")
 

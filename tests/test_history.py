@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from larchfield.operators import history as history_module
 from larchfield.operators.history import END, START, current_rows, latest_per, scd2, without_sequence
 from larchfield.operators.ranking import global_rank_desc, global_row_number
 from larchfield.operators.star import asof_dim_join, build_dim, enrich, fact_claims
@@ -275,3 +276,18 @@ def test_split_spans_of_other_types(spark, rows, kind):
     frame = spark.createDataFrame(versions, f"key string, seq {kind}, id int")
     out = scd2(frame, ["key"], "seq", [F.desc("id")], 3)
     assert rows(out, "key", "id", START, END) == expected_history(versions)
+
+
+def test_keys_of_few_rows_cross_one_shuffle(spark):
+    out = scd2(as_frame(spark, random_versions(300, 8)), ["key"], "seq", [F.desc("id")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("key_rows", [0, 12, 150])
+def test_large_buckets_are_ordered_by_day(spark, rows, monkeypatch, key_rows):
+    versions = random_versions(600, 10)
+    monkeypatch.setattr(history_module, "KEY_ROWS", key_rows)
+    out = scd2(as_frame(spark, versions), ["key"], "seq", [F.desc("id")])
+    assert "_marker" in out._jdf.queryExecution().analyzed().toString()
+    assert rows(out, "key", "id", START, END) == expected_history(versions)

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from larchfield.functions.text import tokens
+from larchfield.functions.text import TOKEN_PATTERN, tokens
 from larchfield.operators import completion, retrieval
 from larchfield.plans import registry
 from larchfield.plans.fixtures import Lake
@@ -314,3 +314,59 @@ def test_search_for_answers_runs_once(spark):
     """Prompts, confidence and sources read the written hits."""
     files = registry.retrieved(Lake(spark, SF_TINY), registry.LARGE).inputFiles()
     assert files and all("policy-hits" in f for f in files)
+
+
+def test_few_queries_write_and_shuffle_no_vectors(spark, monkeypatch):
+    """The corpus is read once; more queries than that go by clusters and find the same."""
+    rng = random.Random(12)
+    corpus = [(f"d{i}", [rng.uniform(-1, 1) for _ in range(5)]) for i in range(150)]
+    queries = [(i, [rng.uniform(-1, 1) for _ in range(5)]) for i in range(retrieval.FEW + 1)]
+
+    def found(asked):
+        ranked = retrieval.topk_cosine(
+            spark.createDataFrame(asked, "query_id int, embedding array<float>"),
+            spark.createDataFrame(corpus, "doc_id string, embedding array<float>").repartition(3),
+            k=6,
+        )
+        return [(r.query_id, r["rank"], r.doc_id, r.score) for r in ranked.orderBy("query_id", "rank").collect()]
+
+    many = found(queries)
+    monkeypatch.setattr(retrieval, "materialise", None)
+    assert found(queries[:-1]) == many[:-6] and len(many) == 6 * len(queries)
+
+
+def test_vectors_of_unlike_length_are_refused(spark):
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<double>")
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "doc_id long, embedding array<double>")
+    with pytest.raises(Exception, match="differ in length"):
+        retrieval.topk_cosine(asked, corpus.coalesce(1)).collect()
+
+
+def test_search_for_answers_writes_no_vectors(spark, monkeypatch):
+    written = []
+    write = registry.materialise
+    monkeypatch.setattr(registry, "materialise", lambda df, label, *a: written.append(df.columns) or write(df, label, *a))
+    registry.retrieved(Lake(spark, SF_TINY), registry.SMALL)
+    assert written and not any("embedding" in columns for columns in written)
+
+
+def test_plain_and_other_texts_have_the_same_tokens(spark):
+    texts = ["", " ", "  a  b ", "x\ty\n z\x1cw", "a\u00a0b c", "Ä ß\u2003日本 q", "~!@ #\x7f $", None, "a\x00b c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    want = F.regexp_extract_all("t", F.lit(TOKEN_PATTERN), F.lit(0))
+    assert df.filter(~tokens("t").eqNullSafe(want)).isEmpty()
+
+
+def test_stored_answers_of_a_bucket_share_a_file(spark, tmp_path):
+    """A file per answer would take a block of the disk each."""
+    df = spark.range(400).select(F.concat(F.lit("p"), "id").alias("prompt"))
+    run = lambda: completion.complete(df, "prompt", lambda: CountingClient(tmp_path), log=f"{tmp_path}/log")
+    (tmp_path / "failed").touch()
+    assert run().filter("response <=> upper(prompt)").count() == 400
+    log = completion.AnswerLog(f"{tmp_path}/log", 1024)
+    files = [f.name for f in (tmp_path / "log").rglob("*") if f.is_file()]
+    buckets = [int(f.name) for f in (tmp_path / "log").iterdir()]
+    assert len(files) == len(buckets) < 400 and any(f.endswith(".json.gz") for f in files)
+    assert sum(len(log.known(b)[0]) for b in buckets) == 400
+    assert run().count() == 400
+    assert len((tmp_path / "calls").read_text().split()) == 400
