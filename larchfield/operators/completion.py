@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import operator
 import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyarrow import fs
@@ -229,8 +233,9 @@ def complete(
 class AnswerLog:
     """Answers by the hash of their prompt, in a folder per bucket of hashes.
 
-    Each stored answer is a file of its own that appears under its name at once,
-    so tasks need no agreement: two that race store the same name.
+    Each answer is stored as a file of its own that appears under its name at once,
+    so tasks need no agreement: two that race store the same name. Small files take
+    a block of the disk each, so those of a bucket that is done go into one.
     """
 
     folder: str
@@ -239,24 +244,51 @@ class AnswerLog:
     def store(self) -> tuple[fs.FileSystem, str]:
         return fs.FileSystem.from_uri(self.folder if "://" in self.folder or self.folder.startswith("file:") else f"file://{self.folder}")
 
-    def known(self, bucket: int) -> dict[str, str]:
-        """Stored answers of one bucket by prompt hash."""
+    def known(self, bucket: int) -> tuple[dict[str, str], dict[str, str]]:
+        """Stored answers of one bucket by prompt hash: all, and those in a file of their own."""
         store, root = self.store()
-        found = store.get_file_info(fs.FileSelector(f"{root}/{bucket}", allow_not_found=True))
-        names = [f.path for f in found if f.path.endswith(".txt")]
-        return {name.rpartition("/")[2].removesuffix(".txt"): self._read(store, name) for name in names}
+        for last in (False,) * 20 + (True,):
+            found = store.get_file_info(fs.FileSelector(f"{root}/{bucket}", allow_not_found=True))
+            paths = [f.path for f in found]
+            try:
+                packs = [json.loads(self._read(store, p)) for p in paths if p.endswith(".json.gz")]
+                single = {p.rpartition("/")[2].removesuffix(".txt"): self._read(store, p) for p in paths if p.endswith(".txt")}
+            except FileNotFoundError:
+                # Another task has just put them into one file, which the next look finds.
+                if last:
+                    raise
+            else:
+                return reduce(operator.or_, packs, {}) | single, single
 
     def _read(self, store: fs.FileSystem, path: str) -> str:
         with store.open_input_stream(path) as source:
             return source.read().decode()
 
+    def _store(self, bucket: int, name: str, content: str) -> None:
+        store, root = self.store()
+        # Streams are compressed by the ending of the name.
+        draft = f"{root}/{bucket}/{uuid.uuid4().hex}.draft{'.gz' * name.endswith('.gz')}"
+        try:
+            sink = store.open_output_stream(draft)
+        except FileNotFoundError:
+            store.create_dir(f"{root}/{bucket}", recursive=True)
+            sink = store.open_output_stream(draft)
+        with sink:
+            sink.write(content.encode())
+        store.move(draft, f"{root}/{bucket}/{name}")
+
     def keep(self, bucket: int, prompt_id: str, answer: str) -> None:
+        self._store(bucket, f"{prompt_id}.txt", answer)
+
+    def pack(self, bucket: int, answers: dict[str, str]) -> None:
+        """Put answers that have a file each into one file."""
+        if len(answers) < 2:
+            return
+        self._store(bucket, f"{uuid.uuid4().hex}.json.gz", json.dumps(answers))
         store, root = self.store()
-        store.create_dir(f"{root}/{bucket}", recursive=True)
-        draft = f"{root}/{bucket}/{prompt_id}.{uuid.uuid4().hex}"
-        with store.open_output_stream(draft) as sink:
-            sink.write(answer.encode())
-        store.move(draft, f"{root}/{bucket}/{prompt_id}.txt")
+        for prompt_id in answers:
+            with suppress(FileNotFoundError):
+                store.delete_file(f"{root}/{bucket}/{prompt_id}.txt")
 
 
 def _answered(
@@ -276,22 +308,25 @@ def _answered(
     dealt = asked.withColumn("_bucket", bucket).repartition("_bucket").sortWithinPartitions("_bucket")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, at, known = client_factory(), None, {}
+        client, at, known, single = client_factory(), None, {}, {}
         for frame in frames:
             found = []
             for prompt_id, text, number in zip(frame["_prompt_id"], frame["_prompt"], frame["_bucket"], strict=True):
                 if number != at:
-                    at, known = number, log.known(number)
+                    log.pack(at, single)
+                    at, (known, single) = number, log.known(number)
                 if prompt_id in known:
                     found.append((known[prompt_id], "success"))
                     continue
                 answer, outcome = patience.ask(client, text)
                 if outcome == "success":
                     log.keep(number, prompt_id, answer)
+                    single[prompt_id] = answer
                 found.append((answer, outcome))
             yield pd.DataFrame(
                 {"_prompt_id": frame["_prompt_id"], response: [a for a, _ in found], status: [s for _, s in found]}
             )
+        log.pack(at, single)
 
     schema = f"_prompt_id string, `{response}` string, `{status}` string"
     return keyed.join(dealt.mapInPandas(run, schema), "_prompt_id", "left").drop("_prompt_id")

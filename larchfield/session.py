@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(
     app_name: str, master: str | None = None, partitions: int | None = None, **conf: str
@@ -69,6 +73,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/larchfield/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each query run inside as soon as it ends.
+
+    For writes, which run once. Otherwise the files lie on the executors' disks until
+    the driver happens to collect the garbage that refers to them.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the scratch folder now and read it back.
 
@@ -77,5 +96,6 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").option("compression", compression).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

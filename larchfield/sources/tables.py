@@ -10,15 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larchfield.session import shuffles_dropped
 from larchfield.sources.files import PROVENANCE
 
 
-def overwrite_table(df: DataFrame, path: str) -> DataFrame:
+def overwrite_table(df: DataFrame, path: str, by: str | None = None, slices: int = 1) -> DataFrame:
     """Replace the table at ``path``, its schema included, and return it.
 
-    Running it again gives the same table. ``df`` must not read from ``path``.
+    Running it again gives the same table. ``df`` must not read from ``path``. With
+    ``slices`` it is written in so many steps, split by the hash of column ``by``;
+    the shuffles of a step are dropped before the next, so that those of one slice
+    lie on the disks at a time.
     """
-    df.write.mode("overwrite").parquet(path)
+    for part in range(slices):
+        own = df if by is None else df.filter(F.pmod(F.xxhash64(by), F.lit(slices)) == part)
+        with shuffles_dropped(df.sparkSession):
+            own.write.mode("append" if part else "overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,8 +1,11 @@
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from larchfield import session
 from larchfield.sources import files, tables
 
 
@@ -192,3 +195,27 @@ def test_reconciliation_sees_changed_content(spark):
     assert passed(crossed)["f2"] is False
     doubled = raw.where("_source_file = 'f2'").union(raw.where("u = 'a'")).union(raw.where("u = 'a'")).union(raw.where("u = 'c'"))
     assert passed(doubled) == {"f1": False, "f2": True}
+
+
+def test_a_table_written_in_slices_is_whole(spark, rows, tmp_path):
+    df = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(100)], "k int, v int")
+    for _ in range(2):
+        assert rows(tables.overwrite_table(df, f"{tmp_path}/t", "k", 3)) == rows(df)
+    assert rows(tables.overwrite_table(df.select("v"), f"{tmp_path}/t")) == rows(df, "v")
+
+
+def test_written_tables_leave_no_shuffle_files(spark, rows):
+    """They would lie on the disk until the driver collects its garbage."""
+
+    def shuffles():
+        store = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+        return {p.name for p in store.rglob("shuffle_*.data")}
+
+    before = shuffles()
+    df = spark.range(1000).groupBy(F.col("id") % 10).count()
+    written = session.materialise(df, "counts")
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and rows(written) == rows(df)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
