@@ -217,6 +217,7 @@ class Lake:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -227,11 +228,18 @@ class Lake:
         return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
+        if name in self._views:
+            return self._views[name]
         text = VIEWS[name]
         inputs = {n: self.table(n) for n in BASE_TABLES if f"{{{n}}}" in text}
         inputs |= {n: self.view(n) for n in VIEWS if f"{{{n}}}" in text}
         return self.spark.sql(text, **inputs)
 
+    def keep_view(self, name: str) -> Lake:
+        """Write a view once that others read several times."""
+        self._views[name] = materialise(self.view(name), name.replace("_", "-"), "zstd")
+        return self
+
     # --- silver ---
 
     def source(self, entity: str) -> DataFrame:

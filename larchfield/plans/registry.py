@@ -463,6 +463,8 @@ def scd2_claims(lake: Lake) -> DataFrame:
 def scd2_sales(lake: Lake) -> DataFrame:
     """Listings and their sale; a delivery repeated with the same sequence counts once."""
     order = [F.col("sold_on").asc_nulls_last()]
+    # Three kinds of delivery read the listings, and the history reads the deliveries twice.
+    lake.keep_view("fx_sales")
     found = history.scd2(lake.deliveries("sales"), ["sales_id"], "seq", order)
     return found.select("sales_id", "sold_on", history.START, history.END)
 
