@@ -857,12 +857,15 @@ def method_agreement(lake: Lake) -> DataFrame:
 def scored_table(lake: Lake) -> DataFrame:
     """Enriched scores, written like any gold table before reports read them.
 
-    Scores are worked out behind the joins, whose shuffle then carries plain claims.
+    Scores are worked out behind the joins, whose shuffle then carries plain claims,
+    a quarter of the policies at a time. The table has the columns of the scores
+    table and the rules that briefs show besides.
     """
     lake.keep("clean_claims", "dim_policy")
     enriched = scoring.enrich_claims(lake.clean_claims, lake.dim_policy, lake.dim_customer)
     scored = scoring.score_claims(enriched, population=lake.clean_claims)
-    return overwrite_table(scored, scratch_path(lake.spark, "scored-claims"))
+    scored = scored.select(*dict.fromkeys((*scoring.SCORE_COLUMNS, *scoring.RULES)))
+    return overwrite_table(scored, scratch_path(lake.spark, "scored-claims"), "policyid", 4)
 
 
 @query
